@@ -1,0 +1,139 @@
+"""The five stages in order, as one set of tables or as a published run."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+
+from rosterlake import fixed_values as fv
+from rosterlake.plans.applications import clean_applications, offer_accepts, stage_funnel
+from rosterlake.plans.headcount import headcount_with_referrals, read_headcount
+from rosterlake.plans.hires import hire_discrepancies, incoming_hires, merge_hires
+from rosterlake.plans.referrals import (
+    REFERRER_COLUMNS,
+    read_prospects,
+    referral_funnel,
+    referred_only,
+    unique_referrals,
+)
+from rosterlake.plans.requisitions import clean_requisitions
+from rosterlake.sinks import tables as sinks
+from rosterlake.sources.drops import newest_drop, require_feed_date
+from rosterlake.sources.reports import read_report
+from rosterlake.sources.tables import read_table, stage
+
+
+@dataclass(frozen=True)
+class Reports:
+    """Raw inputs: requisitions and applications under column names, the others under report headers."""
+
+    requisitions: DataFrame
+    fulfillment: DataFrame
+    hires: DataFrame
+    applications: DataFrame
+    prospects: DataFrame
+    headcount: DataFrame
+    refreshed: date
+
+
+@dataclass(frozen=True)
+class Patterns:
+    """Globs of the drops in the landing folder."""
+
+    requisitions: str = "MBPS Requisition - All Status*"
+    fulfillment: str = "*Fulfillment*"
+    hires: str = "Recruiting - Internal and External Hires*"
+    applications: str = "MBPS Daily Application_2*"
+    prospects: str = "Referrals Without Job Applications*"
+    headcount: str = "pmd_monthly_headcount*"
+
+
+def read_reports(spark: SparkSession, landing: str, patterns: Patterns = Patterns()) -> Reports:
+    """The newest drop of every report; the requisition drop's name gives the refresh date."""
+
+    def newest(pattern: str, preamble: int, **how) -> DataFrame:
+        return read_report(spark, newest_drop(spark, landing, pattern)["path"], preamble, **how)
+
+    requisitions = newest_drop(spark, landing, patterns.requisitions)
+    return Reports(
+        requisitions=read_report(spark, requisitions["path"], fv.REQUISITION_PREAMBLE, snake=True),
+        fulfillment=newest(patterns.fulfillment, fv.FULFILLMENT_PREAMBLE),
+        hires=newest(patterns.hires, fv.HIRES_PREAMBLE),
+        applications=newest(
+            patterns.applications, fv.APPLICATION_PREAMBLE, names=fv.APPLICATION_NAMES, strict=True
+        ),
+        prospects=newest(patterns.prospects, fv.PROSPECT_PREAMBLE),
+        headcount=newest(patterns.headcount, fv.HEADCOUNT_PREAMBLE),
+        refreshed=require_feed_date(spark, requisitions["drop"]),
+    )
+
+
+def referral_tables(
+    applications: DataFrame, prospects: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Referrals and unique referrals. The funnel carries the referrer, without which no id is complete."""
+    funnel = stage_funnel(applications, carry=REFERRER_COLUMNS)
+    referrals = referral_funnel(read_prospects(prospects), referred_only(funnel))
+    return referrals, unique_referrals(referrals)
+
+
+def build(reports: Reports, master: DataFrame, as_of: date, scope_years: int) -> dict[str, DataFrame]:
+    """Every output table as a DataFrame. Incoming hires, which two joins read, are staged."""
+    requisitions = clean_requisitions(reports.requisitions, reports.refreshed, scope_years)
+    incoming = stage(incoming_hires(reports.fulfillment, reports.hires, as_of), "incoming-hires")
+    hires = merge_hires(master, incoming)
+    applications = clean_applications(reports.applications, as_of)
+    referrals, unique = referral_tables(applications, reports.prospects)
+    return {
+        "requisitions": requisitions,
+        "hires": hires,
+        "hire_discrepancies": hire_discrepancies(hires, requisitions),
+        "applications": applications,
+        "offer_accepts": offer_accepts(applications),
+        "funnel": stage_funnel(applications),
+        "referrals": referrals,
+        "headcount": headcount_with_referrals(read_headcount(reports.headcount), unique, as_of),
+    }
+
+
+def run(spark: SparkSession, reports: Reports, out: str, as_of: date, scope_years: int) -> dict[str, DataFrame]:
+    """Run the stages and publish their tables under ``out``; returns the published tables.
+
+    Each stage reads what the stages before it wrote, so nothing is computed twice and a lost executor costs
+    no more than the stage at work. The master, ``hires_master.parquet``, has to exist.
+    """
+
+    def published(name: str, df: DataFrame) -> DataFrame:
+        sinks.write_table(df, f"{out}/{name}.parquet")
+        return read_table(spark, f"{out}/{name}.parquet")
+
+    tables = {
+        "requisitions": published(
+            "requisitions", clean_requisitions(reports.requisitions, reports.refreshed, scope_years)
+        )
+    }
+    sinks.write_refresh_date(spark, reports.refreshed, f"{out}/refresh_date.csv")
+
+    master = f"{out}/hires_master.parquet"
+    incoming = stage(incoming_hires(reports.fulfillment, reports.hires, as_of), "incoming-hires")
+    sinks.replace_table(merge_hires(sinks.read_current(spark, master), incoming), master)
+    tables["hires"] = published("hires", sinks.read_current(spark, master))
+    tables["hire_discrepancies"] = published(
+        "hire_discrepancies", hire_discrepancies(tables["hires"], tables["requisitions"])
+    )
+
+    applications = published("applications", clean_applications(reports.applications, as_of))
+    sinks.write_csv(applications, f"{out}/applications.csv")
+    tables["applications"] = applications
+    tables["offer_accepts"] = published("offer_accepts", offer_accepts(applications))
+    tables["funnel"] = published("funnel", stage_funnel(applications))
+
+    tables["referrals"] = published("referrals", referral_tables(applications, reports.prospects)[0])
+    unique = unique_referrals(tables["referrals"])
+    headcount = read_headcount(reports.headcount)
+    tables["headcount"] = published("headcount", headcount_with_referrals(headcount, unique, as_of))
+
+    sinks.snapshot_tables(tables, f"{out}/snapshots", as_of)
+    return tables
