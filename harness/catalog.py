@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from harness.oracles import SCOPE_YEARS
-from harness.recruiting_views import AS_OF, HEADCOUNT_AS_OF, spark_view
+from harness.recruiting_views import AS_OF, HEADCOUNT_AS_OF, RUN_MONTH_ENDS, spark_view
 from rosterlake import fixed_values as fv
 from rosterlake.functions import dates, keys, text
 from rosterlake.operators import quality as dq
@@ -18,7 +18,7 @@ from rosterlake.operators.shape import align_schema, select_rename
 from rosterlake.operators.upsert import new_rows
 from rosterlake.plans import applications as app
 from rosterlake.plans import headcount as hc
-from rosterlake.plans import hires, pipeline, referrals
+from rosterlake.plans import full_run, hires, referrals
 from rosterlake.plans import requisitions as req
 from rosterlake.sinks import tables as sinks
 from rosterlake.sources import drops, reports
@@ -349,7 +349,7 @@ def dq_duplicates(spark, sf):
 
 
 def dq_duplicated_rows(spark, sf):
-    return duplicated_rows(spark_view(spark, sf, "fulfillment_report"), ["employee_id", "candidate_start_date"])
+    return duplicated_rows(spark_view(spark, sf, "fulfillment_report"), ["employee_id", "grade_proposed"])
 
 
 def dq_rules(spark, sf):
@@ -385,12 +385,12 @@ def dq_rules(spark, sf):
 # --- the whole chain ---------------------------------------------------------------------------------
 
 
-def pipeline_reports(spark, sf) -> pipeline.Reports:
+def all_reports(spark, sf) -> full_run.Reports:
     headcount_report = _under_headers(
-        headcount(spark, sf).withColumn("reporting_date", F.concat(F.col("reporting_date"), F.lit(" 00:00:00"))),
+        spark_view(spark, sf, "headcount", RUN_MONTH_ENDS).withColumn("reporting_date", F.concat(F.col("reporting_date"), F.lit(" 00:00:00"))),
         fv.HEADCOUNT_NAMES,
     )
-    return pipeline.Reports(
+    return full_run.Reports(
         requisitions=spark_view(spark, sf, "requisition_report"),
         fulfillment=fulfillment_report(spark, sf),
         hires=hires_report(spark, sf),
@@ -401,11 +401,19 @@ def pipeline_reports(spark, sf) -> pipeline.Reports:
     )
 
 
+def last_stage(spark, sf):
+    """Applications, funnel, referrals and headcount flags as one plan, with nothing stored in between."""
+    reports = all_reports(spark, sf)
+    cleaned = app.clean_applications(reports.applications, AS_OF_DATE)
+    unique = full_run.referral_tables(cleaned, reports.prospects)[1]
+    return hc.headcount_with_referrals(hc.read_headcount(reports.headcount), unique, AS_OF_DATE)
+
+
 def published_tables(spark, sf) -> dict[str, DataFrame]:
     """All five stages run one after the other and published under a scratch folder."""
     out = scratch_path(spark, "published")
     sinks.replace_table(spark_view(spark, sf, "master_hires"), f"{out}/hires_master.parquet")
-    return pipeline.run(spark, pipeline_reports(spark, sf), out, AS_OF_DATE, SCOPE_YEARS)
+    return full_run.run(spark, all_reports(spark, sf), out, AS_OF_DATE, SCOPE_YEARS)
 
 
 def all_stages(spark, sf):
@@ -458,5 +466,6 @@ QUERIES = {
     "dq_duplicates": dq_duplicates,
     "dq_duplicated_rows": dq_duplicated_rows,
     "dq_rules": dq_rules,
+    "last_stage": last_stage,
     "all_stages": all_stages,
 }

@@ -6,7 +6,7 @@ join, the funnel a join to a stage list, the incoming hires are joined first and
 
 from __future__ import annotations
 
-from harness.recruiting_views import AS_OF, HEADCOUNT_AS_OF, duckdb_sql
+from harness.recruiting_views import AS_OF, HEADCOUNT_AS_OF, RUN_MONTH_ENDS, duckdb_sql
 
 SCOPE_YEARS = 3
 _CUTOFF_REQ = f"make_date(year(date '{AS_OF}') - {SCOPE_YEARS}, 1, 1)"
@@ -240,14 +240,18 @@ _UNIQUE_CTE = "unique_referrals as (select distinct headcount_id, cast(1 as tiny
 
 # --- headcount ---------------------------------------------------------------------------------------
 
-_EXTENDED = f"""extended as (
+
+
+def _extended(as_of: str) -> str:
+    return f"""extended as (
 select * from headcount
 union all
-select last_day(date '{HEADCOUNT_AS_OF}') as reporting_date, location, function, sub_function, job_grade, employee_id
+select last_day(date '{as_of}') as reporting_date, location, function, sub_function, job_grade, employee_id
 from headcount
 where reporting_date = (select max(reporting_date) from headcount)
-    and reporting_date <= last_day(date '{HEADCOUNT_AS_OF}')
-    and not exists (select 1 from headcount where reporting_date = last_day(date '{HEADCOUNT_AS_OF}')))"""
+    and reporting_date <= last_day(date '{as_of}')
+    and not exists (select 1 from headcount where reporting_date = last_day(date '{as_of}')))"""
+
 
 _FLAGGED = """flagged as (
 select reporting_date, location, function, sub_function, 'Level ' || job_grade as job_grade, employee_id,
@@ -256,9 +260,26 @@ select reporting_date, location, function, sub_function, 'Level ' || job_grade a
 from extended e left join unique_referrals u
     on u.headcount_id = e.employee_id || '_' || strftime(reporting_date, '%Y-%m'))"""
 
-_HEADCOUNT = (_view("headcount"), _EXTENDED)
+_HEADCOUNT = (_view("headcount"), _extended(HEADCOUNT_AS_OF))
 _FLAGS = (*_REFERRALS, _UNIQUE_CTE, *_HEADCOUNT, _FLAGGED)
 
+# --- the whole chain, with a headcount that ends before the reference date ------------------------------
+
+_RUN = (
+    *_REFERRALS,
+    _UNIQUE_CTE,
+    f"headcount as ({duckdb_sql('headcount', RUN_MONTH_ENDS)})",
+    _extended(AS_OF),
+    _FLAGGED,
+)
+_DISCREPANCIES = """discrepancies as (
+select r.job_requisition_id, cast(coalesce(r.positions_filled_hire_selected, 0) as integer) as jobreq_filled_count,
+    coalesce(h.n, 0) as hires_count,
+    abs(coalesce(r.positions_filled_hire_selected, 0) - coalesce(h.n, 0)) as discrepancy
+from requisitions r left join (select job_requisition_id, count(*) as n from hires group by 1) h
+    on r.job_requisition_id = h.job_requisition_id
+where coalesce(r.positions_filled_hire_selected, 0) <> coalesce(h.n, 0))"""
+
 
 def _check(check: str, column: str, test: str, source: str) -> str:
     return (
@@ -334,13 +355,8 @@ ORACLES: dict[str, str] = {
     "hire_incoming": _with(*_INCOMING) + "select * from incoming",
     "hire_upsert": _with(*_INCOMING, _view("master_hires"), _MERGED) + "select * from hires",
     "hire_new_rows": _with(*_INCOMING, _view("master_hires")) + _NEW_SQL,
-    "hire_discrepancy": _with(*_REQUISITIONS, *_INCOMING, _view("master_hires"), _MERGED)
-    + "select r.job_requisition_id, cast(coalesce(r.positions_filled_hire_selected, 0) as integer) as "
-    "jobreq_filled_count, coalesce(h.n, 0) as hires_count, "
-    "abs(coalesce(r.positions_filled_hire_selected, 0) - coalesce(h.n, 0)) as discrepancy "
-    "from requisitions r left join (select job_requisition_id, count(*) as n from hires group by 1) h "
-    "on r.job_requisition_id = h.job_requisition_id "
-    "where coalesce(r.positions_filled_hire_selected, 0) <> coalesce(h.n, 0)",
+    "hire_discrepancy": _with(*_REQUISITIONS, *_INCOMING, _view("master_hires"), _MERGED, _DISCREPANCIES)
+    + "select * from discrepancies",
     # applications
     "app_clean": _with(*_APPLICATIONS) + "select * from applications",
     "app_rescind": _with(_view("application_report"), _APP_TYPED)
@@ -395,7 +411,7 @@ ORACLES: dict[str, str] = {
         )
     ),
     "dq_duplicated_rows": _with(_view("fulfillment_report"))
-    + "select * exclude (n) from (select *, count(*) over (partition by employee_id, candidate_start_date) as n "
+    + "select * exclude (n) from (select *, count(*) over (partition by employee_id, grade_proposed) as n "
     "from fulfillment_report) where n > 1",
     "dq_rules": _with(*_REQUISITIONS, *_FLAGS)
     + _checks(
@@ -413,4 +429,20 @@ ORACLES: dict[str, str] = {
         ("matches", "headcount_id", "not regexp_matches(headcount_id, '^.+_\\d{4}-\\d{2}$')", "flagged"),
         ("matches", "job_grade", "not regexp_matches(job_grade, '^Level [1-9]')", "flagged"),
     ),
+    # the whole chain
+    "last_stage": _with(*_RUN) + "select * from flagged",
+    "all_stages": _with(*_REQUISITIONS, *_INCOMING, _view("master_hires"), _MERGED, _DISCREPANCIES, *_RUN)
+    + " union all ".join(
+        f"select '{name}' as table_name, count(*) as table_rows from {source}"
+        for name, source in (
+            ("requisitions", "requisitions"),
+            ("hires", "hires"),
+            ("hire_discrepancies", "discrepancies"),
+            ("applications", "applications"),
+            ("offer_accepts", "applications where candidate_recruiting_status = 'Offer Accepted'"),
+            ("funnel", "funnel"),
+            ("referrals", "referrals"),
+            ("headcount", "flagged"),
+        )
+    ),
 }

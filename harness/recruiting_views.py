@@ -11,6 +11,7 @@ import re
 
 AS_OF = "2000-01-15"
 HEADCOUNT_AS_OF = "2024-01-20"
+RUN_MONTH_ENDS = ["1999-08-31", "1999-09-30", "1999-10-31", "1999-11-30", "1999-12-31"]
 MONTH_ENDS = ["2023-08-31", "2023-09-30", "2023-10-31", "2023-11-30", "2023-12-31"]
 
 _STAGE = """case o_orderkey % 10 when 0 then 'Review' when 1 then 'Screen' when 2 then 'Assessment'
@@ -20,9 +21,12 @@ _SOURCE = """case o_orderpriority when '1-URGENT' then 'ERP' when '2-HIGH' then
     when '3-MEDIUM' then null when '5-LOW' then 'Enterprise Agency' else 'Career Site' end"""
 
 
-def _spelled(ts: str, way: str) -> str:
-    """The day of ``ts`` as text, in one of three spellings or unreadable, by the number ``way``."""
-    day = f"substr(cast({ts} as string), 1, 10)"
+def _day(ts: str) -> str:
+    return f"cast(cast({ts} as date) as string)"
+
+
+def _spelled(day: str, way: str) -> str:
+    """The text ``day`` in one of three spellings, or unreadable, by the number ``way``."""
     us = f"substr({day}, 6, 2) || '/' || substr({day}, 9, 2) || '/' || substr({day}, 1, 4)"
     return f"case {way} when 0 then {day} when 1 then replace({day}, '-', '/') when 2 then {us} else 'n/a' end"
 
@@ -48,12 +52,12 @@ select 'CAND-' || cast(o_custkey as string) as candidate_id, c_name as candidate
     case when o_orderkey % 17 = 0 then null else 'Level ' || cast(1 + o_custkey % 10 as string) end
         as compensation_grade,
     'Employee' as worker_type_hiring_requirement, 'Regular' as worker_sub_type_hiring_requirement,
-    {_spelled("o_orderdate + interval 60 day", _digit(10, 4))} as target_hire_date,
-    {_spelled("o_orderdate", _digit(100, 4))} as added_date,
-    {_spelled("o_orderdate + interval 3 day", _digit(1000, 3))} as job_application_date,
-    case when o_orderstatus = 'F' then {_spelled("o_orderdate + interval 30 day", _digit(10, 3))} end
+    {_spelled("day60", _digit(10, 4))} as target_hire_date,
+    {_spelled("day0", _digit(100, 4))} as added_date,
+    {_spelled("day3", _digit(1000, 3))} as job_application_date,
+    case when o_orderstatus = 'F' then {_spelled("day30", _digit(10, 3))} end
         as offer_accepted_date,
-    case when o_orderstatus = 'F' then {_spelled("o_orderdate + interval 45 day", _digit(100, 3))} end
+    case when o_orderstatus = 'F' then {_spelled("day45", _digit(100, 3))} end
         as candidate_start_date,
     'R' || cast(o_custkey as string) as recruiter_employee_id,
     case when o_custkey % 9 = 0 then null when o_custkey % 9 = 1 then 'unknown'
@@ -70,7 +74,10 @@ select 'CAND-' || cast(o_custkey as string) as candidate_id, c_name as candidate
     'Referrer ' || cast(o_custkey % 50 as string) || ' (' || cast(o_custkey % 50 as string) || ')' as referred_by,
     case when o_orderpriority = '5-LOW' then 'Agency' end as recruiting_agency, 'Acme' as last_employer,
     cast(null as string) as school_name, 'No' as is_cancelled, c_mktsegment as mbps_teams
-from {{orders}} left join {{customer}} on o_custkey = c_custkey""",
+from (select *, {_day("o_orderdate")} as day0, {_day("o_orderdate + interval 3 day")} as day3,
+        {_day("o_orderdate + interval 30 day")} as day30, {_day("o_orderdate + interval 45 day")} as day45,
+        {_day("o_orderdate + interval 60 day")} as day60 from {{orders}}) as o
+    left join {{customer}} on o_custkey = c_custkey""",
     "fulfillment_report": """
 select 'JR-' || cast(o_orderkey as string) as job_requisition_id,
     case when o_orderkey % 101 = 0 then null else 'POS-' || cast(o_orderkey as string) end as position_id,
@@ -78,7 +85,7 @@ select 'JR-' || cast(o_orderkey as string) as job_requisition_id,
     'Name ' || cast(o_custkey as string) as employee_name,
     case o_orderstatus when 'F' then 'Hire > External' when 'O' then 'Hire > Internal > Transfer' else 'Hire' end
         as business_process_reason,
-    substr(cast(o_orderdate as string), 1, case when o_orderkey % 2 = 0 then 10 else 19 end)
+    cast(cast(o_orderdate as date) as string) || case when o_orderkey % 2 = 0 then '' else ' 00:00:00' end
         as candidate_start_date,
     case when o_orderkey % 13 = 0 then null else 'Level ' || cast(1 + o_custkey % 10 as string) end
         as grade_proposed
@@ -87,14 +94,14 @@ from {orders}""",
     "hires_report": """
 select 'CAND-' || cast(o_custkey as string) as candidate_id,
     case when o_orderkey % 107 = 0 then null else 'EMP-' || cast(o_custkey as string) end as employee_id,
-    substr(cast(o_orderdate - interval 90 day as string), 1, 10) as added_date,
-    substr(cast(o_orderdate - interval 100 day as string), 1, 10) as recruiting_start_date,
-    substr(cast(o_orderdate - interval 80 day as string), 1, 10)
+    cast(cast(o_orderdate - interval 90 day as date) as string) as added_date,
+    cast(cast(o_orderdate - interval 100 day as date) as string) as recruiting_start_date,
+    cast(cast(o_orderdate - interval 80 day as date) as string)
         || case o_orderkey % 3 when 0 then ' 10:20:30' when 1 then ' 10:20:30.125' else '' end
         as job_application_date,
-    substr(cast(o_orderdate - interval 20 day as string), 1, 10) || ' 00:00:00' as ready_for_hire_date,
-    substr(cast(o_orderdate + case when o_orderkey % 3 = 0 then interval 31 day else interval 0 day end as string),
-        1, 10) as candidate_start_date,
+    cast(cast(o_orderdate - interval 20 day as date) as string) || ' 00:00:00' as ready_for_hire_date,
+    cast(cast(case when o_orderkey % 3 = 0 then o_orderdate + interval 31 day else o_orderdate end as date) as string)
+        as candidate_start_date,
     case o_orderkey % 5 when 0 then null when 1 then 'R' || cast(o_custkey as string)
         else 'R' || cast(o_custkey as string) || ' (' || cast(o_orderkey as string) || ')' end
         as recruiter_completed_offer,
@@ -102,9 +109,9 @@ select 'CAND-' || cast(o_custkey as string) as candidate_id,
     case when o_custkey % 4 = 0 then 'EMP-' || cast(o_custkey % 50 as string) end as referred_by_employee_id,
     case o_orderpriority when '1-URGENT' then 'ERP' when '3-MEDIUM' then null else 'LinkedIn' end as source,
     case when o_orderpriority = '5-LOW' then 'Agency' end as recruiting_agency,
-    case when o_orderkey % 2 = 0 then replace(substr(cast(o_orderdate - interval 30 day as string), 1, 10), '-', '/')
-        else substr(cast(o_orderdate - interval 30 day as string), 1, 10) end as offer_accepted_date,
-    case when o_orderkey % 4 = 0 then substr(cast(o_orderdate - interval 70 day as string), 1, 10) end
+    case when o_orderkey % 2 = 0 then replace(cast(cast(o_orderdate - interval 30 day as date) as string), '-', '/')
+        else cast(cast(o_orderdate - interval 30 day as date) as string) end as offer_accepted_date,
+    case when o_orderkey % 4 = 0 then cast(cast(o_orderdate - interval 70 day as date) as string) end
         as jr_unfreeze_date,
     cast(o_orderkey % 40 as string) as days_frozen
 from {orders}""",
@@ -139,11 +146,11 @@ select case when event_id % 97 = 0 then null else 'CAND-' || cast(user_id as str
     case when event_id % 89 = 0 then null else 'EMP-' || cast(user_id % 50 as string) end
         as referred_by_employee_id,
     '  Referrer ' || cast(user_id as string) || ' (' || cast(user_id as string) || ')' as referred_by,
-    case when event_id % 4 = 3 then substr(cast(ts as string), 1, 19) else {_spelled("ts", "event_id % 4")} end
+    case when event_id % 4 = 3 then substr(cast(ts as string), 1, 19) else {_spelled("day", "event_id % 4")} end
         as added_date,
     case event_type when 'signup' then 'ERP' when 'click' then 'Employee Referral' else 'Referral' end as source,
     case when event_type = 'error' then 'Not a Fit' end as disposition_reason, 'Prospect' as candidate_recruiting_status
-from {{events}}""",
+from (select *, {_day("ts")} as day from {{events}}) as e""",
     # Dates the way they are found in free text.
     "event_log": """
 select event_id, case event_id % 5 when 0 then 'run of ' || substr(cast(ts as string), 1, 19) || ' (nightly)'
@@ -159,14 +166,14 @@ def used_tables(view: str) -> set[str]:
     return set(re.findall(r"{(\w+)}", VIEWS[view])) & set(TABLES)
 
 
-def duckdb_sql(view: str) -> str:
-    dates = ", ".join(f"date '{d}'" for d in MONTH_ENDS)
+def duckdb_sql(view: str, month_ends: list[str] = MONTH_ENDS) -> str:
+    dates = ", ".join(f"date '{d}'" for d in month_ends)
     return VIEWS[view].format(unnest=f"unnest([{dates}])", **{t: t for t in TABLES})
 
 
-def spark_view(spark, sf_dir: str, view: str):
+def spark_view(spark, sf_dir: str, view: str, month_ends: list[str] = MONTH_ENDS):
     """The view as a Spark DataFrame."""
-    dates = ", ".join(f"date '{d}'" for d in MONTH_ENDS)
+    dates = ", ".join(f"date '{d}'" for d in month_ends)
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used_tables(view)}
     sql = VIEWS[view].replace("{unnest}", f"explode(array({dates}))")
     return spark.sql(sql, **tables)

@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from rosterlake.functions.casts import lenient_cast
+
 log = logging.getLogger(__name__)
 
 
@@ -22,14 +24,17 @@ def select_present(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def align_schema(df: DataFrame, schema: T.StructType, name: str = "table") -> DataFrame:
     """Exactly the columns of ``schema``: bad values become null, absent columns typed nulls, extras go."""
-    absent = [f.name for f in schema if f.name not in df.columns]
+    kinds = {f.name: f.dataType for f in df.schema}
+    absent = [f.name for f in schema if f.name not in kinds]
     if absent:
         log.warning("%s: absent columns filled with null: %s", name, absent)
     return df.select(
         [
-            (F.lit(None).cast(f.dataType) if f.name in absent else F.col(f.name).try_cast(f.dataType)).alias(
-                f.name
-            )
+            (
+                lenient_cast(F.col(f.name), kinds[f.name], f.dataType)
+                if f.name in kinds
+                else F.lit(None).cast(f.dataType)
+            ).alias(f.name)
             for f in schema
         ]
     )

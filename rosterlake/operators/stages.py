@@ -31,7 +31,9 @@ def expand_stages(
         ]
     )
     bound = last.cast("int") - F.coalesce(unfinished, F.lit(False)).cast("int")
-    passed = reduce(add, [(F.lit(n) <= bound).cast("int") for n in stages.values()])
-    return df.withColumn("__passed", F.explode(F.slice(listed, F.lit(1), passed))).select(
-        *df.columns, f"__passed.{number_as}", f"__passed.{label_as}"
+    count = reduce(add, [(F.lit(n) <= F.col("__bound")).cast("int") for n in stages.values()])
+    return (
+        df.withColumn("__bound", bound)
+        .withColumn("__passed", F.explode(F.slice(listed, F.lit(1), count)))
+        .select(*df.columns, f"__passed.{number_as}", f"__passed.{label_as}")
     )

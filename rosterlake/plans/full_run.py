@@ -1,4 +1,4 @@
-"""The five stages in order, as one set of tables or as a published run."""
+"""The five stages in order, from report drops to published tables."""
 
 from __future__ import annotations
 
@@ -79,25 +79,6 @@ def referral_tables(
     return referrals, unique_referrals(referrals)
 
 
-def build(reports: Reports, master: DataFrame, as_of: date, scope_years: int) -> dict[str, DataFrame]:
-    """Every output table as a DataFrame. Incoming hires, which two joins read, are staged."""
-    requisitions = clean_requisitions(reports.requisitions, reports.refreshed, scope_years)
-    incoming = stage(incoming_hires(reports.fulfillment, reports.hires, as_of), "incoming-hires")
-    hires = merge_hires(master, incoming)
-    applications = clean_applications(reports.applications, as_of)
-    referrals, unique = referral_tables(applications, reports.prospects)
-    return {
-        "requisitions": requisitions,
-        "hires": hires,
-        "hire_discrepancies": hire_discrepancies(hires, requisitions),
-        "applications": applications,
-        "offer_accepts": offer_accepts(applications),
-        "funnel": stage_funnel(applications),
-        "referrals": referrals,
-        "headcount": headcount_with_referrals(read_headcount(reports.headcount), unique, as_of),
-    }
-
-
 def run(spark: SparkSession, reports: Reports, out: str, as_of: date, scope_years: int) -> dict[str, DataFrame]:
     """Run the stages and publish their tables under ``out``; returns the published tables.
 

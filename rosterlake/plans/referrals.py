@@ -59,6 +59,7 @@ def referral_rows(prospects: DataFrame, funnel: DataFrame) -> DataFrame:
     from_prospects = F.array(taken(PROSPECT, prospect_stage))
 
     columns = [c for c in _RANKED.names if c != "last_stage_number"]
+    prospects = prospects.withColumn("stage_number", F.lit(None).cast("short"))
     parts = [
         normalise(df, _RANKED).withColumn("__taken", F.explode(takes)).select(*columns, "__taken.*")
         for df, takes in ((funnel, from_funnel), (prospects, from_prospects))

@@ -4,22 +4,20 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from rosterlake import fixed_values as fv
 from rosterlake.functions.dates import years_back
 from rosterlake.operators.dedupe import keep_one
-from rosterlake.operators.shape import cast_strict, select_present
+from rosterlake.operators.shape import align_schema, cast_strict
 
 
 def requisitions_in_scope(
     raw: DataFrame, refreshed: date, scope_years: int = fv.REQUISITION_SCOPE_YEARS
 ) -> DataFrame:
     """Input columns that exist, leniently typed, from 1 January ``scope_years`` before the refresh year."""
-    present = select_present(raw, fv.REQUISITION_INPUT.names)
-    typed = present.select(
-        [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fv.REQUISITION_INPUT if f.name in raw.columns]
-    )
+    present = T.StructType([f for f in fv.REQUISITION_INPUT if f.name in raw.columns])
+    typed = align_schema(raw, present, "requisitions")
     return typed.where(F.col("target_hire_date") >= years_back(refreshed, scope_years))
 
 
