@@ -29,7 +29,7 @@ def keep_one(
     if not rank and not rest:
         return df.distinct()
     picked = df.groupBy(*keys).agg(best)
-    return picked.select([F.col(c) if c in keys else F.col(f"__best.{c}") for c in df.columns])
+    return picked.select([F.col(c) if c in keys else F.col("__best").getField(c).alias(c) for c in df.columns])
 
 
 def distinct_flag(df: DataFrame, key: str, flag: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rosterlake.fixed_values import OVERRIDE_SUFFIX
@@ -16,19 +18,17 @@ def updated_rows(
     key: str,
     *,
     suffix: str = OVERRIDE_SUFFIX,
-    hot_rows: int | None = HOT_ROWS,
+    hot_master: Sequence[str] = (),
+    hot_incoming: Sequence[str] = (),
 ) -> DataFrame:
     """Every master row with the columns it shares with ``incoming`` brought up to date.
 
     Order of precedence: the row's own ``<column><suffix>``, the incoming value, the present value. The
     override counts on all rows, matched or not. Several incoming rows of one key each yield a row.
-    ``hot_rows=None`` skips the look for hot keys.
     """
     shared = [c for c in incoming.columns if c != key and c in master.columns]
     update = incoming.select(key, *[F.col(c).alias(f"{c}__new") for c in shared])
-    hot_left = hot_keys(master, [key], hot_rows) if hot_rows else []
-    hot_right = hot_keys(incoming, [key], hot_rows) if hot_rows else []
-    joined = spread_join(master, update, [key], "left", hot_left=hot_left, hot_right=hot_right)
+    joined = spread_join(master, update, [key], "left", hot_left=hot_master, hot_right=hot_incoming)
 
     def current(column: str):
         if column not in shared:
@@ -45,15 +45,19 @@ def new_rows(
     key: str,
     schema: T.StructType,
     *,
-    hot_rows: int | None = HOT_ROWS,
+    hot_master: Sequence[str] = (),
+    hot_incoming: Sequence[str] = (),
 ) -> DataFrame:
     """Incoming rows whose key the master lacks, as ``schema``; a null key is always new.
 
-    Columns that ``incoming`` lacks become typed nulls; a column of another type is an error.
+    Columns that ``incoming`` lacks become typed nulls; a column of another type is an error. The master is
+    read for its key alone and cut down to the incoming keys first, without a shuffle of the master when
+    those are small enough to broadcast.
     """
-    known = master.select(key).where(F.col(key).isNotNull()).distinct()
-    hot_left = hot_keys(incoming, [key], hot_rows) if hot_rows else []
-    fresh = spread_join(incoming, known, [key], "left_anti", hot_left=hot_left)
+    wanted = incoming.select(key).where(F.col(key).isNotNull()).distinct()
+    keys = master.select(key).where(F.col(key).isNotNull())
+    known = spread_join(keys, wanted, [key], "left_semi", hot_left=hot_master).distinct()
+    fresh = spread_join(incoming, known, [key], "left_anti", hot_left=hot_incoming)
     fresh = fresh.withColumns(
         {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in incoming.columns}
     )
@@ -75,13 +79,18 @@ def upsert_with_overrides(
 
     A left join and an anti join rather than one full outer join: the master then needs no shuffle at all
     when ``incoming`` is small enough to broadcast, and hot keys can be spread, which a full outer join
-    does not allow. ``incoming`` is read in both, so hand in a stored or staged table.
+    does not allow. ``incoming`` is read several times, so hand in a stored or staged table.
+
     ``one_per_key`` first reduces ``incoming`` to one row per key, so that no master row is multiplied.
+    ``hot_rows=None`` skips the look for hot keys.
     """
     require_schema(master, schema, "master")
     if one_per_key:
         unkeyed = incoming.where(F.col(key).isNull())
         incoming = keep_one(incoming.where(F.col(key).isNotNull()), [key]).unionByName(unkeyed)
-    fresh = new_rows(master, incoming, key, schema, hot_rows=hot_rows)
-    current = updated_rows(master.select(schema.names), incoming, key, suffix=suffix, hot_rows=hot_rows)
-    return current.unionByName(fresh)
+    hot = {
+        "hot_master": hot_keys(master, [key], hot_rows) if hot_rows else [],
+        "hot_incoming": hot_keys(incoming, [key], hot_rows) if hot_rows else [],
+    }
+    fresh = new_rows(master, incoming, key, schema, **hot)
+    return updated_rows(master.select(schema.names), incoming, key, suffix=suffix, **hot).unionByName(fresh)

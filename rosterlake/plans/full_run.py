@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rosterlake import fixed_values as fv
 from rosterlake.plans.applications import clean_applications, offer_accepts, stage_funnel
-from rosterlake.plans.headcount import headcount_with_referrals, read_headcount
+from rosterlake.plans.headcount import PERIOD, headcount_with_referrals, read_headcount
 from rosterlake.plans.hires import hire_discrepancies, incoming_hires, merge_hires
 from rosterlake.plans.referrals import (
     REFERRER_COLUMNS,
@@ -70,9 +70,14 @@ def read_reports(spark: SparkSession, landing: str, patterns: Patterns = Pattern
     )
 
 
-def referral_tables(
-    applications: DataFrame, prospects: DataFrame
-) -> tuple[DataFrame, DataFrame]:
+def landed(spark: SparkSession, reports: Reports, folder: str, as_of: date) -> Reports:
+    """The reports kept as that day's raw snapshots and read back: text is parsed once, columns are pruned."""
+    tables = {name: df for name, df in vars(reports).items() if isinstance(df, DataFrame)}
+    sinks.snapshot_tables(tables, folder, as_of)
+    return replace(reports, **{name: sinks.read_snapshot(spark, f"{folder}/{name}", as_of) for name in tables})
+
+
+def referral_tables(applications: DataFrame, prospects: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Referrals and unique referrals. The funnel carries the referrer, without which no id is complete."""
     funnel = stage_funnel(applications, carry=REFERRER_COLUMNS)
     referrals = referral_funnel(read_prospects(prospects), referred_only(funnel))
@@ -90,6 +95,7 @@ def run(spark: SparkSession, reports: Reports, out: str, as_of: date, scope_year
         sinks.write_table(df, f"{out}/{name}.parquet")
         return read_table(spark, f"{out}/{name}.parquet")
 
+    reports = landed(spark, reports, f"{out}/snapshots/raw", as_of)
     tables = {
         "requisitions": published(
             "requisitions", clean_requisitions(reports.requisitions, reports.refreshed, scope_years)
@@ -114,7 +120,9 @@ def run(spark: SparkSession, reports: Reports, out: str, as_of: date, scope_year
     tables["referrals"] = published("referrals", referral_tables(applications, reports.prospects)[0])
     unique = unique_referrals(tables["referrals"])
     headcount = read_headcount(reports.headcount)
-    tables["headcount"] = published("headcount", headcount_with_referrals(headcount, unique, as_of))
+    flagged = headcount_with_referrals(headcount, unique, as_of)
+    # Sorted within files rather than over all of them: readers can skip by period, and nothing is shuffled.
+    tables["headcount"] = published("headcount", flagged.sortWithinPartitions(PERIOD, "employee_id"))
 
-    sinks.snapshot_tables(tables, f"{out}/snapshots", as_of)
+    sinks.snapshot_tables(tables, f"{out}/snapshots/processed", as_of)
     return tables

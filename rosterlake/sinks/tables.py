@@ -80,6 +80,11 @@ def snapshot_table(df: DataFrame, path: str, as_of: date) -> None:
     )
 
 
+def read_snapshot(spark: SparkSession, path: str, as_of: date) -> DataFrame:
+    """The snapshot of one day; other days' files are not touched."""
+    return spark.read.parquet(path).where(F.col("snapshot_date") == F.lit(as_of)).drop("snapshot_date")
+
+
 def snapshot_tables(tables: Mapping[str, DataFrame], folder: str, as_of: date) -> None:
     for name, df in tables.items():
         snapshot_table(df, f"{folder}/{name}", as_of)

@@ -290,8 +290,9 @@ def test_full_run_from_drops(spark, table, tmp_path):
         ("EMP-100_2025-01", 1), ("EMP-101_2025-02", 1), ("EMP-101_2025-06", 0)]
     assert spark.read.option("header", True).csv(f"{out}/applications.csv").count() == 2
     assert spark.read.option("header", True).csv(f"{out}/refresh_date.csv").collect() == [("2025-06-01",)]
-    assert sorted(os.listdir(f"{out}/snapshots")) == sorted(tables)
+    assert sorted(os.listdir(f"{out}/snapshots/processed")) == sorted(tables)
+    assert spark.read.parquet(f"{out}/snapshots/raw/applications").count() == 3
 
     again = full_run.run(spark, found, out, date(2025, 6, 1), 3)
     assert again["hires"].count() == 3 and sinks.current_version(spark, f"{out}/hires_master.parquet")[0] == 3
-    assert spark.read.parquet(f"{out}/snapshots/hires").count() == 3
+    assert spark.read.parquet(f"{out}/snapshots/processed/hires").count() == 3
