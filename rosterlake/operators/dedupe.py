@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.operators.joins import spread_join
+from rosterlake.operators.joins import HOT_ROWS, hot_keys, spread_join
 
 
 def keep_one(
@@ -42,6 +42,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], copies: str = "copies") -
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(copies)).where(F.col(copies) > 1)
 
 
-def duplicated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All rows whose key occurs more than once. Null keys count as equal."""
-    return spread_join(df, duplicate_keys(df, keys).drop("copies"), keys, "left_semi", null_safe=True)
+def duplicated_rows(df: DataFrame, keys: Sequence[str], *, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """All rows whose key occurs more than once. Null keys count as equal.
+
+    A semi join with the repeated keys and not a window, which would bring all copies into one task.
+    """
+    hot = hot_keys(df, keys, hot_rows) if hot_rows else []
+    repeated = duplicate_keys(df, keys).drop("copies")
+    return spread_join(df, repeated, keys, "left_semi", null_safe=True, hot_left=hot)

@@ -34,14 +34,16 @@ def spread_join(
 ) -> DataFrame:
     """``left``, ``left_semi`` or ``left_anti`` join on equal column names, with hot keys salted.
 
-    * Left rows with a null key match nothing (unless ``null_safe``); they are dealt out over 64 salts
-      instead of meeting in one task.
+    * Left rows with a null key match nothing (unless ``null_safe``); where they are part of the result they
+      are dealt out over 64 salts instead of meeting in one task.
     * Left rows of a key in ``hot_left`` are dealt out likewise, and the right rows of that key are
       repeated under every salt.
     * Right rows of a key in ``hot_right`` are dealt out, and the left rows of that key are repeated; a
       repeat that meets no right row is dropped, since the key is known to occur on the right. Only for
       ``left``; the other two need a right side of distinct keys anyway.
 
+    Where nothing has to be dealt out it is the plain join, which can use a partitioning already there.
+
     Rows are dealt out by position, so exact copies spread too; hand in inputs whose order is stable under
     a task retry, that is scans and staged tables. Spark broadcasts a right side by itself when its
     measured size allows it.
@@ -56,15 +58,21 @@ def spread_join(
     kept = list(left.columns)
     added = [c for c in right.columns if c not in keys] if how == "left" else []
 
-    left = _salted(left, keys, dealt=hot_left, repeated=hot_right, deal_nulls=not null_safe)
-    right = _salted(right, keys, dealt=hot_right, repeated=hot_left, deal_nulls=False)
+    nullable = any(left.schema[k].nullable for k in keys)
+    deal_nulls = nullable and not null_safe and how != "left_semi"
+    salted = bool(hot_left or hot_right or deal_nulls)
+    if salted:
+        left = _salted(left, keys, dealt=hot_left, repeated=hot_right, deal_nulls=deal_nulls)
+        right = _salted(right, keys, dealt=hot_right, repeated=hot_left, deal_nulls=False)
     if hot_right:
         right = right.withColumn("__met", F.lit(True))
 
     a, b = left.alias("a"), right.alias("b")
     equal = Column.eqNullSafe if null_safe else Column.__eq__
     on = [equal(F.col(f"a.`{k}`"), F.col(f"b.`{k}`")) for k in keys]
-    joined = a.join(b, [*on, F.col("a.__salt") == F.col("b.__salt")], how)
+    if salted:
+        on.append(F.col("a.__salt") == F.col("b.__salt"))
+    joined = a.join(b, on, how)
     if hot_right:
         repeated = F.expr(_key_text(keys, "a")).isin(*hot_right)
         joined = joined.where(F.col("b.__met") | ~F.coalesce(repeated, F.lit(False)))

@@ -109,7 +109,8 @@ def test_keep_one_on_key_columns_alone(table):
 def test_duplicates_count_null_keys_as_equal(table):
     df = table("a string, b int, n int", ("x", 1, 0), ("x", 1, 1), (None, 1, 2), (None, 1, 3), ("x", None, 4))
     assert values(duplicate_keys(df, ["a", "b"])) == [(None, 1, 2), ("x", 1, 2)]
-    assert sorted(r["n"] for r in duplicated_rows(df, ["a", "b"]).collect()) == [0, 1, 2, 3]
+    for hot_rows in (None, 1):
+        assert sorted(r["n"] for r in duplicated_rows(df, ["a", "b"], hot_rows=hot_rows).collect()) == [0, 1, 2, 3]
     assert dq.duplicate_violations(df, ["a", "b"]).collect() == [("unique", "a, b", 4)]
     assert dq.duplicate_violations(df, ["n"]).collect() == [("unique", "n", 0)]
 
