@@ -25,6 +25,10 @@ YEAR_FIRST_DASHES = Spelling(rf"^{_DAY}$", lambda c: c.try_cast("date"))
 YEAR_FIRST_SLASHES = Spelling(
     r"^\d{4}/\d{1,2}/\d{1,2}$", lambda c: F.translate(c, "/", "-").try_cast("date")
 )
+# The two above in one: the separators only have to be the same.
+YEAR_FIRST = Spelling(
+    r"^\d{4}([-/])\d{1,2}\1\d{1,2}$", lambda c: F.translate(c, "/", "-").try_cast("date")
+)
 MONTH_FIRST_SLASHES = Spelling(r"^\d{1,2}/\d{1,2}/\d{4}$", lambda c: F.try_to_date(c, "M/d/yyyy"))
 DAY_AND_CLOCK = Spelling(rf"^{_DAY} {_CLOCK}$", lambda c: c.try_cast("timestamp_ntz").cast("date"))
 DAY_AND_CLOCK_FRACTION = Spelling(
@@ -44,8 +48,7 @@ def parse_date(col: Column, *spellings: Spelling) -> Column:
 
 def parse_common_date(col: Column, *, lenient: bool = False) -> Column:
     """Dates as ``2025-06-01``, ``2025/06/01`` or ``06/01/2025``; ``lenient`` also takes ISO timestamps."""
-    accepted = [YEAR_FIRST_DASHES, YEAR_FIRST_SLASHES, MONTH_FIRST_SLASHES]
-    return parse_date(col, *accepted, *([ANY_ISO] if lenient else []))
+    return parse_date(col, YEAR_FIRST, MONTH_FIRST_SLASHES, *([ANY_ISO] if lenient else []))
 
 
 def parse_report_date(name: str) -> Column:

@@ -40,14 +40,14 @@ class Reports:
 
 @dataclass(frozen=True)
 class Patterns:
-    """Globs of the drops in the landing folder."""
+    """Globs of the drops in the landing folder; the defaults are fixed values, the exports' own names."""
 
-    requisitions: str = "MBPS Requisition - All Status*"
+    requisitions: str = "*Requisition - All Status*"
     fulfillment: str = "*Fulfillment*"
     hires: str = "Recruiting - Internal and External Hires*"
-    applications: str = "MBPS Daily Application_2*"
+    applications: str = "*Daily Application_2*"
     prospects: str = "Referrals Without Job Applications*"
-    headcount: str = "pmd_monthly_headcount*"
+    headcount: str = "*monthly_headcount*"
 
 
 def read_reports(spark: SparkSession, landing: str, patterns: Patterns = Patterns()) -> Reports:

@@ -81,8 +81,8 @@ def snapshot_table(df: DataFrame, path: str, as_of: date) -> None:
 
 
 def read_snapshot(spark: SparkSession, path: str, as_of: date) -> DataFrame:
-    """The snapshot of one day; other days' files are not touched."""
-    return spark.read.parquet(path).where(F.col("snapshot_date") == F.lit(as_of)).drop("snapshot_date")
+    """The snapshot of one day as it was written; other days are neither listed nor asked for their schema."""
+    return spark.read.parquet(f"{path}/snapshot_date={as_of.isoformat()}")
 
 
 def snapshot_tables(tables: Mapping[str, DataFrame], folder: str, as_of: date) -> None:

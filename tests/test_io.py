@@ -233,14 +233,14 @@ def test_full_run_from_drops(spark, table, tmp_path):
     landing, out = f"{tmp_path}/landing", f"{tmp_path}/out"
     req_header = "Job Requisition ID,Target Hire Date,Positions Filled (Hire Selected),Positions Openings Available,MBPS Teams,Extra"
     old = report(13, req_header, "JR-OLD-DROP,2025-06-01,0,2,Team A,x")
-    put(f"{landing}/MBPS Requisition - All Status 2025-05-01.csv", old, at=time.time() - 1000)
+    put(f"{landing}/Requisition - All Status 2025-05-01.csv", old, at=time.time() - 1000)
     put(
-        f"{landing}/MBPS Requisition - All Status 2025-06-01.csv",
+        f"{landing}/Requisition - All Status 2025-06-01.csv",
         report(13, req_header, "JR-001,2025-06-01,0,2,Team A,x", "JR-002,2025-07-15,1,0,Team B,x",
                "JR-001,2025-05-01,1,1,Team A,x", "JR-004,2020-01-01,0,1,Team Z,x"),
     )
     put(
-        f"{landing}/MBPS Fulfillment 2025-06-01.csv",
+        f"{landing}/Fulfillment 2025-06-01.csv",
         report(7, ",".join(fv.FULFILLMENT_NAMES), "JR-001,POS-001,EMP-200,Bob,Hire > External,2025-04-01,Level 3",
                "JR-009,POS-009,EMP-209,New,Hire,2025-04-15,Level 4", "JR-003,POS-003,EMP-202,Ivan,Hire,2025-03-15,Level 9"),
     )
@@ -252,7 +252,7 @@ def test_full_run_from_drops(spark, table, tmp_path):
     common = dict(compensation_grade="Level 3", job_requisition_id="JR-001", source="ERP Referral",
                   added_date="2025-01-10", job_application_date="2025-01-10")
     put(
-        f"{landing}/MBPS Daily Application_2025-06-01.csv",
+        f"{landing}/Daily Application_2025-06-01.csv",
         report(16, ",".join(fv.APPLICATION_NAMES),
                csv_line(fv.APPLICATION_NAMES, **common, candidate_id="CAND-001", last_recruiting_stage="Interview",
                         candidate_recruiting_status="Rejected", referred_by_employee_id="EMP-100", referred_by="Bob"),
@@ -265,7 +265,7 @@ def test_full_run_from_drops(spark, table, tmp_path):
         report(0, ",".join(fv.PROSPECT_NAMES), "CAND-010,JR-001,EMP-101,Jane (101),2025-02-01,Referral,,Prospect"),
     )
     put(
-        f"{landing}/pmd_monthly_headcount.csv",
+        f"{landing}/monthly_headcount.csv",
         report(1, ",".join(fv.HEADCOUNT_NAMES), "2025-01-31 00:00:00,Manila,Eng,BE,3,EMP-100",
                "2025-02-28 00:00:00,Manila,Eng,BE,4,EMP-101"),
     )
