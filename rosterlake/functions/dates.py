@@ -59,7 +59,7 @@ def parse_report_date(name: str) -> Column:
         accepted = [DAY_AND_CLOCK_FRACTION]
     else:
         accepted = [DAY_AND_CLOCK, YEAR_FIRST_DASHES]
-    return parse_date(F.col(name), *accepted)
+    return parse_date(F.col(name).cast("string"), *accepted)
 
 
 def parse_embedded_date(col: Column) -> Column:
@@ -68,14 +68,14 @@ def parse_embedded_date(col: Column) -> Column:
     return F.coalesce(found, parse_date(col, ANY_ISO))
 
 
-def as_date(df: DataFrame, name: str) -> Column:
-    """Column as a date whatever its type: date, timestamp or text."""
+def as_date(df: DataFrame, name: str, *, lenient: bool = True) -> Column:
+    """Column as a date whatever its type: date, timestamp or text in a common spelling."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.DateType):
         return F.col(name)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.col(name).cast("date")
-    return parse_common_date(F.col(name), lenient=True)
+    return parse_common_date(F.col(name), lenient=lenient)
 
 
 def years_back(as_of: date, years: int) -> Column:

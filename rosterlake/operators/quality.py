@@ -16,8 +16,9 @@ from rosterlake.operators.dedupe import duplicate_keys
 Checks = Mapping[tuple[str, str], Column]
 
 
-def not_null(columns: Sequence[str]) -> Checks:
-    return {("not_null", c): F.col(c).isNull() for c in columns}
+def not_null(columns: Sequence[str], among: Sequence[str] | None = None) -> Checks:
+    """Nulls in ``columns``; with ``among``, the columns a table has, those it lacks are passed over."""
+    return {("not_null", c): F.col(c).isNull() for c in columns if among is None or c in among}
 
 
 def in_domain(domains: Mapping[str, Sequence]) -> Checks:

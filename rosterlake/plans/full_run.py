@@ -25,6 +25,9 @@ from rosterlake.sources.reports import read_report
 from rosterlake.sources.tables import read_table, stage
 
 
+MASTER = "hires_master.parquet"
+
+
 @dataclass(frozen=True)
 class Reports:
     """Raw inputs: requisitions and applications under column names, the others under report headers."""
@@ -88,13 +91,15 @@ def run(spark: SparkSession, reports: Reports, out: str, as_of: date, scope_year
     """Run the stages and publish their tables under ``out``; returns the published tables.
 
     Each stage reads what the stages before it wrote, so nothing is computed twice and a lost executor costs
-    no more than the stage at work. The master, ``hires_master.parquet``, has to exist.
+    no more than the stage at work. The versioned table ``hires_master.parquet`` has to exist.
     """
 
     def published(name: str, df: DataFrame) -> DataFrame:
         sinks.write_table(df, f"{out}/{name}.parquet")
         return read_table(spark, f"{out}/{name}.parquet")
 
+    master = f"{out}/{MASTER}"
+    present = sinks.read_current(spark, master)
     reports = landed(spark, reports, f"{out}/snapshots/raw", as_of)
     tables = {
         "requisitions": published(
@@ -103,9 +108,8 @@ def run(spark: SparkSession, reports: Reports, out: str, as_of: date, scope_year
     }
     sinks.write_refresh_date(spark, reports.refreshed, f"{out}/refresh_date.csv")
 
-    master = f"{out}/hires_master.parquet"
     incoming = stage(incoming_hires(reports.fulfillment, reports.hires, as_of), "incoming-hires")
-    sinks.replace_table(merge_hires(sinks.read_current(spark, master), incoming), master)
+    sinks.replace_table(merge_hires(present, incoming), master)
     tables["hires"] = published("hires", sinks.read_current(spark, master))
     tables["hire_discrepancies"] = published(
         "hire_discrepancies", hire_discrepancies(tables["hires"], tables["requisitions"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rosterlake import fixed_values as fv
-from rosterlake.functions.dates import parse_common_date, year_month
+from rosterlake.functions.dates import as_date, year_month
 from rosterlake.functions.keys import composite_id
 from rosterlake.functions.text import name_without_id
 from rosterlake.operators.dedupe import distinct_flag, keep_one
@@ -24,7 +24,7 @@ def read_prospects(report: DataFrame) -> DataFrame:
     """Prospect report under column names, with its date parsed, at the stage before the first."""
     named = select_rename(report, fv.PROSPECT_NAMES)
     if "added_date" in named.columns:
-        named = named.withColumn("added_date", parse_common_date(F.col("added_date"), lenient=True))
+        named = named.withColumn("added_date", as_date(named, "added_date"))
     return named.withColumn("last_stage_number", F.lit(fv.PROSPECT_STAGE).cast("short"))
 
 

@@ -31,7 +31,7 @@ def write_refresh_date(spark: SparkSession, refreshed: date, path: str) -> None:
 # A versioned table is a folder ``<name>.parquet`` with ``data/`` (one folder per version) and ``versions/``
 # (one small file per version: number and folder). Data is written first and the version row last, by Spark's
 # own commit protocol, so readers see a version whole or not at all, and a run may read the version it
-# replaces. One writer at a time.
+# replaces. One writer at a time. A run that fails leaves a data folder that no version row names.
 
 
 def current_version(spark: SparkSession, path: str) -> tuple[int, str] | None:

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rosterlake.operators.shape import require_columns
-
 
 def snake_name(header: str) -> str:
     """Header as a column name: lower-case words joined by underscores, ``col`` if there are none."""
@@ -59,25 +57,26 @@ def read_report(
     reads it, so leaving out the preamble costs no shuffle and no second read.
     """
     header = header_line(spark, path, preamble)
-    headers = next(csv.reader([header]))
-    columns = snake_names(headers) if snake else _distinct(headers)
+    headers = next(csv.reader([header.removeprefix("\ufeff")]))
     lines = spark.read.option("recursiveFileLookup", True).text(path)
     lines = lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
     records = lines.mapInArrow(_after_header(preamble, header), "value string").where(F.trim("value") != "")
-    ddl = ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
-    df = records.select(F.from_csv("value", F.lit(ddl), {"mode": "PERMISSIVE", "escape": '"'}).alias("r")).select("r.*")
+    ddl = ", ".join(f"c{i} string" for i in range(len(headers)))
+    fields = records.select(F.from_csv("value", F.lit(ddl), {"mode": "PERMISSIVE", "escape": '"'}).alias("r"))
+
+    titles = snake_names(headers) if snake else headers
+    if names is not None:
+        absent = sorted(set(names) - set(titles))
+        if strict and absent:
+            raise ValueError(f"{path}: missing required columns {absent}")
+        titles = [t if t in names else None for t in titles]
+    chosen = [t.lower() for t in titles if t is not None]
+    if len(set(chosen)) < len(chosen):
+        raise ValueError(f"{path}: header repeats {sorted({t for t in chosen if chosen.count(t) > 1})}")
+    named = {t: F.col("r").getField(f"c{i}") for i, t in enumerate(titles) if t is not None}
     if names is None:
-        return df
-    if strict:
-        require_columns(df, names, path)
-    return df.select([F.col(f"`{old}`").alias(new) for old, new in names.items() if old in df.columns])
-
-
-def _distinct(headers: Sequence[str]) -> list[str]:
-    repeated = [h for i, h in enumerate(headers) if h in headers[:i]]
-    if repeated:
-        raise ValueError(f"header repeats {repeated}; read it with snake=True")
-    return list(headers)
+        return fields.select([field.alias(t) for t, field in named.items()])
+    return fields.select([named[old].alias(new) for old, new in names.items() if old in named])
 
 
 def _after_header(preamble: int, header: str):

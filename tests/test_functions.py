@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import date, datetime
 
 import pytest
@@ -23,6 +24,26 @@ def test_common_date_spellings(table):
     assert answers(table, dates.parse_common_date, "string", *given) == [JUNE] * 5 + [None] * 9
 
 
+def test_common_dates_against_the_standard_library(table):
+    rng = random.Random(11)
+    forms = ["{y:04d}-{m:02d}-{d:02d}", "{y:04d}/{m:02d}/{d:02d}", "{m:02d}/{d:02d}/{y:04d}", "{y}-{m}-{d}", "{m}/{d}/{y}",
+             "{d:02d}.{m:02d}.{y}", "{y:04d}-{m:02d}/{d:02d}", "{y:04d}-{m:02d}-{d:02d}x"]
+    given = [
+        rng.choice(forms).format(y=rng.randint(1900, 2100), m=rng.randint(0, 13), d=rng.randint(0, 32))
+        for _ in range(1500)
+    ]
+
+    def expected(text):
+        for form in ("%Y-%m-%d", "%Y/%m/%d", "%m/%d/%Y"):
+            try:
+                return datetime.strptime(text, form).date()
+            except ValueError:
+                pass
+        return None
+
+    assert answers(table, dates.parse_common_date, "string", *given) == [expected(t) for t in given]
+
+
 def test_lenient_common_date_also_takes_iso_timestamps(table):
     given = ["2025-06-01 00:00:00", "2025-06-01T10:11:12", "06/01/2025", "2025", "2025-06", "n/a"]
     parse = lambda c: dates.parse_common_date(c, lenient=True)

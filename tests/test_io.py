@@ -6,10 +6,12 @@ from datetime import date
 from types import SimpleNamespace
 
 import pytest
+from hypothesis import given, strategies as st
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from rosterlake import fixed_values as fv
+from rosterlake.__main__ import main
 from rosterlake.plans import full_run
 from rosterlake.sinks import tables as sinks
 from rosterlake.sources import drops, reports
@@ -41,6 +43,13 @@ def test_snake_name(header, name):
     assert reports.snake_name(header) == name
 
 
+@given(st.lists(st.text(max_size=6), max_size=12))
+def test_snake_names_are_distinct_and_tidy(headers):
+    names = reports.snake_names(headers)
+    assert len(names) == len(set(names)) == len(headers)
+    assert all(n and n == n.strip("_") and "__" not in n and not any(c.isspace() for c in n) for n in names)
+
+
 def test_snake_names_stay_distinct():
     assert reports.snake_names(["Name", "name", "NAME"]) == ["name", "name_1", "name_2"]
     assert reports.snake_names(["x", "x_1", "X"]) == ["x", "x_1", "x_2"]
@@ -112,9 +121,11 @@ def test_report_columns(spark, tmp_path):
     assert read(names={"Name": "n", "Gone": "g"}).collect() == [("a",)]
     with pytest.raises(ValueError, match="Gone"):
         read(names={"Name": "n", "Gone": "g"}, strict=True)
-    put(f"{tmp_path}/twice.csv", report(0, "ID,ID", "1,a"))
+    put(f"{tmp_path}/twice.csv", report(0, "ID,id", "1,a"))
     with pytest.raises(ValueError, match="repeats"):
         reports.read_report(spark, f"{tmp_path}/twice.csv")
+    put(f"{tmp_path}/marked.csv", "\ufeff" + report(0, "ID,Name", "1,a"))
+    assert reports.read_report(spark, f"{tmp_path}/marked.csv").columns == ["ID", "Name"]
     put(f"{tmp_path}/short.csv", "one\ntwo\n")
     with pytest.raises(ValueError, match="no header"):
         reports.read_report(spark, f"{tmp_path}/short.csv", 2)
@@ -229,8 +240,9 @@ def csv_line(names, **cells):
     return ",".join(cells.get(new, "") for new in names.values())
 
 
-def test_full_run_from_drops(spark, table, tmp_path):
-    landing, out = f"{tmp_path}/landing", f"{tmp_path}/out"
+@pytest.fixture
+def landing(tmp_path):
+    landing = f"{tmp_path}/landing"
     req_header = "Job Requisition ID,Target Hire Date,Positions Filled (Hire Selected),Positions Openings Available,MBPS Teams,Extra"
     old = report(13, req_header, "JR-OLD-DROP,2025-06-01,0,2,Team A,x")
     put(f"{landing}/Requisition - All Status 2025-05-01.csv", old, at=time.time() - 1000)
@@ -269,10 +281,30 @@ def test_full_run_from_drops(spark, table, tmp_path):
         report(1, ",".join(fv.HEADCOUNT_NAMES), "2025-01-31 00:00:00,Manila,Eng,BE,3,EMP-100",
                "2025-02-28 00:00:00,Manila,Eng,BE,4,EMP-101"),
     )
-    master = table("jrpos_id string, job_requisition_id string, employee_id string", ("JR-001_POS-001", "JR-001", "EMP-200"),
-                   ("JR-002_POS-002", "JR-002", "EMP-201"))
-    sinks.replace_table(master, f"{out}/hires_master.parquet")
+    return landing
+
+
+@pytest.fixture
+def first_master(table):
+    return table("jrpos_id string, job_requisition_id string, employee_id string", ("JR-001_POS-001", "JR-001", "EMP-200"),
+                 ("JR-002_POS-002", "JR-002", "EMP-201"))
+
+
+def test_command_line(spark, landing, first_master, tmp_path):
+    out = f"{tmp_path}/out"
+    first_master.write.parquet(f"{tmp_path}/first")
+    call = [landing, out, "--as-of", "2025-06-01", "--scope-years", "3"]
+    with pytest.raises(FileNotFoundError):
+        main(call)
+    tables = main([*call, "--first-master", f"{tmp_path}/first"])
+    assert tables["hires"].count() == 3 and tables["headcount"].count() == 3
+    with pytest.raises(SystemExit):
+        main([*call, "--first-master", f"{tmp_path}/first"])
+
 
+def test_full_run_from_drops(spark, landing, first_master, tmp_path):
+    out = f"{tmp_path}/out"
+    sinks.replace_table(first_master, f"{out}/{full_run.MASTER}")
     found = full_run.read_reports(spark, landing)
     assert found.refreshed == date(2025, 6, 1)
     tables = full_run.run(spark, found, out, date(2025, 6, 1), 3)

@@ -380,7 +380,7 @@ def test_violations_in_one_pass(table):
         (1, "OPEN", date(2025, 1, 1)), (None, "CAN", date(2025, 9, 9)), (9, None, None), (-1, "??", date(2025, 1, 1)),
     )
     checks = {
-        **dq.not_null(["a", "s"]),
+        **dq.not_null(["a", "s", "absent"], df.columns),
         **dq.in_domain({"s": ["OPEN", "CAN"]}),
         **dq.in_range("a", 0, 8),
         **dq.not_after("d", date(2025, 6, 1)),
