@@ -80,9 +80,12 @@ def headcount(spark, sf):
     return spark_view(spark, sf, "headcount")
 
 
+def flag_headcount(spark, sf, referred: DataFrame):
+    return hc.headcount_with_referrals(headcount(spark, sf), referrals.unique_referrals(referred), HEADCOUNT_DATE)
+
+
 def flagged_headcount(spark, sf):
-    unique = referrals.unique_referrals(all_referrals(spark, sf))
-    return hc.headcount_with_referrals(headcount(spark, sf), unique, HEADCOUNT_DATE)
+    return flag_headcount(spark, sf, all_referrals(spark, sf))
 
 
 # --- sources -----------------------------------------------------------------------------------------
@@ -355,6 +358,7 @@ def dq_duplicated_rows(spark, sf):
 def dq_rules(spark, sf):
     status, openings = F.col("jobreq_status"), F.col("positions_openings_available")
     requested = F.col("positions_requested_new")
+    referred = stage(all_referrals(spark, sf), "referrals")
     return _report(
         dq.violations(
             requisitions(spark, sf),
@@ -372,11 +376,11 @@ def dq_rules(spark, sf):
             {**dq.in_range("last_stage_number", 2, 8), **dq.not_after("job_application_date", AS_OF_DATE)},
         ),
         dq.violations(
-            all_referrals(spark, sf),
+            referred,
             {**dq.in_range("last_stage_number", 0), **dq.not_after("added_date", HEADCOUNT_DATE)},
         ),
         dq.violations(
-            flagged_headcount(spark, sf),
+            flag_headcount(spark, sf, referred),
             {**dq.matches("headcount_id", r"^.+_\d{4}-\d{2}$"), **dq.matches("job_grade", "^Level [1-9]")},
         ),
     )

@@ -62,7 +62,9 @@ def read_report(
     lines = lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
     records = lines.mapInArrow(_after_header(preamble, header), "value string").where(F.trim("value") != "")
     ddl = ", ".join(f"c{i} string" for i in range(len(headers)))
-    fields = records.select(F.from_csv("value", F.lit(ddl), {"mode": "PERMISSIVE", "escape": '"'}).alias("r"))
+    # In a generator the line is parsed once; as a plain expression it would be copied into every later filter.
+    parsed = F.from_csv("value", F.lit(ddl), {"mode": "PERMISSIVE", "escape": '"'})
+    fields = records.select(F.inline(F.array(parsed)))
 
     titles = snake_names(headers) if snake else headers
     if names is not None:
@@ -73,7 +75,7 @@ def read_report(
     chosen = [t.lower() for t in titles if t is not None]
     if len(set(chosen)) < len(chosen):
         raise ValueError(f"{path}: header repeats {sorted({t for t in chosen if chosen.count(t) > 1})}")
-    named = {t: F.col("r").getField(f"c{i}") for i, t in enumerate(titles) if t is not None}
+    named = {t: F.col(f"c{i}") for i, t in enumerate(titles) if t is not None}
     if names is None:
         return fields.select([field.alias(t) for t, field in named.items()])
     return fields.select([named[old].alias(new) for old, new in names.items() if old in named])
