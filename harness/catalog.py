@@ -151,7 +151,8 @@ def sink_roundtrip(spark, sf):
     sinks.write_csv(orders, f"{folder}/orders.csv")
     back = read_table(spark, f"{folder}/orders.parquet").withColumn("sink", F.lit("parquet"))
     csv = spark.read.schema(orders.schema).option("header", True).csv(f"{folder}/orders.csv")
-    return back.unionByName(csv.withColumn("sink", F.lit("csv")))
+    both = back.unionByName(csv.withColumn("sink", F.lit("csv")))
+    return both.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
 def sink_refresh_date(spark, sf):

@@ -292,7 +292,9 @@ def _checks(*rows: tuple[str, str, str, str]) -> str:
     return " union all ".join(_check(*r) for r in rows)
 
 
-_ORDER_COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+_ORDER_COLUMNS = (
+    "o_orderkey, o_custkey, o_orderstatus, o_totalprice, cast(o_orderdate as varchar) as o_orderdate, o_orderpriority"
+)
 
 ORACLES: dict[str, str] = {
     # sources
