@@ -23,6 +23,7 @@ def main(arguments: Sequence[str] | None = None) -> dict[str, DataFrame]:
     parser.add_argument("out", help="folder of the tables")
     parser.add_argument("--as-of", type=date.fromisoformat, default=date.today(), help="reference date, today if left out")
     parser.add_argument("--scope-years", type=int, default=fv.REQUISITION_SCOPE_YEARS, help="calendar years of requisitions before the feed's")
+    parser.add_argument("--one-per-key", action="store_true", help="one update per position, so that no master row is multiplied")
     parser.add_argument("--first-master", help="parquet table of master hires to begin with; only for a first run")
     args = parser.parse_args(arguments)
 
@@ -34,7 +35,7 @@ def main(arguments: Sequence[str] | None = None) -> dict[str, DataFrame]:
         first = align_schema(spark.read.parquet(args.first_master), fv.MASTER_HIRES, "first master")
         sinks.replace_table(first, master)
     reports = full_run.read_reports(spark, args.landing)
-    tables = full_run.run(spark, reports, args.out, args.as_of, args.scope_years)
+    tables = full_run.run(spark, reports, args.out, args.as_of, args.scope_years, one_per_key=args.one_per_key)
     log.info("published %s under %s", ", ".join(tables), args.out)
     return tables
 

@@ -87,9 +87,13 @@ def referral_tables(applications: DataFrame, prospects: DataFrame) -> tuple[Data
     return referrals, unique_referrals(referrals)
 
 
-def run(spark: SparkSession, reports: Reports, out: str, as_of: date, scope_years: int) -> dict[str, DataFrame]:
+def run(
+    spark: SparkSession, reports: Reports, out: str, as_of: date, scope_years: int, *, one_per_key: bool = False
+) -> dict[str, DataFrame]:
     """Run the stages and publish their tables under ``out``; returns the published tables.
 
+    ``one_per_key`` goes to the upsert of hires.
+
     Each stage reads what the stages before it wrote, so nothing is computed twice and a lost executor costs
     no more than the stage at work. The versioned table ``hires_master.parquet`` has to exist.
     """
@@ -109,7 +113,7 @@ def run(spark: SparkSession, reports: Reports, out: str, as_of: date, scope_year
     sinks.write_refresh_date(spark, reports.refreshed, f"{out}/refresh_date.csv")
 
     incoming = stage(incoming_hires(reports.fulfillment, reports.hires, as_of), "incoming-hires")
-    sinks.replace_table(merge_hires(present, incoming), master)
+    sinks.replace_table(merge_hires(present, incoming, one_per_key=one_per_key), master)
     tables["hires"] = published("hires", sinks.read_current(spark, master))
     tables["hire_discrepancies"] = published(
         "hire_discrepancies", hire_discrepancies(tables["hires"], tables["requisitions"])

@@ -294,7 +294,7 @@ def first_master(table):
 def test_command_line(spark, landing, first_master, tmp_path):
     out = f"{tmp_path}/out"
     first_master.write.parquet(f"{tmp_path}/first")
-    call = [landing, out, "--as-of", "2025-06-01", "--scope-years", "3"]
+    call = [landing, out, "--as-of", "2025-06-01", "--scope-years", "3", "--one-per-key"]
     with pytest.raises(FileNotFoundError):
         main(call)
     tables = main([*call, "--first-master", f"{tmp_path}/first"])
