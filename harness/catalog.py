@@ -364,7 +364,9 @@ def dq_rules(spark, sf):
         dq.violations(
             requisitions(spark, sf),
             {
-                **dq.implies("cancelled_requests_nothing", "positions_requested_new", status == "CAN", requested == 0),
+                **dq.implies(
+                    "cancelled_requests_nothing", "positions_requested_new", status == "CAN", requested == 0
+                ),
                 **dq.implies("open_has_openings", "positions_openings_available", status == "OPEN", openings > 0),
                 **dq.implies(
                     "filled_has_no_openings", "positions_openings_available", status == "FILLED", openings == 0
@@ -391,10 +393,9 @@ def dq_rules(spark, sf):
 
 
 def all_reports(spark, sf) -> full_run.Reports:
-    headcount_report = _under_headers(
-        spark_view(spark, sf, "headcount", RUN_MONTH_ENDS).withColumn("reporting_date", F.concat(F.col("reporting_date"), F.lit(" 00:00:00"))),
-        fv.HEADCOUNT_NAMES,
-    )
+    stamped = F.concat(F.col("reporting_date"), F.lit(" 00:00:00"))
+    monthly = spark_view(spark, sf, "headcount", RUN_MONTH_ENDS).withColumn("reporting_date", stamped)
+    headcount_report = _under_headers(monthly, fv.HEADCOUNT_NAMES)
     return full_run.Reports(
         requisitions=spark_view(spark, sf, "requisition_report"),
         fulfillment=fulfillment_report(spark, sf),

@@ -21,10 +21,11 @@ def main(arguments: Sequence[str] | None = None) -> dict[str, DataFrame]:
     parser = argparse.ArgumentParser(prog="rosterlake", description="Recruiting exports to analytical tables.")
     parser.add_argument("landing", help="folder with the report drops")
     parser.add_argument("out", help="folder of the tables")
-    parser.add_argument("--as-of", type=date.fromisoformat, default=date.today(), help="reference date, today if left out")
-    parser.add_argument("--scope-years", type=int, default=fv.REQUISITION_SCOPE_YEARS, help="calendar years of requisitions before the feed's")
-    parser.add_argument("--one-per-key", action="store_true", help="one update per position, so that no master row is multiplied")
-    parser.add_argument("--first-master", help="parquet table of master hires to begin with; only for a first run")
+    add = parser.add_argument
+    add("--as-of", type=date.fromisoformat, default=date.today(), help="reference date, today if left out")
+    add("--scope-years", type=int, default=fv.REQUISITION_SCOPE_YEARS, help="years of requisitions before the feed's")
+    add("--one-per-key", action="store_true", help="one update per position, so that no master row is multiplied")
+    add("--first-master", help="parquet table of master hires to begin with; only for a first run")
     args = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("rosterlake").getOrCreate()

@@ -25,10 +25,9 @@ def keep_one(
     keys, prefer = list(keys), list(prefer)
     rest = [c for c in df.columns if c not in keys and c not in prefer]
     rank = [p for c in prefer for p in ([F.col(c).isNull().alias(f"{c}__null")] if nulls_win else []) + [F.col(c)]]
-    best = F.max(F.struct(*rank, *[F.col(c) for c in rest])).alias("__best")
     if not rank and not rest:
         return df.distinct()
-    picked = df.groupBy(*keys).agg(best)
+    picked = df.groupBy(*keys).agg(F.max(F.struct(*rank, *[F.col(c) for c in rest])).alias("__best"))
     return picked.select([F.col(c) if c in keys else F.col("__best").getField(c).alias(c) for c in df.columns])
 
 
