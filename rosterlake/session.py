@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -20,4 +22,16 @@ def local_session(cores: int | str = "*", *, app: str = "rosterlake", **settings
     )
     for name, value in settings.items():
         builder = builder.config(name.replace("__", "."), value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    own_checkpoint_folder(session)
+    return session
+
+
+def own_checkpoint_folder(spark: SparkSession) -> None:
+    """A temporary checkpoint folder for a session on one machine that names none, as in tests; elsewhere an error."""
+    context = spark.sparkContext
+    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir():
+        return
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="rosterlake-"))

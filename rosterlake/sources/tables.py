@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -22,16 +21,10 @@ def read_table(
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder that ``spark.checkpoint.dir`` names.
-
-    Without that setting a local session gets a temporary folder; a cluster session is an error, since its
-    executors share no local disk.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh path in the shared folder that ``spark.checkpoint.dir`` or ``setCheckpointDir`` names; an error without one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="rosterlake-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared.rstrip('/')}/rosterlake/{label}-{uuid.uuid4().hex}"
 
 
