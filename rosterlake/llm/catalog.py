@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from rosterlake.llm import mixing
+from rosterlake.llm import decontamination, mixing, simhash, token_counts, token_files
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_token_counts": token_counts.op2_token_counts,
+    "op5_decontamination": decontamination.op5_decontamination,
+    "op8_token_files": token_files.op8_token_files,
+    "op10_simhash": simhash.op10_simhash,
 }
 
 ORACLES = {
     "op1_mixing": mixing.ORACLE,
+    "op5_decontamination": decontamination.ORACLE,
 }

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from rosterlake.sources.tables import stage
 
-__all__ = ["in_order", "stage"]
+__all__ = ["free", "in_order", "stage"]
+
+
+def free(df: DataFrame, name: str) -> str:
+    """A name like ``name`` that no column of ``df`` has."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
 
 
 def in_order(df: DataFrame, by: list[Column], label: str, size: Column | None = None) -> DataFrame:

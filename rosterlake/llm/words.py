@@ -77,7 +77,8 @@ class Texts:
     word of each text (one more entry at the end), ``doc`` of each word."""
 
     def __init__(self, texts: pa.Array, letters: np.ndarray = NOT_BLANK, lower: bool = False):
-        joined = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), ""), "", " ")
+        space, nothing = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+        joined = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), ""), nothing, space)
         n = len(joined)
         self.bounds = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + n + 1]
         low = int(self.bounds[0])
