@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from rosterlake.llm import decontamination, mixing, simhash, token_counts, token_files
+import corpus_pipeline
+from rosterlake.llm import decontamination, mixing, quality, rules, secrets, simhash, substrings, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_token_counts": token_counts.op2_token_counts,
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op4_substrings": substrings.op4_substrings,
     "op5_decontamination": decontamination.op5_decontamination,
+    "op6_quality": quality.op6_quality,
+    "op7_rules": rules.op7_rules,
     "op8_token_files": token_files.op8_token_files,
+    "op9_secrets": secrets.op9_secrets,
     "op10_simhash": simhash.op10_simhash,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
     "op1_mixing": mixing.ORACLE,
+    "op4_substrings": substrings.ORACLE,
     "op5_decontamination": decontamination.ORACLE,
-}
+    "op7_rules": rules.ORACLE,
+} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -137,9 +137,10 @@ def roots(edges: DataFrame) -> DataFrame:
     edges, before = stage(edges, "links"), None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Staged, so that nothing stands between it and the join, and adaptive execution can split the edges of a hub.
+        least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least-neighbours")
         large = stage(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-stars")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "least-neighbours")
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         edges = stage(small.distinct(), "small-stars")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

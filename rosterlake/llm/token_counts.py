@@ -67,14 +67,16 @@ def _counts(name: str):
 
 
 def count_tokens(docs: DataFrame, cache: str, tokenizer: str = "piece_bpe_32k.model") -> DataFrame:
-    """Per document ``row`` (all its columns) and ``n_tokens``. ``cache``: folder of the counts, made if it isn't there."""
+    """Per document ``row`` (all its columns), ``n_bytes`` of its text in UTF-8 and ``n_tokens``. ``cache``: folder of the
+    counts, made if it isn't there."""
     spark: SparkSession = docs.sparkSession
     version = bytearray(hashlib.sha256(tokenizer.rpartition(".")[2].encode() + Path(vocabulary(tokenizer)).read_bytes()).digest())
     spark.createDataFrame([], CACHE).write.mode("ignore").parquet(cache)
     known = lambda: spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == F.lit(version))
 
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.select(F.struct("*").alias("row"), text.alias("content_text"), F.unhex(F.sha2(text, 256)).alias("content"))
+    size = F.octet_length(text).cast("long").alias("n_bytes")
+    keyed = docs.select(F.struct("*").alias("row"), size, text.alias("content_text"), F.unhex(F.sha2(text, 256)).alias("content"))
     missing = stage(keyed.select("content").distinct().join(known(), "content", "left_anti"), "missing-counts")
     contents = keyed.select("content", "content_text")
     # Copies are combined before the shuffle. Where little is missing, known texts are not shuffled at all.
@@ -84,13 +86,13 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str = "piece_bpe_32k.mo
         contents = contents.groupBy("content").agg(F.first("content_text").alias("content_text")).join(missing, "content", "left_semi")
     counted = contents.mapInArrow(_counts(tokenizer), "content binary, n_tokens bigint")
     counted.select(F.lit(version).alias("tokenizer"), "content", "n_tokens").write.mode("append").parquet(cache)
-    # Two runs at once may have appended the same content.
-    counts = known().groupBy("content").agg(F.first("n_tokens").alias("n_tokens"))
-    return keyed.join(counts, "content", "left").select("row", "n_tokens")
+    # Two runs at once may have appended the same content. The counts are staged so that nothing stands between them and the
+    # join, and adaptive execution can split the rows of a content with many copies.
+    counts = stage(known().groupBy("content").agg(F.first("n_tokens").alias("n_tokens")), "counts")
+    return keyed.join(counts, "content", "left").select("row", "n_bytes", "n_tokens")
 
 
 def op2_token_counts(spark, sf_dir: str) -> DataFrame:
     """Starts with an empty cache of its own, so that every distinct text is encoded in every run."""
     found = count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), scratch_path(spark, "token-counts"))
-    size = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long")
-    return found.select("row.doc_id", size.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+    return found.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))

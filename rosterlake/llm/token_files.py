@@ -96,12 +96,12 @@ _ODD = re.compile("[^\t\n\r -~¡-ÿ]").search
 class Encoder:
     """Texts to the bytes of their ids as the library encodes the whole text, without added special tokens.
 
-    Where the vocabulary drops white space and splits words before its merges, a text of plain characters is the sum of its
-    words, so words are encoded once and remembered. Any other text or vocabulary goes through the library whole.
+    Where the vocabulary drops white space and splits words before its merges, a text of plain characters is the sum of the
+    pieces it is split into, so pieces are encoded once and remembered. Any other text or vocabulary goes through the library whole.
     """
 
-    #: Entries remembered before starting over.
-    MOST = 400_000
+    #: Pieces remembered before starting over, some 200 bytes each.
+    MOST = 1_500_000
 
     def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -123,21 +123,15 @@ class Encoder:
         self.kind = np.dtype("<u2" if max(self.tokenizer.get_vocab().values()) < 1 << 16 else "<u4")
         self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
         self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        split = [_PIECES(w.lower()) for w in words]
-        new = list(set().union(*split) - self.pieces.keys())
-        if len(self.pieces) + len(new) > 2 * self.MOST:
-            self.pieces.clear()
-            new = list(set().union(*split))
-        for k in range(0, len(new), 1000):
-            some = new[k : k + 1000]
-            ids = np.asarray(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.int64)
+    def _learn(self, new: list[str]) -> None:
+        lines = [new[k : k + 1000] for k in range(0, len(new), 1000)]
+        for some, line in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+            ids = np.asarray(line.ids, np.int64)
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) != len(some):  # a piece that is no word of the vocabulary's on its own
                 self.pieces.update((p, self._whole(p)) for p in some)
@@ -145,27 +139,18 @@ class Encoder:
             data, size = ids.astype(self.kind).tobytes(), self.kind.itemsize
             at = [0, *(ends * size).tolist()]
             self.pieces.update((p, data[at[i] : at[i + 1]]) for i, p in enumerate(some))
-        if len(self.words) + len(words) > self.MOST:
-            self.words.clear()
-        get = self.pieces.__getitem__
-        self.words.update((w, b"".join(map(get, p))) for w, p in zip(words, split, strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [self._whole(t) for t in texts]
-        plain = [not _ODD(t) and not any(s in t for s in self.specials) for t in texts]
-        split = [t.split() if p else () for t, p in zip(texts, plain, strict=True)]
-        found: list[bytes] = [b""] * len(texts)
-        for begin, end in _cuts(list(map(len, split)), self.MOST // 4):
-            new = list(set().union(*split[begin:end]) - self.words.keys())
-            if len(self.words) + len(new) > self.MOST:
-                self.words.clear()
-                new = list(set().union(*split[begin:end]))
-            self._learn(new)
-            get = self.words.__getitem__
-            for i in range(begin, end):
-                found[i] = b"".join(map(get, split[i])) if plain[i] else self._whole(texts[i])
-        return found
+        split = [None if _ODD(t) or any(s in t for s in self.specials) else _PIECES(t.lower()) for t in texts]
+        new = set().union(*filter(None, split)) - self.pieces.keys()
+        if len(self.pieces) + len(new) > self.MOST:
+            self.pieces.clear()
+            new = set().union(*filter(None, split))
+        self._learn(list(new))
+        get = self.pieces.__getitem__
+        return [self._whole(t) if p is None else b"".join(map(get, p)) for t, p in zip(texts, split, strict=True)]
 
 
 def _cuts(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
