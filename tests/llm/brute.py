@@ -42,15 +42,15 @@ def token_files(docs, tokenizer="word_bpe_49k.json"):
 
 
 def windows_removed(docs, n=50):
-    words = {d["doc_id"]: WORD.findall(d["text"] or "") for d in docs}
+    words = [(d["doc_id"], WORD.findall(d["text"] or "")) for d in docs]
     first: dict = {}
-    for i in sorted(words):
-        for k in range(len(words[i]) - n + 1):
-            first.setdefault(tuple(words[i][k : k + n]), i)
-    for i, w in words.items():
-        gone = {k + j for k in range(len(w) - n + 1) if first[tuple(w[k : k + n])] < i for j in range(n)}
-        kept = [x for j, x in enumerate(w) if j not in gone]
-        yield i, len(w), len(gone), sha256(" ".join(kept))
+    for i, w in sorted((x for x in words if x[0] is not None), key=lambda x: x[0]):
+        for k in range(len(w) - n + 1):
+            first.setdefault(tuple(w[k : k + n]), i)
+    for i, w in words:
+        starts = [] if i is None else [k for k in range(len(w) - n + 1) if first[tuple(w[k : k + n])] < i]
+        gone = {k + j for k in starts for j in range(n)}
+        yield i, len(w), len(gone), sha256(" ".join(x for j, x in enumerate(w) if j not in gone))
 
 
 def simhash(docs, bits=4, shingle=4):
