@@ -99,9 +99,10 @@ def _odd_word_length(texts: Texts) -> np.ndarray:
 
 
 def _too_many_dup_lines(texts: Texts) -> np.ndarray:
-    """Over 30 of 100 lines with a word."""
-    lines = [sum(1 for x in _lines(texts, i) if x and not x.isspace()) for i in range(len(texts))]
-    return 100 * n_dup_lines(texts) > 30 * np.array(lines, np.int64)
+    """Over 30 of 100 lines with a word, and more than one: a single line that comes twice is no habit."""
+    lines = np.array([sum(1 for x in _lines(texts, i) if x and not x.isspace()) for i in range(len(texts))], np.int64)
+    repeated = n_dup_lines(texts)
+    return (repeated > 1) & (100 * repeated > 30 * lines)
 
 
 #: The first two are the base that every text has to pass.
@@ -217,6 +218,6 @@ with doc as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
        not (n_words < 20 or 100 * n_repeat_words > 30 * n_words or 10 * n_symbols > 3 * n_words
-            or word_chars < 2 * n_words or word_chars > 12 * n_words or 100 * n_dup_lines > 30 * n_lines) as kept
+            or word_chars < 2 * n_words or word_chars > 12 * n_words or (n_dup_lines > 1 and 100 * n_dup_lines > 30 * n_lines)) as kept
 from measured
 """

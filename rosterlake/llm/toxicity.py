@@ -50,7 +50,7 @@ class Ftrl:
 
     alpha: float = 3.0
     beta: float = 1.0
-    l1: float = 5.0
+    l1: float = 8.0
     l2: float = 0.1
 
     def __post_init__(self):
@@ -116,7 +116,7 @@ class Model:
         return 1 / (1 + np.exp(-total))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", rows: int = ROWS, epochs: int = 4) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", rows: int = ROWS, epochs: int = 6) -> Model:
     texts = training_texts(docs, labels, label, rows)
     examples = computed(texts, _examples, "places binary", carry=["turn", "label"]).select("row.*", "places")
     found = in_turn(examples, rows).select("places", "label").mapInArrow(_trained(epochs), "place bigint, weight double").toPandas()
