@@ -7,6 +7,7 @@ join, the funnel a join to a stage list, the incoming hires are joined first and
 from __future__ import annotations
 
 from harness.recruiting_views import AS_OF, HEADCOUNT_AS_OF, RUN_MONTH_ENDS, duckdb_sql
+from rosterlake import fixed_values as fv
 
 SCOPE_YEARS = 3
 _CUTOFF_REQ = f"make_date(year(date '{AS_OF}') - {SCOPE_YEARS}, 1, 1)"
@@ -36,11 +37,12 @@ def _desc(*columns: str) -> str:
 
 # --- requisitions ------------------------------------------------------------------------------------
 
+_REQ_DATE = _parsed("target_hire_date", "%Y-%m-%d", "%Y/%m/%d")
 _REQ_TYPED = f"""req_typed as (
-select job_requisition_id, target_hire_date,
+select job_requisition_id, {_REQ_DATE} as target_hire_date,
     try_cast(positions_filled_hire_selected as smallint) as positions_filled_hire_selected,
     try_cast(positions_openings_available as smallint) as positions_openings_available, mbps_teams
-from requisition_report where target_hire_date >= {_CUTOFF_REQ})"""
+from requisition_report where {_REQ_DATE} >= {_CUTOFF_REQ})"""
 
 _REQ = f"""requisitions as (
 select job_requisition_id, target_hire_date, positions_filled_hire_selected, positions_openings_available,
@@ -89,15 +91,11 @@ select candidate_id, {_plain("added_date")} as added_date, {_plain("recruiting_s
     employee_id || '_' || strftime({_STARTED}, '%Y%m') as eehire_id
 from hires_report where {_STARTED} >= {_CUTOFF_HIRE})"""
 
-_FULFILLED_COLUMNS = [
-    "job_requisition_id", "position_id", "employee_id", "employee_name", "business_process_reason",
-    "candidate_start_date", "grade_proposed", "jrpos_id", "eehire_id", "jree_id",
-]
+_FULFILLED_COLUMNS = [*fv.FULFILLMENT_NAMES.values(), "jrpos_id", "eehire_id", "jree_id"]
 _HIRED_COLUMNS = [
-    "candidate_id", "added_date", "recruiting_start_date", "job_application_date", "ready_for_hire_date",
-    "recruiter_completed_offer", "referred_by_employee_id", "source", "recruiting_agency", "offer_accepted_date",
-    "jr_unfreeze_date", "days_frozen", "rfh_recruiter_id",
-]
+    *(c for c in fv.HIRES_NAMES.values() if c not in ("employee_id", "candidate_start_date", "recruiter_employee_id")),
+    "rfh_recruiter_id",
+]
 _INCOMING_COLUMNS = _FULFILLED_COLUMNS + _HIRED_COLUMNS
 _TIES = [c for c in _INCOMING_COLUMNS if c not in ("eehire_id", "candidate_start_date", "employee_id")]
 
@@ -110,15 +108,7 @@ where n = 1)"""
 
 _INCOMING = (_view("fulfillment_report"), _view("hires_report"), _FULFILLED, _HIRED, _INCOMING_CTE)
 
-_MASTER_COLUMNS = [
-    "jrpos_id", "jree_id", "eehire_id", "job_requisition_id", "employee_id", "candidate_id", "employee_name",
-    "position_id", "business_process_reason", "recruiting_start_date", "added_date", "job_application_date",
-    "ready_for_hire_date", "candidate_start_date", "is_hire_on_time_exception", "jr_unfreeze_date",
-    "offer_accepted_date", "days_frozen", "rfh_recruiter_id", "rfh_recruiter_id_exception",
-    "recruiter_completed_offer", "source", "source_exception", "recruiting_agency", "referred_by_employee_id",
-    "remarks", "termination_date", "termination_reason", "termination_reason_category",
-    "termination_tenure_days_bucket",
-]
+_MASTER_COLUMNS = fv.MASTER_HIRES.names
 
 
 def _updated(c: str) -> str:
@@ -143,18 +133,9 @@ union all {_NEW_SQL})"""
 
 # --- applications ------------------------------------------------------------------------------------
 
-_RAW_APPLICATION_COLUMNS = [
-    "candidate_id", "candidate_name", "job_requisition_id", "job_requisition", "recruiting_instruction",
-    "job_family", "compensation_grade", "worker_type_hiring_requirement", "worker_sub_type_hiring_requirement",
-    "target_hire_date", "added_date", "job_application_date", "offer_accepted_date", "candidate_start_date",
-    "recruiter_employee_id", "recruiter_completed_offer", "disposition_reason", "candidate_recruiting_status",
-    "last_recruiting_stage", "hired", "hire_transaction_status", "source", "referred_by_employee_id",
-    "referred_by", "recruiting_agency", "last_employer", "school_name", "is_cancelled", "mbps_teams",
-]
-_DATES = ["target_hire_date", "added_date", "job_application_date", "offer_accepted_date", "candidate_start_date"]
-_STAGE_NUMBER = """case last_recruiting_stage when 'Review' then 1 when 'Screen' then 2 when 'Assessment' then 3
-    when 'Interview' then 4 when 'Reference Check' then 5 when 'Offer' then 6 when 'Background Check' then 7
-    when 'Ready for Hire' then 8 end"""
+_RAW_APPLICATION_COLUMNS = list(fv.APPLICATION_NAMES.values())
+_DATES = fv.APPLICATION_DATES
+_STAGE_NUMBER = f"case last_recruiting_stage {' '.join(f"when '{label}' then {n}" for label, n in fv.STAGES.items())} end"
 
 _APP_TYPED = f"""app_typed as (
 select * replace ({", ".join(f"{_common(c)} as {c}" for c in _DATES)}, coalesce(source, 'zzz_unknown') as source)
@@ -292,28 +273,30 @@ def _checks(*rows: tuple[str, str, str, str]) -> str:
     return " union all ".join(_check(*r) for r in rows)
 
 
-_ORDER_COLUMNS = (
-    "o_orderkey, o_custkey, o_orderstatus, o_totalprice, cast(o_orderdate as varchar) as o_orderdate, o_orderpriority"
+_NOTED = _with(_view("noted_orders"))
+_NOTED_TEXT = ", ".join(
+    f"cast({c} as varchar) as {c}"
+    for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "note")
 )
+_STARRED = "select * replace (o_orderstatus || '*' as o_orderstatus), "
 
 ORACLES: dict[str, str] = {
     # sources
-    "src_newest_drop": "select event_id, user_id, event_type, value, props from events "
+    "src_newest_drop": "select * replace (cast(ts as varchar) as ts) from events "
     "where cast(ts as date) = (select max(cast(ts as date)) from events)",
     "src_feed_date": "select cast(ts as date) as feed_date, count(*) as feed_rows, count(distinct user_id) as users "
     "from events group by 1",
     "src_report_preamble": "select cast(c_custkey as varchar) as customer_id, c_name as customer_name, "
-    "c_mktsegment as segment, c_mktsegment as segment_1, cast(c_nationkey as varchar) as nation_key_primary "
-    "from customer",
+    "c_mktsegment as segment, c_mktsegment as segment_1, cast(c_nationkey as varchar) as nation_key_primary, "
+    "cast(c_acctbal as varchar) as balance from customer",
+    "src_report_quoted": _NOTED + f"select {_NOTED_TEXT} from noted_orders",
     "src_report_select": "select c_name as name, cast(c_custkey as varchar) as id from customer",
     # sinks
-    "sink_roundtrip": f"select {_ORDER_COLUMNS}, 'parquet' as sink from orders "
-    f"union all select {_ORDER_COLUMNS}, 'csv' as sink from orders",
+    "sink_roundtrip": _NOTED + "select *, 'parquet' as sink from noted_orders union all select *, 'csv' as sink from noted_orders",
     "sink_refresh_date": "select cast(max(o_orderdate) as date) as refresh_date from orders",
-    "sink_versioned": "select o_orderkey, o_custkey, o_orderstatus || '*' as o_orderstatus, "
-    "cast(2 as bigint) as table_version from orders",
-    "sink_snapshot": "select o_orderkey, o_orderstatus || '*' as o_orderstatus, date '2000-01-15' as snapshot_date "
-    "from orders union all select o_orderkey, o_orderstatus, date '2000-01-16' as snapshot_date from orders",
+    "sink_versioned": _NOTED + _STARRED + "cast(2 as bigint) as table_version from noted_orders",
+    "sink_snapshot": _NOTED + _STARRED + "date '2000-01-15' as snapshot_date from noted_orders "
+    "union all select *, date '2000-01-16' as snapshot_date from noted_orders",
     # schemas
     "schema_select_rename": _with(_view("fulfillment_report"))
     + "select job_requisition_id, position_id, employee_id, employee_name, business_process_reason, "
@@ -321,7 +304,7 @@ ORACLES: dict[str, str] = {
     "schema_align": _with(_view("requisition_report"))
     + "select try_cast(positions_filled_hire_selected as smallint) as positions_filled_hire_selected, "
     "job_requisition_id, cast(null as date) as closed_on, try_cast(mbps_teams as integer) as mbps_teams, "
-    "target_hire_date from requisition_report",
+    f"{_REQ_DATE} as target_hire_date from requisition_report",
     # functions
     "fn_parse_date_multi": _with(_view("application_report"))
     + "select candidate_id, added_date as added_text, target_hire_date as target_text, "
@@ -368,9 +351,7 @@ ORACLES: dict[str, str] = {
     + "select * from applications where candidate_recruiting_status = 'Offer Accepted'",
     "app_funnel": _with(*_FUNNEL) + "select * exclude (referred_by_employee_id, referred_by) from funnel",
     # referrals
-    "ref_source_filter": _with(*_APPLICATIONS)
-    + "select candidate_id, job_requisition_id, source from applications "
-    "where regexp_matches(source, '(?i)ERP|Referral')",
+    "ref_source_filter": _with(*_FUNNEL) + f"select * from {_REFERRED}",
     "ref_normalise": _with(_view("prospect_report"), _PROSPECTS) + _normalised("0", "", "prospects"),
     "ref_funnel": _with(*_REFERRALS) + "select * from referrals",
     "ref_unique": _with(*_REFERRALS, _UNIQUE_CTE) + "select * from unique_referrals",
@@ -381,56 +362,60 @@ ORACLES: dict[str, str] = {
     "hc_extend": _with(*_HEADCOUNT) + "select * from extended",
     "hc_referral_flag": _with(*_FLAGS) + "select * from flagged",
     # quality
-    "dq_nulls": _with(*_REQUISITIONS, *_APPLICATIONS, *_INCOMING)
+    "dq_nulls": _with(_view("requisition_report"), *_APPLICATIONS, *_INCOMING)
     + _checks(
-        ("not_null", "positions_filled_hire_selected", "positions_filled_hire_selected is null", "requisitions"),
-        ("not_null", "target_hire_date", "target_hire_date is null", "requisitions"),
-        ("not_null", "jobreq_status", "jobreq_status is null", "requisitions"),
-        ("not_null", "job_application_date", "job_application_date is null", "applications"),
+        ("not_null", "positions_filled_hire_selected", "try_cast(positions_filled_hire_selected as smallint) is null",
+         "requisition_report"),
+        ("not_null", "target_hire_date", f"{_REQ_DATE} is null", "requisition_report"),
+        ("not_null", "disposition_reason", "disposition_reason is null", "applications"),
         ("not_null", "last_stage_number", "last_stage_number is null", "applications"),
         ("not_null", "jrpos_id", "jrpos_id is null", "incoming"),
         ("not_null", "eehire_id", "eehire_id is null", "incoming"),
         ("not_null", "candidate_id", "candidate_id is null", "incoming"),
     ),
-    "dq_domain": _with(*_FUNNEL)
+    "dq_domain": _with(_view("application_report"), _view("flawed_applications"))
     + _checks(
-        ("in_domain", "compensation_grade", "compensation_grade not in ('Level 1', 'Level 2', 'Level 3')",
-         "application_report"),
-        ("in_domain", "last_recruiting_stage", "last_recruiting_stage not in ('Review', 'Screen', 'Assessment', "
-         "'Interview', 'Reference Check', 'Offer', 'Background Check', 'Ready for Hire')", "application_report"),
-        ("in_domain", "stage_number", "stage_number not in (1, 2, 3, 4, 6, 7, 8)", "funnel"),
+        ("in_domain", "compensation_grade", "not regexp_matches(compensation_grade, '^Level [1-8]$')", "application_report"),
+        ("in_domain", "last_recruiting_stage", "last_recruiting_stage = 'Unheard Of'", "application_report"),
+        ("in_domain", "stage_number", "stage_number not in (1, 2, 3, 4, 6, 7, 8)", "flawed_applications"),
         ("in_domain", "candidate_recruiting_status", "candidate_recruiting_status not in ('Passed', 'Rejected')",
-         "funnel"),
+         "flawed_applications"),
     ),
-    "dq_duplicates": _with(_view("requisition_report"), _view("fulfillment_report"), *_REFERRALS)
+    "dq_duplicates": _with(_view("requisition_report"), _view("fulfillment_report"), _view("prospect_report"))
     + " union all ".join(
         f"select 'unique' as \"check\", '{', '.join(keys)}' as \"column\", coalesce(sum(n), 0)::bigint as violations "
         f"from (select count(*) as n from {source} group by {', '.join(keys)} having count(*) > 1)"
         for source, keys in (
             ("requisition_report", ["job_requisition_id"]),
             ("fulfillment_report", ["employee_id", "candidate_start_date"]),
-            ("referrals", ["erp_id"]),
+            ("prospect_report", ["candidate_id"]),
         )
     ),
     "dq_duplicated_rows": _with(_view("fulfillment_report"))
     + "select * exclude (n) from (select *, count(*) over (partition by employee_id, grade_proposed) as n "
     "from fulfillment_report) where n > 1",
-    "dq_rules": _with(*_REQUISITIONS, *_FLAGS)
+    "dq_rules": _with(*(_view(f"flawed_{t}") for t in ("requisitions", "applications", "referrals", "headcount")))
     + _checks(
         ("cancelled_requests_nothing", "positions_requested_new",
-         "jobreq_status = 'CAN' and positions_requested_new <> 0", "requisitions"),
+         "jobreq_status = 'CAN' and positions_requested_new <> 0", "flawed_requisitions"),
         ("open_has_openings", "positions_openings_available",
-         "jobreq_status = 'OPEN' and positions_openings_available <= 0", "requisitions"),
+         "jobreq_status = 'OPEN' and positions_openings_available <= 0", "flawed_requisitions"),
         ("filled_has_no_openings", "positions_openings_available",
-         "jobreq_status = 'FILLED' and positions_openings_available <> 0", "requisitions"),
-        ("in_range", "positions_requested_new", "positions_requested_new < 0", "requisitions"),
-        ("in_range", "last_stage_number", "last_stage_number < 2 or last_stage_number > 8", "applications"),
-        ("not_after", "job_application_date", f"job_application_date > date '{AS_OF}'", "applications"),
-        ("in_range", "last_stage_number", "last_stage_number < 0", "referrals"),
-        ("not_after", "added_date", f"added_date > date '{HEADCOUNT_AS_OF}'", "referrals"),
-        ("matches", "headcount_id", "not regexp_matches(headcount_id, '^.+_\\d{4}-\\d{2}$')", "flagged"),
-        ("matches", "job_grade", "not regexp_matches(job_grade, '^Level [1-9]')", "flagged"),
+         "jobreq_status = 'FILLED' and positions_openings_available <> 0", "flawed_requisitions"),
+        ("in_range", "positions_requested_new", "positions_requested_new < 0", "flawed_requisitions"),
+        ("in_range", "last_stage_number", "last_stage_number < 1 or last_stage_number > 8", "flawed_applications"),
+        ("not_after", "job_application_date", f"job_application_date > date '{AS_OF}'", "flawed_applications"),
+        ("in_range", "last_stage_number", "last_stage_number < 0", "flawed_referrals"),
+        ("not_after", "added_date", f"added_date > date '{HEADCOUNT_AS_OF}'", "flawed_referrals"),
+        ("matches", "headcount_id", "not regexp_matches(headcount_id, '^.+_\\d{4}-\\d{2}$')", "flawed_headcount"),
+        ("matches", "job_grade", "not regexp_matches(job_grade, '^Level [1-9]')", "flawed_headcount"),
     ),
+    # joins
+    "join_hot_key": """with acted as (
+select case when event_id % 3 = 0 then 7 when event_id % 11 = 0 then null else user_id end as user_id, event_id, event_type,
+    value, props, cast(ts as varchar) as ts from events),
+customers as (select case when c_custkey % 13 = 0 then null else c_custkey end as user_id, c_name from customer)
+select c.user_id, c_name, event_id, event_type, value, props, ts from customers c left join acted a on c.user_id = a.user_id""",
     # the whole chain
     "last_stage": _with(*_RUN) + "select * from flagged",
     "all_stages": _with(*_REQUISITIONS, *_INCOMING, _view("master_hires"), _MERGED, _DISCREPANCIES, *_RUN)
@@ -448,3 +433,21 @@ ORACLES: dict[str, str] = {
         )
     ),
 }
+
+_RUN_TABLES = _with(*_REQUISITIONS, *_INCOMING, _view("master_hires"), _MERGED, _DISCREPANCIES, *_RUN)
+ORACLES |= {
+    f"stage_{name}": f"{_RUN_TABLES}select * from {source}"
+    for name, source in {
+        "requisitions": "requisitions",
+        "hires": "hires",
+        "hire_discrepancies": "discrepancies",
+        "applications": "applications",
+        "offer_accepts": "applications where candidate_recruiting_status = 'Offer Accepted'",
+        "funnel": "funnel",
+        "referrals": "referrals",
+        "headcount": "flagged",
+        "applications_csv": "applications",
+        "snapshot": "flagged",
+        "raw_snapshot": "requisition_report",
+    }.items()
+}

@@ -36,9 +36,14 @@ def _digit(place: int, of: int) -> str:
 
 
 VIEWS = {
-    # Many versions per requisition; counts as text, some of them unreadable.
+    # Many versions per requisition; all of it text. Of the dates some have slashes, some are a bare year, a serial number, or
+    # have something after them; the last three kinds would count as late dates if they were read at all.
     "requisition_report": """
-select 'JR-' || cast(l_orderkey as string) as job_requisition_id, cast(l_shipdate as date) as target_hire_date,
+select 'JR-' || cast(l_orderkey as string) as job_requisition_id,
+    case l_partkey % 11 when 0 then replace(cast(cast(l_shipdate as date) as string), '-', '/')
+        when 1 then '2040' when 2 then cast(45000 + l_partkey % 1000 as string)
+        when 3 then cast(cast(l_shipdate as date) as string) || ' tbc' when 4 then 'n/a'
+        else cast(cast(l_shipdate as date) as string) end as target_hire_date,
     case when l_linenumber = 7 and l_returnflag = 'A' then 'n/a' when l_linestatus = 'F'
         then cast(cast(l_quantity as int) % 3 as string) else '0' end as positions_filled_hire_selected,
     case when l_linestatus = 'O' then cast(cast(l_quantity as int) % 3 as string) else '0' end
@@ -48,7 +53,7 @@ from {lineitem}""",
     "application_report": f"""
 select 'CAND-' || cast(o_custkey as string) as candidate_id, c_name as candidate_name,
     'JR-' || cast(o_orderkey % 200 as string) as job_requisition_id, 'Engineer' as job_requisition,
-    'External' as recruiting_instruction, c_mktsegment as job_family,
+    'Open to all' as recruiting_instruction, c_mktsegment as job_family,
     case when o_orderkey % 17 = 0 then null else 'Level ' || cast(1 + o_custkey % 10 as string) end
         as compensation_grade,
     'Employee' as worker_type_hiring_requirement, 'Regular' as worker_sub_type_hiring_requirement,
@@ -62,7 +67,7 @@ select 'CAND-' || cast(o_custkey as string) as candidate_id, c_name as candidate
     'R' || cast(o_custkey as string) as recruiter_employee_id,
     case when o_custkey % 9 = 0 then null when o_custkey % 9 = 1 then 'unknown'
         else c_name || ' (' || cast(o_custkey as string) || ')' end as recruiter_completed_offer,
-    case when {_digit(100, 2)} = 0 then null else 'Not a Fit' end as disposition_reason,
+    case when {_digit(100, 2)} = 0 then null else 'Chose another offer' end as disposition_reason,
     case o_orderstatus when 'F' then 'Offer Accepted' when 'O' then ' Application in Process'
         else case when o_orderkey % 19 = 0 then null else 'Rejected' end end as candidate_recruiting_status,
     {_STAGE} as last_recruiting_stage,
@@ -72,7 +77,7 @@ select 'CAND-' || cast(o_custkey as string) as candidate_id, c_name as candidate
     case when o_custkey % 23 = 0 then null else 'EMP-' || cast(o_custkey % 50 as string) end
         as referred_by_employee_id,
     'Referrer ' || cast(o_custkey % 50 as string) || ' (' || cast(o_custkey % 50 as string) || ')' as referred_by,
-    case when o_orderpriority = '5-LOW' then 'Agency' end as recruiting_agency, 'Acme' as last_employer,
+    case when o_orderpriority = '5-LOW' then 'Agency' end as recruiting_agency, 'Former Ltd' as last_employer,
     cast(null as string) as school_name, 'No' as is_cancelled, c_mktsegment as mbps_teams
 from (select *, {_day("o_orderdate")} as day0, {_day("o_orderdate + interval 3 day")} as day3,
         {_day("o_orderdate + interval 30 day")} as day30, {_day("o_orderdate + interval 45 day")} as day45,
@@ -149,8 +154,34 @@ select case when event_id % 97 = 0 then null else 'CAND-' || cast(user_id as str
     case when event_id % 4 = 3 then substr(cast(ts as string), 1, 19) else {_spelled("day", "event_id % 4")} end
         as added_date,
     case event_type when 'signup' then 'ERP' when 'click' then 'Employee Referral' else 'Referral' end as source,
-    case when event_type = 'error' then 'Not a Fit' end as disposition_reason, 'Prospect' as candidate_recruiting_status
+    case when event_type = 'error' then 'Chose another offer' end as disposition_reason, 'Prospect' as candidate_recruiting_status
 from (select *, {_day("ts")} as day from {{events}}) as e""",
+    # Text that a CSV sink or reader can spoil.
+    "noted_orders": """
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice, cast(o_orderdate as string) as o_orderdate, o_orderpriority,
+    case o_orderkey % 8 when 0 then '  padded ' when 1 then 'They said "yes", twice' when 2 then 'two' || chr(10) || 'lines'
+        when 3 then '' when 4 then null when 5 then 'back' || chr(92) || 'slash' when 6 then '"' else 'a,b' end as note
+from {orders}""",
+    # Tables with planted faults, a different number of each.
+    "flawed_requisitions": """
+select 'JR-' || cast(o_orderkey as string) as job_requisition_id,
+    cast(o_orderkey % 5 - case when o_orderkey % 29 = 0 then 7 else 0 end as int) as positions_requested_new,
+    cast(o_custkey % 3 as int) as positions_openings_available,
+    case when o_orderkey % 4 = 0 then 'CAN' when o_orderkey % 4 < 3 then 'OPEN' else 'FILLED' end as jobreq_status
+from {orders}""",
+    "flawed_applications": """
+select 'CAND-' || cast(o_custkey as string) as candidate_id, cast(o_orderkey % 11 as int) as last_stage_number,
+    cast(o_orderkey % 10 as int) as stage_number, cast(o_orderdate as date) as job_application_date,
+    case o_orderkey % 13 when 0 then null when 1 then 'Lost' else 'Passed' end as candidate_recruiting_status
+from {orders}""",
+    "flawed_referrals": """
+select cast(event_id % 17 as int) - 1 as last_stage_number,
+    date_add(cast(ts as date), cast(event_id % 23 as int)) as added_date
+from {events}""",
+    "flawed_headcount": """
+select 'EMP-' || cast(c_custkey as string) || case when c_custkey % 19 = 0 then '_2023' else '_2023-08' end as headcount_id,
+    'Level ' || cast(c_custkey % 10 as string) as job_grade
+from {customer}""",
     # Dates the way they are found in free text.
     "event_log": """
 select event_id, case event_id % 5 when 0 then 'run of ' || substr(cast(ts as string), 1, 19) || ' (nightly)'

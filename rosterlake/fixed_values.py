@@ -31,6 +31,15 @@ APPLICATION_PREAMBLE = 16
 PROSPECT_PREAMBLE = 0
 HEADCOUNT_PREAMBLE = 1
 
+# --- fixed values: names of the exports, without the ending of the file type ---------------------------
+
+REQUISITION_DROPS = "MBPS Requisition - All Status*"
+FULFILLMENT_DROPS = "*Fulfillment*"
+HIRES_DROPS = "Recruiting - Internal and External Hires*"
+APPLICATION_DROPS = "MBPS Daily Application_2*"
+PROSPECT_DROPS = "Referrals Without Job Applications*"
+HEADCOUNT_DROPS = "pmd_monthly_headcount*"
+
 # --- fixed values: report header -> column name ------------------------------------------------------
 
 FULFILLMENT_NAMES = {
@@ -240,7 +249,7 @@ APPLICATION_DATES = [
 GRADES_IN_SCOPE = [f"Level {n}" for n in range(1, 9)]
 GRADES_OUT_OF_SCOPE = ["Level 9", "Level 10"]
 
-REQUISITION_SCOPE_YEARS = 1
+REQUISITION_SCOPE_YEARS = 3
 APPLICATION_SCOPE_YEARS = 4
 HIRE_SCOPE_MONTHS = 3
 

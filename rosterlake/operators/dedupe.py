@@ -10,8 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.operators.joins import HOT_ROWS, hot_keys, spread_join
-
 
 def keep_one(
     df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = (), *, nulls_win: bool = False
@@ -19,8 +17,9 @@ def keep_one(
     """The row of each key with the greatest values in ``prefer``; a null key is a key like any other.
 
     Equal rows are told apart by the other columns from left to right, so the choice does not depend
-    on the order of arrival. It is one ``max`` over a struct: partial maxima before the single shuffle,
-    no window and no sort of whole groups. A null counts as least, with ``nulls_win`` as greatest.
+    on the order of arrival. It is one ``max`` over a struct, with partial maxima before the single shuffle and
+    no window. Spark aggregates structs by sorting, so every task sorts its input by key, in full width, before the
+    shuffle and spills what does not fit. A null counts as least, with ``nulls_win`` as greatest.
     """
     keys, prefer = list(keys), list(prefer)
     rest = [c for c in df.columns if c not in keys and c not in prefer]
@@ -41,11 +40,12 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], copies: str = "copies") -
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(copies)).where(F.col(copies) > 1)
 
 
-def duplicated_rows(df: DataFrame, keys: Sequence[str], *, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def duplicated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows whose key occurs more than once. Null keys count as equal.
 
-    A semi join with the repeated keys and not a window, which would bring all copies into one task.
+    A semi join with the repeated keys and not a window, which would bring all copies into one task; adaptive
+    execution splits a key with many rows.
     """
-    hot = hot_keys(df, keys, hot_rows) if hot_rows else []
-    repeated = duplicate_keys(df, keys).drop("copies")
-    return spread_join(df, repeated, keys, "left_semi", null_safe=True, hot_left=hot)
+    repeated = duplicate_keys(df, keys).drop("copies").alias("b")
+    same = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
+    return df.alias("a").join(repeated, same, "left_semi")

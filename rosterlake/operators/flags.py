@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.operators.joins import HOT_ROWS, hot_keys, spread_join
+from rosterlake.operators.joins import keyed_join
 
 
-def flag_from(
-    df: DataFrame, flags: DataFrame, key: str, flag: str, *, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+def flag_from(df: DataFrame, flags: DataFrame, key: str, flag: str) -> DataFrame:
     """``df`` with the byte ``flag`` of its key, 0 where there is none. ``flags`` has each key once."""
-    hot = hot_keys(df, [key], hot_rows) if hot_rows else []
-    joined = spread_join(df, flags.select(key, flag), [key], "left", hot_left=hot)
+    joined = keyed_join(df, flags.select(key, flag), [key], "left")
     return joined.withColumn(flag, F.coalesce(flag, F.lit(0)).cast("byte"))

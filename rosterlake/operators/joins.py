@@ -1,102 +1,69 @@
-"""Equi-joins that keep their balance when a key, or null, holds a large share of the rows."""
+"""Equi-joins in which neither null keys nor keys that are often repeated weigh down one task.
+
+A key with many rows on the left needs nothing here: adaptive execution splits such a partition of a left, semi or anti
+join by itself. It can neither split the right side of a left join nor know that null matches nothing.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-SPREAD = 64
-HOT_KEYS = 32
-HOT_ROWS = 5_000_000
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[str]:
-    """At most 32 keys, as text, that have about ``hot_rows`` rows or more.
-
-    One scan of the key columns into a sketch of constant size per task; only the 32 candidates come
-    back. The estimate steers how rows are spread, never which rows match. In very large tables keys with
-    less than some 0.04 % of the rows can escape it; adaptive execution splits what is left of skew.
-    """
-    top = F.expr(f"approx_top_k({_key_text(keys)}, {HOT_KEYS}, 10000)")
-    found = df.select(top.alias("top")).first()["top"] or []
-    return [r["item"] for r in found if r["item"] is not None and r["count"] >= hot_rows]
-
-
-def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    how: str,
-    *,
-    null_safe: bool = False,
-    hot_left: Sequence[str] = (),
-    hot_right: Sequence[str] = (),
-) -> DataFrame:
-    """``left``, ``left_semi`` or ``left_anti`` join on equal column names, with hot keys salted.
 
-    * Left rows with a null key match nothing (unless ``null_safe``); where they are part of the result they
-      are dealt out over 64 salts instead of meeting in one task.
-    * Left rows of a key in ``hot_left`` are dealt out likewise, and the right rows of that key are
-      repeated under every salt.
-    * Right rows of a key in ``hot_right`` are dealt out, and the left rows of that key are repeated; a
-      repeat that meets no right row is dropped, since the key is known to occur on the right. Only for
-      ``left``; the other two need a right side of distinct keys anyway.
+def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """``left``, ``left_semi`` or ``left_anti`` join on equal column names; nothing else is done to its two sides.
 
-    Where nothing has to be dealt out it is the plain join, which can use a partitioning already there.
-
-    Rows are dealt out by position, so exact copies spread too; hand in inputs whose order is stable under
-    a task retry, that is scans and staged tables. Spark broadcasts a right side by itself when its
-    measured size allows it.
+    Left rows with a null key match nothing. They go round the join and come back by a union, so they are neither
+    shuffled nor meet in one task. Spark broadcasts a right side by itself when its measured size allows it.
     """
     if how not in ("left", "left_semi", "left_anti"):
-        raise ValueError(f"spread_join does not do {how!r}")
-    if hot_right and how != "left":
-        raise ValueError("hot_right is for left joins; give semi and anti joins distinct right keys")
-    keys = list(keys)
-    hot_right = [k for k in hot_right if k not in set(hot_left)]
-
-    kept = list(left.columns)
-    added = [c for c in right.columns if c not in keys] if how == "left" else []
-
-    nullable = any(left.schema[k].nullable for k in keys)
-    deal_nulls = nullable and not null_safe and how != "left_semi"
-    salted = bool(hot_left or hot_right or deal_nulls)
-    if salted:
-        left = _salted(left, keys, dealt=hot_left, repeated=hot_right, deal_nulls=deal_nulls)
-        right = _salted(right, keys, dealt=hot_right, repeated=hot_left, deal_nulls=False)
-    if hot_right:
-        right = right.withColumn("__met", F.lit(True))
-
+        raise ValueError(f"keyed_join does not do {how!r}")
+    keys, added = list(keys), [c for c in right.columns if c not in keys] if how == "left" else []
     a, b = left.alias("a"), right.alias("b")
-    equal = Column.eqNullSafe if null_safe else Column.__eq__
-    on = [equal(F.col(f"a.`{k}`"), F.col(f"b.`{k}`")) for k in keys]
-    if salted:
-        on.append(F.col("a.__salt") == F.col("b.__salt"))
-    joined = a.join(b, on, how)
-    if hot_right:
-        repeated = F.expr(_key_text(keys, "a")).isin(*hot_right)
-        joined = joined.where(F.col("b.__met") | ~F.coalesce(repeated, F.lit(False)))
-    return joined.select([F.col(f"a.`{c}`") for c in kept] + [F.col(f"b.`{c}`") for c in added])
+    without_key = reduce(or_, (F.col(f"a.`{k}`").isNull() for k in keys))
+    on = [F.col(f"a.`{k}`") == F.col(f"b.`{k}`") for k in keys]
+    nullable = any(left.schema[k].nullable for k in keys)
+    joined = a.where(~without_key) if nullable else a
+    joined = joined.join(b, on, how).select([F.col(f"a.`{c}`") for c in left.columns] + [F.col(f"b.`{c}`") for c in added])
+    if not nullable or how == "left_semi":
+        return joined
+    absent = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in added]
+    return joined.unionAll(a.where(without_key).select([F.col(f"a.`{c}`") for c in left.columns] + absent))
 
 
-def _salted(
-    df: DataFrame, keys: list[str], *, dealt: Sequence[str], repeated: Sequence[str], deal_nulls: bool
-) -> DataFrame:
-    """``df`` with ``__salt``: 0, a dealt-out number, or the row repeated under every number."""
-    key = F.expr(_key_text(keys))
-    one_of_many = F.array((F.monotonically_increasing_id() % SPREAD).cast("int"))
-    salts = F.array(F.lit(0))
-    if repeated:
-        salts = F.when(key.isin(*repeated), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(salts)
-    if dealt:
-        salts = F.when(key.isin(*dealt), one_of_many).otherwise(salts)
-    if deal_nulls:
-        salts = F.when(F.expr(" or ".join(f"`{k}` is null" for k in keys)), one_of_many).otherwise(salts)
-    return df.withColumn("__salt", F.explode(salts))
+def repeated_right_join(left: DataFrame, right: DataFrame, keys: Sequence[str], spread_by: Sequence[Column] = ()) -> DataFrame:
+    """Left join in which a key may hold any share of the right rows.
 
+    Keys with at least as many right rows as an even partition would hold are kept as a table, which is broadcast: there
+    can't be more of them than shuffle partitions. Their right rows are dealt out by the hash of the row, over as many
+    salts as they would fill partitions, and the left rows of these keys alone are repeated under every salt. All other
+    rows take the plain join. No job runs while the plan is built.
 
-def _key_text(keys: Sequence[str], side: str = "") -> str:
-    """SQL for one text per key; a single column stands for itself."""
-    names = [f"{side}.`{k}`" if side else f"`{k}`" for k in keys]
-    return f"cast({names[0]} as string)" if len(names) == 1 else f"to_json(struct({', '.join(names)}))"
+    ``spread_by``: further columns for the hash, so that rows that are equal in all columns spread too; they have to be the
+    same when a task is retried, as ``_metadata.file_path`` and ``_metadata.row_index`` of a parquet scan are.
+    """
+    keys, added = list(keys), [c for c in right.columns if c not in keys]
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row_hash = F.xxhash64(*right.columns, *spread_by)
+    right = right.withColumn("__hash", row_hash).select(*right.columns, "__hash")
+    total = right.select((F.count(F.lit(1)) / partitions).alias("even")).scalar()
+    counts = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).dropna(subset=keys)
+    hot = counts.where((F.col("__n") > 1) & (F.col("__n") >= total))
+    hot = F.broadcast(hot.select(*[F.col(k).alias(f"__{k}") for k in keys], F.ceil(F.col("__n") / F.greatest(total, F.lit(1.0))).cast("int").alias("__salts")))
+
+    def marked(df: DataFrame) -> DataFrame:
+        on = [F.col(k) == F.col(f"__{k}") for k in keys]
+        return df.join(hot, on, "left").drop(*[f"__{k}" for k in keys])
+
+    left_marked, right_marked = marked(left), marked(right)
+    cold = keyed_join(
+        left_marked.where("__salts is null").drop("__salts"), right_marked.where("__salts is null").select(*keys, *added), keys, "left"
+    )
+    repeated = left_marked.where("__salts is not null").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)))
+    dealt = right_marked.where("__salts is not null").withColumn("__salt", F.pmod("__hash", F.col("__salts")).cast("int"))
+    a, b = repeated.alias("a"), dealt.select(*keys, *added, "__salt").alias("b")
+    met = a.join(b, [F.col(f"a.`{k}`") == F.col(f"b.`{k}`") for k in [*keys, "__salt"]])
+    return cold.unionAll(met.select([F.col(f"a.`{c}`") for c in left.columns] + [F.col(f"b.`{c}`") for c in added]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rosterlake.functions.casts import lenient_cast
 
@@ -23,21 +23,18 @@ def select_present(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def align_schema(df: DataFrame, schema: T.StructType, name: str = "table") -> DataFrame:
-    """Exactly the columns of ``schema``: bad values become null, absent columns typed nulls, extras go."""
-    kinds = {f.name: f.dataType for f in df.schema}
-    absent = [f.name for f in schema if f.name not in kinds]
-    if absent:
-        log.warning("%s: absent columns filled with null: %s", name, absent)
-    return df.select(
-        [
-            (
-                lenient_cast(F.col(f.name), kinds[f.name], f.dataType)
-                if f.name in kinds
-                else F.lit(None).cast(f.dataType)
-            ).alias(f.name)
-            for f in schema
-        ]
-    )
+    """``df`` in the layout ``schema`` and nothing else. What cannot be read as the type wanted, and what ``df`` does not
+    have at all, is null."""
+    given = df.schema
+
+    def fitted(field: T.StructField) -> Column:
+        if field.name in given.names:
+            return lenient_cast(F.col(field.name), given[field.name].dataType, field.dataType)
+        return F.lit(None).cast(field.dataType)
+
+    if unknown := sorted(set(schema.names).difference(given.names)):
+        log.warning("%s has no %s: null throughout", name, ", ".join(unknown))
+    return df.select(*(fitted(field).alias(field.name) for field in schema))
 
 
 def cast_strict(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -52,13 +49,10 @@ def require_columns(df: DataFrame, columns: Iterable[str], name: str = "input")
 
 
 def require_schema(df: DataFrame, schema: T.StructType, name: str = "input") -> None:
-    """Fail on absent or differently typed columns; further columns are fine."""
-    actual = {f.name: f.dataType for f in df.schema}
-    absent = [f.name for f in schema if f.name not in actual]
-    mistyped = {
-        f.name: (actual[f.name].simpleString(), f.dataType.simpleString())
-        for f in schema
-        if f.name in actual and actual[f.name] != f.dataType
-    }
-    if absent or mistyped:
-        raise ValueError(f"{name}: schema mismatch, missing {absent}, mistyped {mistyped}")
+    """Fail unless ``df`` has every field of ``schema`` under its type; it may have others."""
+    fields = {(field.name, field.dataType.simpleString()) for field in df.schema}
+    needed = {(field.name, field.dataType.simpleString()) for field in schema}
+    if needed - fields:
+        found = dict(fields)
+        faults = [f"{c} is {found.get(c, 'absent')} instead of {kind}" for c, kind in sorted(needed - fields)]
+        raise ValueError(f"{name} has the wrong layout: {'; '.join(faults)}")

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rosterlake.fixed_values import OVERRIDE_SUFFIX
 from rosterlake.operators.dedupe import keep_one
-from rosterlake.operators.joins import HOT_ROWS, hot_keys, spread_join
-from rosterlake.operators.shape import require_schema
+from rosterlake.operators.joins import keyed_join, repeated_right_join
+from rosterlake.operators.shape import align_schema, require_schema
+from rosterlake.sources.tables import stage
 
 
 def updated_rows(
@@ -18,17 +17,17 @@ def updated_rows(
     key: str,
     *,
     suffix: str = OVERRIDE_SUFFIX,
-    hot_master: Sequence[str] = (),
-    hot_incoming: Sequence[str] = (),
+    repeated: bool = False,
 ) -> DataFrame:
     """Every master row with the columns it shares with ``incoming`` brought up to date.
 
     Order of precedence: the row's own ``<column><suffix>``, the incoming value, the present value. The
-    override counts on all rows, matched or not. Several incoming rows of one key each yield a row.
+    override counts on all rows, matched or not. Several incoming rows of one key each yield a row; ``repeated``
+    says that one key may have very many.
     """
     shared = [c for c in incoming.columns if c != key and c in master.columns]
     update = incoming.select(key, *[F.col(c).alias(f"{c}__new") for c in shared])
-    joined = spread_join(master, update, [key], "left", hot_left=hot_master, hot_right=hot_incoming)
+    joined = repeated_right_join(master, update, [key]) if repeated else keyed_join(master, update, [key], "left")
 
     def current(column: str):
         if column not in shared:
@@ -39,15 +38,7 @@ def updated_rows(
     return joined.select([current(c) for c in master.columns])
 
 
-def new_rows(
-    master: DataFrame,
-    incoming: DataFrame,
-    key: str,
-    schema: T.StructType,
-    *,
-    hot_master: Sequence[str] = (),
-    hot_incoming: Sequence[str] = (),
-) -> DataFrame:
+def new_rows(master: DataFrame, incoming: DataFrame, key: str, schema: T.StructType) -> DataFrame:
     """Incoming rows whose key the master lacks, as ``schema``; a null key is always new.
 
     Columns that ``incoming`` lacks become typed nulls; a column of another type is an error. The master is
@@ -56,8 +47,8 @@ def new_rows(
     """
     wanted = incoming.select(key).where(F.col(key).isNotNull()).distinct()
     keys = master.select(key).where(F.col(key).isNotNull())
-    known = spread_join(keys, wanted, [key], "left_semi", hot_left=hot_master).distinct()
-    fresh = spread_join(incoming, known, [key], "left_anti", hot_left=hot_incoming)
+    known = keyed_join(keys, wanted, [key], "left_semi").distinct()
+    fresh = keyed_join(incoming, known, [key], "left_anti")
     fresh = fresh.withColumns(
         {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in incoming.columns}
     )
@@ -73,24 +64,24 @@ def upsert_with_overrides(
     *,
     suffix: str = OVERRIDE_SUFFIX,
     one_per_key: bool = False,
-    hot_rows: int | None = HOT_ROWS,
+    repeated: bool = False,
 ) -> DataFrame:
     """Updated master rows followed by new rows, all under ``schema``.
 
+    ``incoming`` is aligned first: columns of ``schema`` take its types, values that do not fit become null, further columns
+    go. It is read several times, so hand in a stored or staged table.
+
     A left join and an anti join rather than one full outer join: the master then needs no shuffle at all
-    when ``incoming`` is small enough to broadcast, and hot keys can be spread, which a full outer join
-    does not allow. ``incoming`` is read several times, so hand in a stored or staged table.
+    when ``incoming`` is small enough to broadcast.
 
-    ``one_per_key`` first reduces ``incoming`` to one row per key, so that no master row is multiplied.
-    ``hot_rows=None`` skips the look for hot keys.
+    ``one_per_key`` first reduces ``incoming`` to one row per key, so that no master row is multiplied, and stages the
+    reduced rows, which starts a job. ``repeated`` is for an ``incoming`` in which one key may hold very many rows.
     """
     require_schema(master, schema, "master")
+    shared = T.StructType([f for f in schema if f.name in incoming.columns])
+    incoming = align_schema(incoming, shared, "incoming rows")
     if one_per_key:
         unkeyed = incoming.where(F.col(key).isNull())
-        incoming = keep_one(incoming.where(F.col(key).isNotNull()), [key]).unionByName(unkeyed)
-    hot = {
-        "hot_master": hot_keys(master, [key], hot_rows) if hot_rows else [],
-        "hot_incoming": hot_keys(incoming, [key], hot_rows) if hot_rows else [],
-    }
-    fresh = new_rows(master, incoming, key, schema, **hot)
-    return updated_rows(master.select(schema.names), incoming, key, suffix=suffix, **hot).unionByName(fresh)
+        incoming = stage(keep_one(incoming.where(F.col(key).isNotNull()), [key]).unionByName(unkeyed), "one-per-key")
+    updated = updated_rows(master.select(schema.names), incoming, key, suffix=suffix, repeated=repeated and not one_per_key)
+    return updated.unionByName(new_rows(master, incoming, key, schema))

@@ -22,7 +22,7 @@ from rosterlake.plans.requisitions import clean_requisitions
 from rosterlake.sinks import tables as sinks
 from rosterlake.sources.drops import newest_drop, require_feed_date
 from rosterlake.sources.reports import read_report
-from rosterlake.sources.tables import read_table, stage
+from rosterlake.sources.tables import stage
 
 
 MASTER = "hires_master.parquet"
@@ -43,33 +43,35 @@ class Reports:
 
 @dataclass(frozen=True)
 class Patterns:
-    """Globs of the drops in the landing folder; the defaults are fixed values, the exports' own names."""
+    """Globs of the drops; the defaults are fixed values, the exports' own names."""
 
-    requisitions: str = "*Requisition - All Status*"
-    fulfillment: str = "*Fulfillment*"
-    hires: str = "Recruiting - Internal and External Hires*"
-    applications: str = "*Daily Application_2*"
-    prospects: str = "Referrals Without Job Applications*"
-    headcount: str = "*monthly_headcount*"
+    requisitions: str = fv.REQUISITION_DROPS
+    fulfillment: str = fv.FULFILLMENT_DROPS
+    hires: str = fv.HIRES_DROPS
+    applications: str = fv.APPLICATION_DROPS
+    prospects: str = fv.PROSPECT_DROPS
+    headcount: str = fv.HEADCOUNT_DROPS
 
 
-def read_reports(spark: SparkSession, landing: str, patterns: Patterns = Patterns()) -> Reports:
-    """The newest drop of every report; the requisition drop's name gives the refresh date."""
+def read_reports(spark: SparkSession, landing: str, historical: str | None = None, patterns: Patterns = Patterns()) -> Reports:
+    """The newest drop of every report; the requisition drop's name gives the refresh date. The headcount is in the folder
+    ``historical``, or else with the others."""
 
-    def newest(pattern: str, preamble: int, **how) -> DataFrame:
-        return read_report(spark, newest_drop(spark, landing, pattern)["path"], preamble, **how)
+    def newest(pattern: str, preamble: int, folder: str = landing, **how) -> DataFrame:
+        return read_report(spark, newest_drop(spark, folder, pattern)["path"], preamble, **how)
 
     requisitions = newest_drop(spark, landing, patterns.requisitions)
     return Reports(
         requisitions=read_report(spark, requisitions["path"], fv.REQUISITION_PREAMBLE, snake=True),
         fulfillment=newest(patterns.fulfillment, fv.FULFILLMENT_PREAMBLE),
         hires=newest(patterns.hires, fv.HIRES_PREAMBLE),
+        # The only report that is delivered as CSV and not exported from a sheet; its free text may hold line breaks.
         applications=newest(
-            patterns.applications, fv.APPLICATION_PREAMBLE, names=fv.APPLICATION_NAMES, strict=True
+            patterns.applications, fv.APPLICATION_PREAMBLE, names=fv.APPLICATION_NAMES, strict=True, line_breaks=True
         ),
         prospects=newest(patterns.prospects, fv.PROSPECT_PREAMBLE),
-        headcount=newest(patterns.headcount, fv.HEADCOUNT_PREAMBLE),
-        refreshed=require_feed_date(spark, requisitions["drop"]),
+        headcount=newest(patterns.headcount, fv.HEADCOUNT_PREAMBLE, historical or landing),
+        refreshed=require_feed_date(requisitions["drop"]),
     )
 
 
@@ -94,16 +96,18 @@ def run(
 
     ``one_per_key`` goes to the upsert of hires.
 
-    Each stage reads what the stages before it wrote, so nothing is computed twice and a lost executor costs
-    no more than the stage at work. The versioned table ``hires_master.parquet`` has to exist.
+    Every table is versioned: readers see the whole old table or the whole new one, also when a run fails. Each stage
+    reads what the stages before it wrote, so a lost executor costs no more than the stage at work. The funnel is
+    expanded once, with the referrer beside its columns for the referrals. The snapshot of the day names versions.
+    The table ``hires_master.parquet`` has to exist.
     """
+    path = lambda name: f"{out}/{name}.parquet"
 
     def published(name: str, df: DataFrame) -> DataFrame:
-        sinks.write_table(df, f"{out}/{name}.parquet")
-        return read_table(spark, f"{out}/{name}.parquet")
+        sinks.replace_table(df, path(name))
+        return sinks.read_current(spark, path(name))
 
-    master = f"{out}/{MASTER}"
-    present = sinks.read_current(spark, master)
+    present = sinks.read_current(spark, f"{out}/{MASTER}")
     reports = landed(spark, reports, f"{out}/snapshots/raw", as_of)
     tables = {
         "requisitions": published(
@@ -113,8 +117,8 @@ def run(
     sinks.write_refresh_date(spark, reports.refreshed, f"{out}/refresh_date.csv")
 
     incoming = stage(incoming_hires(reports.fulfillment, reports.hires, as_of), "incoming-hires")
-    sinks.replace_table(merge_hires(present, incoming, one_per_key=one_per_key), master)
-    tables["hires"] = published("hires", sinks.read_current(spark, master))
+    sinks.replace_table(merge_hires(present, incoming, one_per_key=one_per_key), f"{out}/{MASTER}")
+    tables["hires"] = published("hires", sinks.read_current(spark, f"{out}/{MASTER}"))
     tables["hire_discrepancies"] = published(
         "hire_discrepancies", hire_discrepancies(tables["hires"], tables["requisitions"])
     )
@@ -123,14 +127,24 @@ def run(
     sinks.write_csv(applications, f"{out}/applications.csv")
     tables["applications"] = applications
     tables["offer_accepts"] = published("offer_accepts", offer_accepts(applications))
-    tables["funnel"] = published("funnel", stage_funnel(applications))
+    funnel = published("funnel", stage_funnel(applications, carry=REFERRER_COLUMNS))
+    tables["funnel"] = funnel.select(fv.FUNNEL_COLUMNS)
 
-    tables["referrals"] = published("referrals", referral_tables(applications, reports.prospects)[0])
+    referred = referred_only(funnel)
+    tables["referrals"] = published("referrals", referral_funnel(read_prospects(reports.prospects), referred))
     unique = unique_referrals(tables["referrals"])
     headcount = read_headcount(reports.headcount)
     flagged = headcount_with_referrals(headcount, unique, as_of)
     # Sorted within files rather than over all of them: readers can skip by period, and nothing is shuffled.
     tables["headcount"] = published("headcount", flagged.sortWithinPartitions(PERIOD, "employee_id"))
 
-    sinks.snapshot_tables(tables, f"{out}/snapshots/processed", as_of)
+    sinks.name_versions(spark, {name: path(name) for name in tables}, f"{out}/snapshots/processed", as_of)
     return tables
+
+
+def vacuum(spark: SparkSession, out: str) -> dict[str, list[str]]:
+    """Remove what no reader needs any more of every table under ``out``; see ``sinks.vacuum``. Scratch folders of runs
+    (``rosterlake`` in the checkpoint folder) can go as a whole when no run is at work."""
+    snapshots = f"{out}/snapshots/processed"
+    names = [r["table"] for r in spark.read.parquet(snapshots).select("table").distinct().collect()]
+    return {name: sinks.vacuum(spark, f"{out}/{name}.parquet", snapshots) for name in [*names, MASTER.removesuffix(".parquet")]}

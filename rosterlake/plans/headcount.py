@@ -10,7 +10,6 @@ from rosterlake import fixed_values as fv
 from rosterlake.functions.dates import parse_embedded_date, year_month
 from rosterlake.functions.keys import composite_id
 from rosterlake.operators.flags import flag_from
-from rosterlake.operators.joins import HOT_ROWS
 from rosterlake.operators.periods import extend_latest_period
 from rosterlake.operators.shape import select_rename
 
@@ -23,9 +22,7 @@ def read_headcount(report: DataFrame) -> DataFrame:
     return named.withColumn(PERIOD, parse_embedded_date(F.col(PERIOD)))
 
 
-def headcount_with_referrals(
-    headcount: DataFrame, referrals: DataFrame, as_of: date, *, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+def headcount_with_referrals(headcount: DataFrame, referrals: DataFrame, as_of: date) -> DataFrame:
     """Headcount carried on to the month of ``as_of``, keyed by employee and month, with ``has_referral``.
 
     ``referrals`` holds each ``headcount_id`` once with its flag.
@@ -37,4 +34,4 @@ def headcount_with_referrals(
             "headcount_id": composite_id("employee_id", year_month(F.col(PERIOD))),
         }
     )
-    return flag_from(keyed, referrals, "headcount_id", "has_referral", hot_rows=hot_rows)
+    return flag_from(keyed, referrals, "headcount_id", "has_referral")

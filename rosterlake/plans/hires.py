@@ -11,7 +11,6 @@ from rosterlake.functions.dates import months_back, parse_report_date, year_mont
 from rosterlake.functions.keys import composite_id
 from rosterlake.functions.text import bracketed_number, first_step
 from rosterlake.operators.dedupe import keep_one
-from rosterlake.operators.joins import HOT_ROWS
 from rosterlake.operators.reconcile import reconcile_counts
 from rosterlake.operators.shape import align_schema, select_rename
 from rosterlake.operators.upsert import upsert_with_overrides
@@ -73,14 +72,10 @@ def incoming_hires(fulfillment: DataFrame, hires: DataFrame, as_of: date) -> Dat
     return joined.select(*left.columns, *[c for c in right.columns if c != "eehire_id"])
 
 
-def merge_hires(
-    master: DataFrame, incoming: DataFrame, *, one_per_key: bool = False, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+def merge_hires(master: DataFrame, incoming: DataFrame, *, one_per_key: bool = False) -> DataFrame:
     """Master hires brought up to date with ``incoming``, a stored or staged table."""
     aligned = align_schema(master, fv.MASTER_HIRES, "master hires")
-    return upsert_with_overrides(
-        aligned, incoming, MASTER_KEY, fv.MASTER_HIRES, one_per_key=one_per_key, hot_rows=hot_rows
-    )
+    return upsert_with_overrides(aligned, incoming, MASTER_KEY, fv.MASTER_HIRES, one_per_key=one_per_key)
 
 
 def hire_discrepancies(hires: DataFrame, requisitions: DataFrame) -> DataFrame:

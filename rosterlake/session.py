@@ -6,6 +6,10 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+#: HotSpot does not compile methods beyond 8000 bytes. The wide projections of the cleansing steps can exceed that, and
+#: uncompiled generated code takes twice as long as Spark's own fallback.
+HUGE_METHOD = "8000"
+
 
 def local_session(cores: int | str = "*", *, app: str = "rosterlake", **settings: str) -> SparkSession:
     """Local session. Further settings are given with ``__`` for dots: ``spark__sql__shuffle__partitions``."""
@@ -16,9 +20,7 @@ def local_session(cores: int | str = "*", *, app: str = "rosterlake", **settings
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
-        # HotSpot does not compile methods beyond 8000 bytes. The wide projections of the cleansing steps can
-        # exceed that, and uncompiled generated code takes twice as long as Spark's own fallback.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.codegen.hugeMethodLimit", HUGE_METHOD)
     )
     for name, value in settings.items():
         builder = builder.config(name.replace("__", "."), value)

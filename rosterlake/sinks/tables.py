@@ -7,7 +7,9 @@ from collections.abc import Mapping
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from rosterlake.sources.tables import EMPTY, empty_text
 
 COMPRESSION = "zstd"
 
@@ -17,8 +19,19 @@ def write_table(df: DataFrame, path: str, *, compression: str = COMPRESSION) ->
     df.write.mode("overwrite").option("compression", compression).parquet(path)
 
 
+#: Text comes back as it was: quotes are doubled, blanks at the ends stay, a quoted line break is part of its field, null is
+#: nothing and the empty text a pair of quotes.
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A table that ``write_csv`` wrote; a row that does not fit ``schema`` fails the job."""
+    read = spark.read.schema(schema).options(**CSV, emptyValue=EMPTY, multiLine=True, mode="FAILFAST").csv(path)
+    return read.select([empty_text(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in read.schema])
 
 
 def write_refresh_date(spark: SparkSession, refreshed: date, path: str) -> None:
@@ -31,7 +44,7 @@ def write_refresh_date(spark: SparkSession, refreshed: date, path: str) -> None:
 # A versioned table is a folder ``<name>.parquet`` with ``data/`` (one folder per version) and ``versions/``
 # (one small file per version: number and folder). Data is written first and the version row last, by Spark's
 # own commit protocol, so readers see a version whole or not at all, and a run may read the version it
-# replaces. One writer at a time. A run that fails leaves a data folder that no version row names.
+# replaces. One writer at a time. A run that fails leaves a data folder that no version row names; ``vacuum`` removes it.
 
 
 def current_version(spark: SparkSession, path: str) -> tuple[int, str] | None:
@@ -88,3 +101,39 @@ def read_snapshot(spark: SparkSession, path: str, as_of: date) -> DataFrame:
 def snapshot_tables(tables: Mapping[str, DataFrame], folder: str, as_of: date) -> None:
     for name, df in tables.items():
         snapshot_table(df, f"{folder}/{name}", as_of)
+
+
+# --- snapshots of versioned tables -------------------------------------------------------------------
+#
+# A snapshot names the version that each table had; nothing is copied.
+
+
+def name_versions(spark: SparkSession, tables: Mapping[str, str], folder: str, as_of: date) -> None:
+    """Keep the current versions of ``tables`` (name -> path) as the snapshot of ``as_of``; a rerun replaces that day."""
+    rows = [(name, path, current_version(spark, path)[1]) for name, path in tables.items()]
+    snapshot_table(spark.createDataFrame(rows, "table string, path string, version string").coalesce(1), folder, as_of)
+
+
+def read_named(spark: SparkSession, folder: str, as_of: date, name: str) -> DataFrame:
+    """A table as the snapshot of ``as_of`` names it."""
+    found = read_snapshot(spark, folder, as_of).where(F.col("table") == name).first()
+    if found is None:
+        raise FileNotFoundError(f"no {name} in the snapshot of {as_of}")
+    return spark.read.parquet(f"{found['path']}/data/{found['version']}")
+
+
+def vacuum(spark: SparkSession, path: str, snapshots: str | None = None) -> list[str]:
+    """Remove the versions of a table that are neither current nor named by a snapshot under ``snapshots``, and what failed
+    runs left; the names removed. Not while a run writes the table or reads an older version."""
+    current = current_version(spark, path)
+    if current is None:
+        raise FileNotFoundError(f"no version of table {path}")
+    kept = {current[1]}
+    if snapshots is not None:
+        kept |= {r["version"] for r in spark.read.parquet(snapshots).select("version").distinct().collect()}
+    data = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/data")
+    files = data.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = [s.getPath() for s in files.listStatus(data) if s.getPath().getName() not in kept]
+    for version in old:
+        files.delete(version, True)
+    return sorted(version.getName() for version in old)

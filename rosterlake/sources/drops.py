@@ -45,9 +45,10 @@ def feed_date(name: Column, pattern: str = fv.FEED_DATE, spelled: str = "yyyy-MM
     return F.try_to_date(F.regexp_extract(name, pattern, 0), spelled)
 
 
-def require_feed_date(spark: SparkSession, name: str) -> date:
+def require_feed_date(name: str) -> date:
     """First date in ``name``; fails if there is none."""
-    found = spark.range(1).select(feed_date(F.lit(name))).first()[0]
-    if found is None:
-        raise ValueError(f"no date matching {fv.FEED_DATE!r} in {name!r}")
-    return found
+    found = re.search(fv.FEED_DATE, name)
+    try:
+        return date.fromisoformat(found[0])
+    except (TypeError, ValueError):
+        raise ValueError(f"no date matching {fv.FEED_DATE!r} in {name!r}") from None

@@ -1,15 +1,19 @@
-"""Delimited reports: some preamble lines, a header line, one record per line."""
+"""Delimited reports: some preamble lines, a header line, one record per line or, where asked for, quoted line breaks."""
 
 from __future__ import annotations
 
 import csv
+import io
 import re
 from collections.abc import Iterable, Iterator, Mapping
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.csv as pcsv
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rosterlake.sources.tables import EMPTY, empty_text
+
 
 def snake_name(header: str) -> str:
     """Header as a column name: lower-case words joined by underscores, ``col`` if there are none."""
@@ -47,24 +51,23 @@ def read_report(
     names: Mapping[str, str] | None = None,
     snake: bool = False,
     strict: bool = False,
+    line_breaks: bool = False,
 ) -> DataFrame:
     """All records under ``path`` as text columns named by the header.
 
     ``snake`` turns headers into column names; ``names`` selects and renames columns, and with ``strict``
-    fails when one of them is absent. Every file has its own preamble and must have the same header.
+    fails when one of them is absent. Every file has its own preamble and must have the same header. A record with
+    more or fewer fields than the header fails the job, and so does a file that ends before its header; empty files
+    are passed over.
 
     Large files are split as usual. Lines are counted only at the start of a file, inside the task that
-    reads it, so leaving out the preamble costs no shuffle and no second read.
+    reads it, so leaving out the preamble costs no shuffle and no second read. A quoted field with a line break
+    fails the job then; with ``line_breaks`` it is read, every file by one task that holds it in memory.
     """
     header = header_line(spark, path, preamble)
     headers = next(csv.reader([header.removeprefix("\ufeff")]))
-    lines = spark.read.option("recursiveFileLookup", True).text(path)
-    lines = lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
-    records = lines.mapInArrow(_after_header(preamble, header), "value string").where(F.trim("value") != "")
-    ddl = ", ".join(f"c{i} string" for i in range(len(headers)))
-    # In a generator the line is parsed once; as a plain expression it would be copied into every later filter.
-    parsed = F.from_csv("value", F.lit(ddl), {"mode": "PERMISSIVE", "escape": '"'})
-    fields = records.select(F.inline(F.array(parsed)))
+    read = _whole_files if line_breaks else _lines
+    fields = read(spark, path, preamble, header, len(headers))
 
     titles = snake_names(headers) if snake else headers
     if names is not None:
@@ -81,24 +84,81 @@ def read_report(
     return fields.select([named[old].alias(new) for old, new in names.items() if old in named])
 
 
+def _lines(spark: SparkSession, path: str, preamble: int, header: str, width: int) -> DataFrame:
+    """Fields ``c0`` and so on of reports with one record per line or, where asked for, quoted line breaks."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    lines = lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
+    records = lines.mapInArrow(_after_header(preamble, header), "value string, file_path string").where(F.trim("value") != "")
+    torn = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1
+    ddl = ", ".join([*(f"c{i} string" for i in range(width)), "ragged string"])
+    # In a generator the line is parsed once; as a plain expression it would be copied into every later filter.
+    how = {"mode": "PERMISSIVE", "escape": '"', "emptyValue": EMPTY, "columnNameOfCorruptRecord": "ragged"}
+    fields = records.select("value", "file_path", torn.alias("torn"), F.inline(F.array(F.from_csv("value", F.lit(ddl), how))))
+    # The failure hangs on the first column, and every column on that, so no selection of columns passes it by.
+    fault = F.when(F.col("torn"), "a quoted line break (read with line_breaks=True)").when(F.col("ragged").isNotNull(), f"not {width} fields")
+    checked = F.when(fault.isNull(), F.lit(True)).otherwise(F.raise_error(F.concat("file_path", F.lit(": "), fault, F.lit(": "), "value")).cast("boolean"))
+    return fields.where(checked).select([empty_text(f"c{i}") for i in range(width)])
+
+
 def _after_header(preamble: int, header: str):
     """Batch function that leaves out the first lines of each file and checks its header."""
 
     def drop_head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, seen = None, 0
+        block, seen, wanted = None, 0, preamble + 1
+
+        def ended():
+            if block is not None and block.endswith("@0") and seen < wanted:
+                raise ValueError(f"{block[:-2]}: no header in the first {seen} lines, all of its first block")
+
         for batch in batches:
             starts = batch.column("file_block_start").cast(pa.string())
             runs = pc.run_end_encode(pc.binary_join_element_wise(batch.column("file_path"), starts, "@"))
-            lines, at = batch.column("value"), 0
+            at = 0
             for run, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
                 if run != block:
+                    ended()
                     block, seen = run, 0
-                skip = min(preamble + 1 - seen, end - at) if run.endswith("@0") else 0
+                skip = min(wanted - seen, end - at) if run.endswith("@0") else 0
                 seen += skip
-                if skip and seen == preamble + 1 and lines[at + skip - 1].as_py() != header:
+                if skip and seen == wanted and batch.column("value")[at + skip - 1].as_py() != header:
                     raise ValueError(f"{run}: header differs from {header!r}")
                 if at + skip < end:
-                    yield pa.RecordBatch.from_arrays([lines.slice(at + skip, end - at - skip)], ["value"])
+                    yield batch.slice(at + skip, end - at - skip).select(["value", "file_path"])
                 at = end
+        ended()
 
     return drop_head
+
+
+def _whole_files(spark: SparkSession, path: str, preamble: int, header: str, width: int) -> DataFrame:
+    """Fields ``c0`` and so on of reports whose quoted fields may hold line breaks."""
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select("value", "_metadata.file_path")
+    names = [f"c{i}" for i in range(width)]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parsing = pcsv.ParseOptions(newlines_in_values=True)
+        as_text = pcsv.ConvertOptions(
+            column_types=dict.fromkeys(names, pa.string()), null_values=[""], strings_can_be_null=True, quoted_strings_can_be_null=False
+        )
+        for batch in batches:
+            for file, content in zip(batch.column("file_path").to_pylist(), batch.column("value").to_pylist()):
+                if not content:
+                    continue
+                head, rest = [], content
+                while len(head) <= preamble and rest:
+                    line, _, rest = rest.partition("\n")
+                    head.append(line.removesuffix("\r"))
+                if len(head) <= preamble:
+                    raise ValueError(f"{file}: no header after {preamble} preamble lines")
+                if head[-1] != header:
+                    raise ValueError(f"{file}: header differs from {header!r}")
+                if not rest.strip():
+                    continue
+                reading = pcsv.ReadOptions(column_names=names, use_threads=False, block_size=len(rest.encode()) + 1)
+                try:
+                    table = pcsv.read_csv(io.BytesIO(rest.encode()), reading, parsing, as_text)
+                except pa.ArrowInvalid as error:
+                    raise ValueError(f"{file}: {error}") from None
+                yield from table.to_batches()
+
+    return files.mapInArrow(parse, ", ".join(f"{n} string" for n in names))

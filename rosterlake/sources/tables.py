@@ -5,11 +5,19 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rosterlake.operators.shape import select_present
 
 
+#: Stands for a quoted empty field while CSV is read; Spark would make it null.
+EMPTY = "\x01empty\x01"
+
+
+def empty_text(column: str) -> Column:
+    return F.when(F.col(column) == EMPTY, "").otherwise(F.col(column)).alias(column)
+
+
 def read_table(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, where: Column | None = None
 ) -> DataFrame:

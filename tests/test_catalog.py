@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
+from harness import catalog, oracles
 from harness.check import compare, database
 from tests.conftest import plan
 
@@ -23,7 +24,8 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.QUERIES) == set(oracles.ORACLES)
+    assert set(catalog.QUERIES) <= set(contract.queries()) and oracles.ORACLES.items() <= contract.oracle_sql().items()
 
 
 def test_every_operator_of_the_survey_has_its_query():
@@ -33,16 +35,22 @@ def test_every_operator_of_the_survey_has_its_query():
     assert len(keys) > 30 and keys <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query(spark, con, name):
     df = contract.queries()[name](spark, SF)
     shown = plan(df)
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "Window"):
         assert unwanted not in shown
-    assert ("MapInArrow" in shown) == (name in ("src_report_preamble", "src_report_select"))
+    assert ("MapInArrow" in shown) == (name in ("src_report_preamble", "src_report_select", "src_report_quoted"))
     assert compare(con, name, df) == []
 
 
+def test_every_check_finds_something_else(spark):
+    for name in ("dq_nulls", "dq_domain", "dq_duplicates", "dq_rules"):
+        found = [r["violations"] for r in contract.queries()[name](spark, "/root/testdata/sf0.01").collect()]
+        assert all(found) and len(set(found)) == len(found), (name, found)
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == contract.queries()["last_stage"](spark, SF).columns

@@ -100,14 +100,14 @@ def test_names_lose_their_id(table):
 
 
 def test_bracketed_number(table):
-    given = ["R222 (22222)", "R222", "(a1)", "(1) (2)", "", None]
-    assert answers(table, text.bracketed_number, "string", *given) == ["22222", None, None, "1", None, None]
+    given = ["Q55 (50505)", "Q55", "(a1)", "(1) (2)", "", None]
+    assert answers(table, text.bracketed_number, "string", *given) == ["50505", None, None, "1", None, None]
 
 
 def test_digits_or_sentinel(table):
-    given = ["R222 (22222)", "none", "", None, "7"]
+    given = ["Q55 (50505)", "none", "", None, "7"]
     digits = lambda c: text.digits_or(c, fv.BLANK_RECRUITER)
-    assert answers(table, digits, "string", *given) == ["22222222", "zzz_blank", "zzz_blank", None, "7"]
+    assert answers(table, digits, "string", *given) == ["5550505", "zzz_blank", "zzz_blank", None, "7"]
 
 
 def test_first_step_and_says(table):
@@ -135,3 +135,10 @@ def test_lenient_cast(table):
     source = df.schema["v"].dataType
     short = [r[0] for r in df.orderBy("i").select(lenient_cast(F.col("v"), source, fv.layout(v="short")["v"].dataType)).collect()]
     assert short == [12, -3, 4, None, None, None, None, None]
+
+
+def test_text_is_a_date_only_as_a_whole(table):
+    given = ["2031-05-06", "2031/5/6", "45800", "12345", "2025", "2025-06", "2025-06-01 junk", "2031-13-01", " 2031-05-06", "", None]
+    df = table("i int, v string", *enumerate(given))
+    day = lenient_cast(F.col("v"), df.schema["v"].dataType, fv.layout(v="date")["v"].dataType)
+    assert [r[0] for r in df.orderBy("i").select(day).collect()] == [date(2031, 5, 6)] * 2 + [None] * 9

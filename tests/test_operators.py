@@ -12,7 +12,7 @@ from rosterlake import fixed_values as fv
 from rosterlake.operators import quality as dq
 from rosterlake.operators.dedupe import distinct_flag, duplicate_keys, duplicated_rows, keep_one
 from rosterlake.operators.flags import flag_from
-from rosterlake.operators.joins import hot_keys, spread_join
+from rosterlake.operators.joins import keyed_join, repeated_right_join
 from rosterlake.operators.periods import extend_latest_period, sort_by_period
 from rosterlake.operators.reconcile import reconcile_counts
 from rosterlake.operators.shape import (
@@ -52,9 +52,9 @@ def test_select_rename_and_present(table):
 def test_guards(table):
     df = table("a int, b string, c int", (1, "x", 2))
     require_schema(df, fv.layout(a="int", b="string"))
-    with pytest.raises(ValueError, match="mistyped"):
+    with pytest.raises(ValueError, match="a is int instead of smallint"):
         require_schema(df, fv.layout(a="short"))
-    with pytest.raises(ValueError, match="missing"):
+    with pytest.raises(ValueError, match="zz is absent instead of smallint"):
         require_schema(df, fv.layout(zz="short"))
     with pytest.raises(ValueError, match="missing required columns"):
         require_columns(df, ["a", "q"])
@@ -109,8 +109,7 @@ def test_keep_one_on_key_columns_alone(table):
 def test_duplicates_count_null_keys_as_equal(table):
     df = table("a string, b int, n int", ("x", 1, 0), ("x", 1, 1), (None, 1, 2), (None, 1, 3), ("x", None, 4))
     assert values(duplicate_keys(df, ["a", "b"])) == [(None, 1, 2), ("x", 1, 2)]
-    for hot_rows in (None, 1):
-        assert sorted(r["n"] for r in duplicated_rows(df, ["a", "b"], hot_rows=hot_rows).collect()) == [0, 1, 2, 3]
+    assert sorted(r["n"] for r in duplicated_rows(df, ["a", "b"]).collect()) == [0, 1, 2, 3]
     assert dq.duplicate_violations(df, ["a", "b"]).collect() == [("unique", "a, b", 4)]
     assert dq.duplicate_violations(df, ["n"]).collect() == [("unique", "n", 0)]
 
@@ -134,41 +133,33 @@ def joined_by_hand(left, right, how, null_safe=False):
     return Counter(out)
 
 
-@pytest.mark.parametrize(
-    "how, hot_left, hot_right",
-    [(how, hot, ()) for how in ("left", "left_semi", "left_anti") for hot in ((), ("hot", "a"))]
-    + [("left", (), ("hot",)), ("left", ("a",), ("hot", "b"))],
-)
-@pytest.mark.parametrize("null_safe", [False, True])
-def test_spread_join_is_a_join(table, how, hot_left, hot_right, null_safe):
-    left = [(r[0], i) for i, r in enumerate(random_rows(5, 60))] + [("only left", 0)]
-    right = [("hot", 1), ("hot", 2), ("hot", 2), ("a", 3), (None, 4), ("b", 5), ("b", 6), ("only right", 7)]
-    got = spread_join(
-        table("k string, i int", *left),
-        table("k string, v int", *right),
-        ["k"],
-        how,
-        null_safe=null_safe,
-        hot_left=hot_left,
-        hot_right=hot_right,
-    )
-    assert Counter(tuple(r) for r in got.collect()) == joined_by_hand(left, right, how, null_safe)
+RIGHT = [("hot", 1), ("hot", 2), ("hot", 2), ("a", 3), (None, 4), ("b", 5), ("b", 6), ("only right", 7)]
 
 
-def test_spread_join_refuses_what_it_cannot_do(table):
-    df = table("k string", "a")
-    with pytest.raises(ValueError):
-        spread_join(df, df, ["k"], "inner")
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_keyed_join_is_a_join(table, how):
+    left = [(r[0], i) for i, r in enumerate(random_rows(5, 60))] + [("only left", 0)]
+    got = keyed_join(table("k string, i int", *left), table("k string, v int", *RIGHT), ["k"], how)
+    assert Counter(tuple(r) for r in got.collect()) == joined_by_hand(left, RIGHT, how)
     with pytest.raises(ValueError):
-        spread_join(df, df, ["k"], "left_anti", hot_right=["a"])
+        keyed_join(got, got, ["k"], "inner")
+
 
+def test_keyed_join_on_two_keys(table):
+    left = table("a string, b int, i int", ("x", 1, 0), ("x", None, 1), (None, 1, 2), ("y", 1, 3))
+    right = table("v int, b int, a string", (5, 1, "x"), (6, None, "x"), (7, 1, None))
+    assert values(keyed_join(left, right, ["a", "b"], "left"), "i", "v") == [(0, 5), (1, None), (2, None), (3, None)]
+    assert values(keyed_join(left, right, ["a", "b"], "left_anti"), "i") == [(1,), (2,), (3,)]
 
-def test_hot_keys_are_found(spark):
-    df = spark.range(30000).selectExpr("case when id % 3 = 0 then 'hot' else cast(id as string) end as k", "1 as j")
-    assert hot_keys(df, ["k"], 5000) == ["hot"]
-    assert hot_keys(df, ["k"], 20000) == []
-    assert hot_keys(df.selectExpr("cast(null as string) as k"), ["k"], 1) == []
-    assert hot_keys(df, ["k", "j"], 5000) == ['{"k":"hot","j":1}']
+
+@pytest.mark.parametrize("times", [0, 1, 40])
+def test_repeated_right_join_is_a_join(table, times):
+    left = [(r[0], i) for i, r in enumerate(random_rows(5, 60))] + [("only left", 0)]
+    right = RIGHT + [("hot", 100 + i) for i in range(times)] + [("a", 1)] * times + [(None, 9)] * times
+    got = repeated_right_join(table("k string, i int", *left), table("k string, v int", *right), ["k"])
+    assert Counter(tuple(r) for r in got.collect()) == joined_by_hand(left, right, "left")
+    none = repeated_right_join(table("k string, i int", *left), table("k string, v int"), ["k"])
+    assert Counter(tuple(r) for r in none.collect()) == joined_by_hand(left, [], "left")
 
 
 @pytest.fixture
@@ -189,31 +180,39 @@ def largest_share(df):
     return max(sizes) / sum(sizes)
 
 
-def test_a_third_of_the_rows_under_one_key_and_a_third_under_null_spread(spark, no_help, tmp_path):
-    spark.range(60000).selectExpr(
-        "case id % 3 when 0 then 'hot' when 1 then cast(id as string) end as k", "'same' as payload"
-    ).write.parquet(f"{tmp_path}/left")
-    spark.range(60000).selectExpr("cast(id as string) as k", "id as v").union(
-        spark.sql("select 'hot' as k, -1 as v")
-    ).write.parquet(f"{tmp_path}/right")
-    left, right = spark.read.parquet(f"{tmp_path}/left"), spark.read.parquet(f"{tmp_path}/right")
-    plain = left.join(right, "k", "left")
-    spread = spread_join(left, right, ["k"], "left", hot_left=hot_keys(left, ["k"], 5000))
-    assert largest_share(plain) > 0.33
-    assert largest_share(spread) < 0.15
-    assert spread.count() == 60000 and spread.where("v = -1").count() == 20000
+def test_null_keys_stay_where_they_are(spark, no_help, tmp_path):
+    spark.range(60000).selectExpr("if(id % 2 = 0, null, cast(id as string)) as k", "'same' as payload").write.parquet(f"{tmp_path}/l")
+    spark.range(60000).selectExpr("cast(id as string) as k", "id as v").write.parquet(f"{tmp_path}/r")
+    left, right = spark.read.parquet(f"{tmp_path}/l"), spark.read.parquet(f"{tmp_path}/r")
+    got = keyed_join(left, right, ["k"], "left")
+    assert got.count() == 60000 and got.where("v is null").count() == 30000
+    assert largest_share(left.join(right, "k", "left").where("v is not null or k is null")) > 0.49
+    shown = plan(got)
+    assert shown.count("Exchange hashpartitioning") == 2 and "Generate" not in shown and "isnull(k" in shown
 
 
-def test_a_hot_right_key_spreads(spark, no_help, tmp_path):
+def test_a_hot_right_key_spreads_without_a_job_at_plan_time(spark, no_help, tmp_path):
     spark.range(3000).selectExpr("cast(id as string) as k").union(spark.sql("select 'hot'")).write.parquet(f"{tmp_path}/l")
     spark.range(30000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as k", "id as v").write.parquet(
         f"{tmp_path}/r"
     )
     left, right = spark.read.parquet(f"{tmp_path}/l"), spark.read.parquet(f"{tmp_path}/r")
-    spread = spread_join(left, right, ["k"], "left", hot_right=hot_keys(right, ["k"], 5000))
-    assert spread.where("k = 'hot'").count() == 10000
-    assert spread.count() == left.join(right, "k", "left").count()
-    assert largest_share(spread) < 0.25
+    plain = left.join(right, "k", "left")
+    spark.sparkContext.setJobGroup("planning", "planning")
+    spread = repeated_right_join(left, right, ["k"])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    assert spread.where("k = 'hot'").count() == 10000 and spread.count() == plain.count()
+    assert largest_share(plain) > 0.75 and largest_share(spread) < 0.25
+
+
+def test_rows_that_are_equal_spread_by_their_place(spark, no_help, tmp_path):
+    spark.sql("select 'hot' as k").write.parquet(f"{tmp_path}/l")
+    spark.range(30000).selectExpr("'hot' as k", "1 as v").write.parquet(f"{tmp_path}/r")
+    left = spark.read.parquet(f"{tmp_path}/l")
+    right = spark.read.parquet(f"{tmp_path}/r")
+    place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    spread = repeated_right_join(left, right, ["k"], place)
+    assert spread.columns == ["k", "v"] and spread.count() == 30000 and largest_share(spread) < 0.2
 
 
 # --- upsert ------------------------------------------------------------------------------------------
@@ -269,15 +268,27 @@ def test_upsert_with_nothing_incoming(table):
     assert values(upserted(table, master, [])) == [(None, "old", "m", "m", "n"), ("1", "old", "s", None, "n")]
 
 
-def test_upsert_refuses_mistyped_columns(table):
-    with pytest.raises(ValueError, match="mistyped"):
-        upserted(table, [], [("1", 5)], "id string, name int")
+def test_upsert_aligns_what_comes_in(table):
+    got = upserted(table, [("1", "old", "s", None, "n")], [(1, 5, "x"), (2, 6, "y")], "id int, name int, other string")
+    assert values(got) == [("1", "5", "s", None, "n"), ("2", "6", None, None, None)]
 
 
-def test_upsert_with_hot_keys_gives_the_same_rows(table):
+def test_upsert_with_repeated_keys_gives_the_same_rows(table):
     master = [("hot", f"m{i}", None, None, "n") for i in range(30)] + [("1", "old", None, None, "n"), (None, "z", None, None, None)]
     incoming = [("hot", f"i{i}", "s") for i in range(3)] + [("new", f"n{i}", None) for i in range(30)] + [("1", "up", None)]
-    assert values(upserted(table, master, incoming, hot_rows=3)) == values(upserted(table, master, incoming, hot_rows=None))
+    assert values(upserted(table, master, incoming, repeated=True)) == values(upserted(table, master, incoming))
+
+
+def test_upsert_shuffles_each_side_once_by_its_key(spark, no_help, tmp_path):
+    spark.range(1000).selectExpr("cast(id as string) as id", "'old' as name").write.parquet(f"{tmp_path}/m")
+    spark.range(500, 1500).selectExpr("cast(id as string) as id", "'new' as name").write.parquet(f"{tmp_path}/i")
+    m, i = spark.read.parquet(f"{tmp_path}/m"), spark.read.parquet(f"{tmp_path}/i")
+    shown = plan(updated_rows(m, i, "id"))
+    assert shown.count("Exchange hashpartitioning") == 2 and "Generate" not in shown
+    flagged = plan(flag_from(m, i.select("id", F.lit(1).cast("byte").alias("f")), "id", "f"))
+    assert flagged.count("Exchange hashpartitioning") == 2 and "Generate" not in flagged
+    fresh = plan(new_rows(m, i, "id", fv.layout(id="string", name="string")))
+    assert fresh.count("Exchange hashpartitioning") == 3 and "Generate" not in fresh
 
 
 def test_master_is_not_shuffled_for_a_small_update(spark, tmp_path):
@@ -367,7 +378,7 @@ def test_extension_reads_rows_once_and_sorts_within_the_period(spark, tmp_path):
 def test_flag_from(table):
     df = table("k string, x int", ("a", 1), ("a", 2), ("b", 3), (None, 4))
     flags = table("k string, f byte", ("a", 1), ("c", 1), (None, 1))
-    got = flag_from(df, flags, "k", "f", hot_rows=2)
+    got = flag_from(df, flags, "k", "f")
     assert values(got, "x", "f") == [(1, 1), (2, 1), (3, 0), (4, 0)] and dict(got.dtypes)["f"] == "tinyint"
 
 
