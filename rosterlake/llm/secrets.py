@@ -76,8 +76,7 @@ def scanned(
     covered = lambda o: F.exists("base", lambda b: (b["start"] < o["end"]) & (o["start"] < b["end"]))
     found = packed.withColumn("all", F.concat("base", F.filter("opaque", lambda o: ~covered(o)))).drop("base", "opaque")
     found = stage(found, "secrets")
-    # Rows that repeat are one here, and come back by their key below.
-    each = found.where(F.size("all") > 0).dropDuplicates(["k1", "k2"]).select("k1", "k2", "owner", "repository", F.explode("all").alias("span"))
+    each = found.where(F.size("all") > 0).select("k1", "k2", "owner", "repository", F.explode("all").alias("span"))
     # Distinct owners and repositories are combined before the shuffle; a value that a third of all rows hold is one row
     # per owner or repository and task.
     value = F.col("span.value").alias("value")
@@ -86,7 +85,10 @@ def scanned(
         for who, many in (("owner", "owners"), ("repository", "repositories"))
     ]
     counts = spread[0].join(spread[1], "value")
-    judged = each.withColumn("value", F.col("span.value")).join(counts, "value").withColumn("live", F.col("n_owners") < copied)
+    # Rows that repeat are one here, and come back by their key below. The counts are staged, so that nothing stands between
+    # them and the join and adaptive execution can split a value that very many documents have.
+    once = each.select("k1", "k2", "span").distinct().withColumn("value", F.col("span.value"))
+    judged = once.join(stage(counts, "owners"), "value").withColumn("live", F.col("n_owners") < copied)
     judged = judged.where((F.col("span.kind") < len(BASE)) | F.col("live"))
     span = F.struct("span.start", "span.kind", "span.end", "value", "n_repositories", "n_owners", "live")
     lists = judged.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(span)).alias("spans"))

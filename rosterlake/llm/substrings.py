@@ -149,21 +149,22 @@ def without_repeats(
     texts = docs.select("doc_id", "text")
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, anchor bigint, hash bigint"
     runs = stage(texts.where("doc_id is not null").mapInArrow(_runs(window, gram), schema), "runs")
-    # 1. Anchors of several documents.
+    # 1. Anchors of several documents. What is joined with occurrences is staged first here and below: nothing then stands
+    # between it and the join, and adaptive execution can split an anchor that very many documents have.
     shared = runs.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    seeded = stage(runs.join(shared.select("anchor"), "anchor", "left_semi"), "seeded")
+    seeded = stage(runs.join(stage(shared.select("anchor"), "shared-anchors"), "anchor", "left_semi"), "seeded")
     # 2. Whole runs.
     firsts = stage(_firsts(seeded), "first-runs")
     # 3. Windows, where an anchor has different runs.
     differing = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     asked = (
-        firsts.join(differing, "anchor", "left_semi")
+        firsts.join(stage(differing, "differing-anchors"), "anchor", "left_semi")
         .groupBy(F.col("first").alias("of_doc"))
         .agg(F.collect_list("hash").alias("runs"))
     )
     extended = texts.join(asked, F.col("doc_id") == F.col("of_doc")).select("doc_id", "text", "runs")
     windows = stage(extended.mapInArrow(_windows(window, gram), schema), "windows")
-    repeats = _repeats(seeded, firsts).union(_repeats(windows, _firsts(windows)))
+    repeats = _repeats(seeded, firsts).union(_repeats(windows, stage(_firsts(windows), "first-windows")))
     listed = repeats.groupBy(F.col("doc_id").alias("of_doc")).agg(F.collect_list("hash").alias("hashes"))
     name = free(docs, "repeated")
     packed = docs.select(F.struct("*").alias("all"))
