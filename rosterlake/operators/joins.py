@@ -38,9 +38,9 @@ def repeated_right_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     """Left join in which a key may hold any share of the right rows.
 
     Keys with at least as many right rows as an even partition would hold are kept as a table, which is broadcast: there
-    can't be more of them than shuffle partitions. Their right rows are dealt out by the hash of the row, over as many
-    salts as they would fill partitions, and the left rows of these keys alone are repeated under every salt. All other
-    rows take the plain join. No job runs while the plan is built.
+    can't be more of them than shuffle partitions. Their right rows are dealt out by the hash of the row, over four times as
+    many salts as they would fill partitions (some salts always meet in a partition), and the left rows of these keys alone
+    are repeated under every salt. All other rows take the plain join. No job runs while the plan is built.
 
     ``spread_by``: further columns for the hash, so that rows that are equal in all columns spread too; they have to be the
     same when a task is retried, as ``_metadata.file_path`` and ``_metadata.row_index`` of a parquet scan are.
@@ -52,7 +52,7 @@ def repeated_right_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     total = right.select((F.count(F.lit(1)) / partitions).alias("even")).scalar()
     counts = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).dropna(subset=keys)
     hot = counts.where((F.col("__n") > 1) & (F.col("__n") >= total))
-    hot = F.broadcast(hot.select(*[F.col(k).alias(f"__{k}") for k in keys], F.ceil(F.col("__n") / F.greatest(total, F.lit(1.0))).cast("int").alias("__salts")))
+    hot = F.broadcast(hot.select(*[F.col(k).alias(f"__{k}") for k in keys], F.ceil(4 * F.col("__n") / F.greatest(total, F.lit(1.0))).cast("int").alias("__salts")))
 
     def marked(df: DataFrame) -> DataFrame:
         on = [F.col(k) == F.col(f"__{k}") for k in keys]
