@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -37,3 +39,17 @@ def own_checkpoint_folder(spark: SparkSession) -> None:
     if not context.master.startswith("local[") and context.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="rosterlake-"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once a session, wherever the driver found it."""
+    name = "rosterlake.zip"
+    context = spark.sparkContext
+    if any(str(f).endswith(f"/{name}") for f in context.listFiles):
+        return
+    package = Path(__file__).resolve().parent
+    file = Path(tempfile.mkdtemp(prefix="rosterlake-")) / name
+    with zipfile.ZipFile(file, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, Path(package.name) / source.relative_to(package))
+    context.addPyFile(str(file))
