@@ -134,7 +134,7 @@ def links(prints: DataFrame, *, bits: int = BITS, part: int = PART) -> DataFrame
 
 def roots(edges: DataFrame) -> DataFrame:
     """Per node ``u`` of the edges other than the smallest of its component that smallest, ``v``."""
-    edges, before = stage(edges, "links"), None
+    edges = stage(edges, "links")
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Staged, so that nothing stands between it and the join, and adaptive execution can split the edges of a hub.
@@ -143,10 +143,11 @@ def roots(edges: DataFrame) -> DataFrame:
         least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "least-neighbours")
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         edges = stage(small.distinct(), "small-stars")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        # Stars alone are left when no node points to two others or to one that points on itself.
+        out = edges.groupBy("u").agg(F.count("*").alias("n"))
+        onward = edges.select("v").distinct().join(out, F.col("v") == F.col("u"), "left_semi")
+        if out.where("n > 1").isEmpty() and onward.isEmpty():
             return edges
-        before = now
 
 
 def components(prints: DataFrame, *, bits: int = BITS, part: int = PART) -> DataFrame:
