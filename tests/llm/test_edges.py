@@ -125,6 +125,9 @@ def test_files_round_trip(spark, odd, odd_rows, name, segment):
     assert [r.start for r in got] == [sum(r.n_tokens for r in got[:i]) for i in range(len(got))]
     assert [r.doc_id for r in got] == sorted((d["doc_id"] for d in odd_rows), key=lambda i: (i is not None, i))
     assert all(r.n_tokens == len(r.ids) // 4 for r in got)
+    segments = spark.read.parquet(path).orderBy("shard", "segment").collect()
+    picked = [(s["keys"][i], token_files.document_ids(s, i).astype("<u4").tobytes()) for s in segments for i in range(len(s["keys"]))]
+    assert picked == [(r.doc_id, bytes(r.ids)) for r in got]
 
 
 def test_files_of_nothing(spark, nothing):
