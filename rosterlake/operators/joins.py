@@ -52,7 +52,8 @@ def repeated_right_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     total = right.select((F.count(F.lit(1)) / partitions).alias("even")).scalar()
     counts = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).dropna(subset=keys)
     hot = counts.where((F.col("__n") > 1) & (F.col("__n") >= total))
-    hot = F.broadcast(hot.select(*[F.col(k).alias(f"__{k}") for k in keys], F.ceil(4 * F.col("__n") / F.greatest(total, F.lit(1.0))).cast("int").alias("__salts")))
+    salts = F.ceil(4 * F.col("__n") / F.greatest(total, F.lit(1.0))).cast("int")
+    hot = F.broadcast(hot.select(*[F.col(k).alias(f"__{k}") for k in keys], salts.alias("__salts")))
 
     def marked(df: DataFrame) -> DataFrame:
         on = [F.col(k) == F.col(f"__{k}") for k in keys]
