@@ -171,7 +171,7 @@ def test_substrings(odd, odd_rows, nothing):
     assert substrings.without_repeats(nothing).count() == 0
 
 
-@pytest.mark.parametrize("window, gram", [(5, 2), (8, 8), (3, 1), (1, 1), (20, 3)])
+@pytest.mark.parametrize("window, gram", [(5, 2), (8, 8), (1, 1)])
 def test_substrings_of_other_sizes(odd, odd_rows, window, gram):
     got = substrings.without_repeats(odd, window=window, gram=gram, carry=["doc_id"])
     assert tuples(got.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256))) == ordered(brute.windows_removed(odd_rows, window))
