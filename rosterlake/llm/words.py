@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text in one pass.
-PASS_BYTES = 4 << 20
+PASS_BYTES = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
