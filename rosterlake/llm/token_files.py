@@ -101,7 +101,7 @@ class Encoder:
     """
 
     #: Pieces remembered before starting over, some 200 bytes each.
-    MOST = 1_500_000
+    MOST = 500_000
 
     def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
