@@ -3,7 +3,21 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from rosterlake.llm import decontamination, mixing, quality, rules, secrets, simhash, substrings, token_counts, token_files, toxicity
+from rosterlake.llm import (
+    decontamination,
+    manifest,
+    mixing,
+    quality,
+    rules,
+    secrets,
+    simhash,
+    spelling,
+    substrings,
+    suffixes,
+    token_counts,
+    token_files,
+    toxicity,
+)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -16,6 +30,9 @@ QUERIES = {
     "op8_token_files": token_files.op8_token_files,
     "op9_secrets": secrets.op9_secrets,
     "op10_simhash": simhash.op10_simhash,
+    "op11_manifest": manifest.op11_manifest,
+    "op12_suffixes": suffixes.op12_suffixes,
+    "op13_spelling": spelling.op13_spelling,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,4 +41,6 @@ ORACLES = {
     "op4_substrings": substrings.ORACLE,
     "op5_decontamination": decontamination.ORACLE,
     "op7_rules": rules.ORACLE,
+    "op11_manifest": manifest.ORACLE,
+    "op13_spelling": spelling.ORACLE,
 } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

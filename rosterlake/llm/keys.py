@@ -7,7 +7,21 @@ from pyspark.sql import functions as F
 
 from rosterlake.sources.tables import stage
 
-__all__ = ["free", "in_order", "stage"]
+__all__ = ["free", "in_order", "stage", "swept"]
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def swept(df: DataFrame, label: str) -> DataFrame:
+    """``df`` staged; the shuffle files of that go at once and not when the driver next collects garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        return stage(df, label)
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
 
 
 def free(df: DataFrame, name: str) -> str:

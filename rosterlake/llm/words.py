@@ -77,13 +77,8 @@ class Texts:
     word of each text (one more entry at the end), ``doc`` of each word."""
 
     def __init__(self, texts: pa.Array, letters: np.ndarray = NOT_BLANK, lower: bool = False):
-        space, nothing = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
-        joined = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), ""), nothing, space)
-        n = len(joined)
-        self.bounds = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + n + 1]
-        low = int(self.bounds[0])
-        self.bounds = self.bounds - low
-        self.data = np.frombuffer(joined.buffers()[2], np.uint8)[low : low + int(self.bounds[-1])] if n else np.zeros(0, np.uint8)
+        self.data, self.bounds = text_bytes(texts)
+        n = len(self)
         if lower:
             self.data = LOWER[self.data]
         inside = letters[self.data]
@@ -159,6 +154,27 @@ def rightmost_minimum(values: np.ndarray, n: int) -> np.ndarray:
     return at
 
 
+def slid_minimum(values: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of each stretch of ``n`` values."""
+    width = 1
+    while width < n and len(values):
+        step = min(width, n - width)
+        values = np.minimum(values[: max(0, len(values) - step)], values[step:])
+        width += step
+    return values
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' bytes, each text followed by a space, and where each begins (one more entry at the end)."""
+    space, nothing = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+    joined = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), ""), nothing, space)
+    n = len(joined)
+    bounds = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + n + 1]
+    low = int(bounds[0])
+    bounds = bounds - low
+    return (np.frombuffer(joined.buffers()[2], np.uint8)[low : low + int(bounds[-1])] if n else np.zeros(0, np.uint8)), bounds
+
+
 def passes(batch: pa.RecordBatch, column: str = "text", size: int = PASS_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of ``size`` bytes of text or one row."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
