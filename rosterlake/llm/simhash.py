@@ -160,10 +160,10 @@ def components(prints: DataFrame, *, bits: int = BITS, part: int = PART) -> Data
     return rooted.join(least, "root").select(F.col("fingerprint").alias("of_fingerprint"), "root", "component_id")
 
 
-def with_components(docs: DataFrame, *, bits: int = BITS, carry: Sequence[str] | None = None) -> DataFrame:
+def with_components(docs: DataFrame, *, shingle: int = SHINGLE, bits: int = BITS, carry: Sequence[str] | None = None) -> DataFrame:
     """Per document ``row`` (the columns ``carry``, or all but the text), ``fingerprint``, ``root`` and ``component_id``."""
     kept = [c for c in docs.columns if c != "text"] if carry is None else carry
-    prints = stage(fingerprints(docs, carry=kept), "simhash")
+    prints = stage(fingerprints(docs, shingle=shingle, carry=kept), "simhash")
     found = stage(components(prints.select("row.doc_id", "fingerprint"), bits=bits), "components")
     return prints.join(found, F.col("fingerprint") == F.col("of_fingerprint")).drop("of_fingerprint")
 
@@ -173,10 +173,10 @@ def _key() -> list[Column]:
     return [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text", "doc_id").alias("k2")]
 
 
-def deduplicated(docs: DataFrame, *, bits: int = BITS) -> DataFrame:
+def deduplicated(docs: DataFrame, *, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """One document of each component, that with the smallest doc_id; ties go by a hash of the text."""
     keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.col("text"), *_key())
-    named = with_components(keyed.select("doc_id", "text", "k1", "k2"), bits=bits, carry=["doc_id", "k1", "k2"])
+    named = with_components(keyed.select("doc_id", "text", "k1", "k2"), shingle=shingle, bits=bits, carry=["doc_id", "k1", "k2"])
     named = stage(named.select("row.*", "root"), "members")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")).alias("first")
     chosen = stage(named.groupBy("root").agg(first).select("first.k1", "first.k2"), "chosen")
