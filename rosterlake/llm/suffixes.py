@@ -34,9 +34,9 @@ from rosterlake.llm.keys import free, stage, swept
 from rosterlake.llm.words import mix, mixed_range, passes, slid_minimum, text_bytes
 
 WINDOW = 50
-GRAM = 24
+GRAM = 20
 #: Strings in a block, about.
-BLOCK = 20_000
+BLOCK = 4_000
 #: Different strings of one anchor that one block takes.
 HOT = 4_000
 #: Bytes that are hashed at a time; more than a pass of several texts has.
@@ -44,6 +44,8 @@ SLICE = 4 << 20
 
 _VALUES = mixed_range(256, 29)
 _FACTOR = 0x9E3779B97F4A7C15
+_LAST = np.uint64(0xFFFFFFFF)
+_STRETCH = 1 << 16
 
 
 # --- anchors and runs -----------------------------------------------------------------------------------
@@ -62,6 +64,21 @@ def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
         size *= 2
 
 
+def _anchored(data: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of the gram at each place, and for each window in its upper half that of its anchor (32 bits of it), in its lower
+    half how far before the buffer's 2^32nd byte the anchor is. Worked out in stretches that stay in a processor's cache."""
+    n = len(data) - window + 1
+    hashes, least = np.empty(len(data) - gram + 1, np.uint64), np.empty(n, np.uint64)
+    for a in range(0, n, _STRETCH):
+        b = min(n, a + _STRETCH)
+        found = _gram_hashes(data[a : b + window - 1], gram)
+        hashes[a : a + len(found)] = found
+        places = _LAST - np.arange(a, a + len(found), dtype=np.uint64)
+        # The smallest, of equal ones the last.
+        least[a:b] = slid_minimum((found & ~_LAST) | places, window - gram + 1)
+    return hashes, least
+
+
 class Runs:
     """Of texts in one buffer: by run its text ``doc``, ``first`` window, number of windows ``size``, ``anchor`` and ``hash``."""
 
@@ -75,38 +92,38 @@ class Runs:
         none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         if len(data) < window:
             return none
-        hashes = _gram_hashes(data, gram)
-        # The smallest 32 bits, of equal ones the last place.
-        places = np.arange(len(hashes), dtype=np.uint64)
-        least = slid_minimum((hashes & np.uint64(0xFFFFFFFF00000000)) | (np.uint64(0xFFFFFFFF) - places), window - gram + 1)
-        anchor = (np.uint64(0xFFFFFFFF) - (least & np.uint64(0xFFFFFFFF))).astype(np.int64)
+        hashes, least = _anchored(data, window, gram)
         # Windows within one text, whose last byte in the buffer is a blank behind it.
         starts = np.maximum(bounds[:-1] - begin, 0)
-        stops = np.minimum(bounds[1:] - begin - window, len(anchor))
-        change = np.zeros(len(anchor) + 1, np.int32)
-        held = stops > starts
-        np.add.at(change, starts[held], 1)
-        np.add.at(change, stops[held], -1)
-        inside = np.cumsum(change[:-1]) > 0
-        begins = inside.copy()
-        begins[1:] &= ~inside[:-1] | (anchor[1:] != anchor[:-1])
-        begins[starts[held]] = True
+        stops = np.minimum(bounds[1:] - begin - window, len(least))
+        begins = np.empty(len(least), bool)
+        begins[0] = True
+        np.not_equal(least[1:], least[:-1], out=begins[1:])
+        at = 0
+        for a, b in zip(starts.tolist(), stops.tolist()):
+            if b > a:
+                begins[at:a] = False
+                begins[a] = True
+                at = b
+        begins[at:] = False
         first = np.flatnonzero(begins)
         if not len(first):
             return none
-        until = np.concatenate([first[1:], [len(anchor)]])
         doc = np.searchsorted(bounds - begin, first, side="right") - 1
-        until = np.minimum(until, stops[doc])
-        at, end = anchor[first], until + window - 1
-        own = mix((at - first).astype(np.uint64) + (np.uint64(1) << np.uint64(32)) * (end - first).astype(np.uint64))
+        until = np.minimum(np.concatenate([first[1:], [len(least)]]), stops[doc])
+        anchor, end = (_LAST - (least[first] & _LAST)).astype(np.int64), until + window - 1
+        own = mix((anchor - first).astype(np.uint64) + (np.uint64(1) << np.uint64(32)) * (end - first).astype(np.uint64))
         for k in range(-(-(2 * window - gram) // gram)):
             own = mix(own * np.uint64(_FACTOR) + hashes[np.minimum(first + k * gram, end - gram)])
-        return doc, first + begin, until - first, hashes[at], own
+        return doc, first + begin, until - first, hashes[anchor], own
 
 
 def _once(of: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Places of the distinct pairs."""
-    return np.unique(mix(values ^ mix(of.astype(np.uint64))), return_index=True)[1]
+    """A place of each of the distinct pairs."""
+    pairs = _of_rows(of, values)
+    order = np.argsort(pairs)
+    pairs = pairs[order]
+    return order[np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))] if len(order) else order
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -311,12 +328,18 @@ def _removed(window: int, gram: int):
             own = _of_rows(runs.doc, runs.hash)
             low, high = (np.searchsorted(tied[order], own, side) for side in ("left", "right"))
             masks = np.asarray(listed.field("mask"), np.int64)[order]
-            mask = np.zeros(len(own), np.int64)
+            hit = np.flatnonzero(high > low)
+            low, high, mask = low[hit], high[hit], np.zeros(len(hit), np.int64)
             for k in range(int((high - low).max(initial=0))):
                 more = low + k < high
                 mask[more] |= masks[low[more] + k]
+            first, size = runs.first[hit], runs.size[hit]
+            whole = mask == -1
+            np.add.at(change, first[whole], 1)
+            np.add.at(change, first[whole] + size[whole] + window - 1, -1)
+            first, mask = first[~whole], mask[~whole]
             for bit in range(window - gram + 1):
-                at = runs.first[(mask >> bit & 1).astype(bool) & (runs.size > bit)] + bit
+                at = first[(mask >> bit & 1).astype(bool)] + bit
                 np.add.at(change, at, 1)
                 np.add.at(change, at + window, -1)
         gone = np.cumsum(change[:-1]) > 0
