@@ -4,8 +4,8 @@ A stage takes (spark, docs, folder of the tables) and returns a DataFrame. It is
 one's documents, so a lost executor costs a stage at most.
 
 1. quality: documents whose quality score is below 0.3 go.
-2. near_duplicates: of each group of documents linked by a similarity of 0.8 or more (distinct shingles of five words) the one
-   with the smallest doc_id stays.
+2. near_duplicates: of each group of documents whose SimHash fingerprints (shingles of four words) are linked by at most four
+   differing bits the one with the smallest doc_id stays.
 3. decontamination: documents that hold a window of a benchmark item go.
 4. mixing: documents are repeated, or left out, so that sources come near their target weights.
 5. token_files: the documents' token ids are written as files; the files are read back as one row per document.
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm import decontamination, mixing, quality, similar, token_files
+from rosterlake.llm import decontamination, mixing, quality, simhash, token_files
 from rosterlake.llm.keys import stage
 from rosterlake.sources.tables import scratch_path
 
@@ -29,7 +29,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return similar.deduplicated(docs)
+    return simhash.deduplicated(docs, shingle=simhash.SHINGLE, bits=simhash.BITS)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
