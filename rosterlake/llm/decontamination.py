@@ -6,7 +6,8 @@ smallest, the last such one, is its fingerprint, so a document that holds a wind
 benchmark fingerprints are joined and a hit is extended to the whole window, which has to agree.
 
 Below ``index_rows`` windows the benchmark is a sorted array that every task gets (at most some 50 MB), and a document is
-read once. Beyond, fingerprints and then windows are joined as tables.
+read once. Items are numbered by Spark and come back as their ids by the table of numbers, which ships with the array; an id is
+never a literal of the plan or a float. Beyond, fingerprints and then windows are joined as tables.
 
 Null texts have no words, an item with a null id marks words but is not listed, items of equal id are one, repeated
 documents are each judged alike. An empty benchmark marks nothing. Documents' other columns are carried along.
@@ -18,6 +19,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -82,15 +84,16 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
 class Index:
     """All windows of a benchmark of bounded size."""
 
-    def __init__(self, rows):
+    def __init__(self, rows: pa.Table, ids: pa.Array):
         self.sizes = {}
-        for n, of_size in rows.groupby("n"):
-            of_size = of_size.sort_values(["window", "item"], kind="stable")
-            windows = of_size["window"].to_numpy().astype(np.int64).view(np.uint64)
-            order = np.argsort(windows, kind="stable")
-            windows = windows[order]
-            prints = of_size["print"].to_numpy().astype(np.int64).view(np.uint64)[order]
-            self.sizes[int(n)] = (np.unique(prints), windows, prints, of_size["item"].to_numpy()[order])
+        # The number of a window's item; none, if the id is null.
+        item = pc.fill_null(pc.index_in(rows.column("item_id"), value_set=ids, skip_nulls=True), -1)
+        item, sizes, prints, windows = (x.to_numpy() for x in (item, *map(rows.column, ("n", "print", "window"))))
+        for n in np.unique(sizes).tolist():
+            order = np.flatnonzero(sizes == n)
+            order = order[np.lexsort((item[order], windows[order].view(np.uint64)))]
+            of_size = prints[order].view(np.uint64)
+            self.sizes[n] = (np.unique(of_size), windows[order].view(np.uint64), of_size, item[order].astype(np.int64))
 
     def hits(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Which words are hit, and pairs of text and item (a number; -1: without id)."""
@@ -115,17 +118,17 @@ class Index:
         return np.cumsum(change[:-1]) > 0, *pairs[:, pairs[1] >= 0]
 
 
-def _lists(docs: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
+def _lists(docs: np.ndarray, values: pa.Array, n: int) -> pa.Array:
     """Lists by text of values that are sorted by text."""
-    return pa.ListArray.from_arrays(pa.array(np.searchsorted(docs, np.arange(n + 1)).astype(np.int32)), pa.array(values))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(docs, np.arange(n + 1)).astype(np.int32)), values)
 
 
-def _judged(index: Index):
+def _judged(index: Index, ids: pa.Array):
     def compute(part: pa.RecordBatch) -> list[pa.Array]:
         texts = _read(part.column("text"))
         hit, docs, items = index.hits(texts)
         counts = texts.per_text(np.ones(len(hit))), texts.per_text(hit)
-        return [*map(pa.array, counts), _lists(docs, items, len(texts))]
+        return [*map(pa.array, counts), _lists(docs, ids.take(pa.array(items)), len(texts))]
 
     return compute
 
@@ -175,12 +178,13 @@ def judged(
     kind = items.schema["item_id"].dataType
     windows = stage(item_windows(items, window), "benchmark-windows")
     if windows.count() <= index_rows:
-        rows = windows.select("item_id", "n", "print", "window").toPandas()
-        ids = sorted(rows["item_id"].dropna().unique().tolist())
-        rows["item"] = rows["item_id"].map({v: i for i, v in enumerate(ids)}).fillna(-1).astype(np.int64)
-        found = computed(docs, _judged(Index(rows)), "n_words bigint, n_hit bigint, items array<bigint>", carry=carry)
-        named = F.lit(ids).cast(ArrayType(kind)) if ids else F.array().cast(ArrayType(kind))
-        return found.withColumn("items", F.transform("items", lambda i: F.get(named, i.cast("int"))))
+        # At most as many ids as windows. Their order is that of the list that every task gets.
+        ids = windows.select("item_id").where("item_id is not null").distinct().orderBy("item_id").toArrow().column("item_id").combine_chunks()
+        rows = windows.select("item_id", "n", "print", "window").toArrow()
+        found = computed(
+            docs, _judged(Index(rows, ids), ids), f"n_words bigint, n_hit bigint, items array<{kind.simpleString()}>", carry=carry
+        )
+        return found
 
     sizes = [r[0] for r in windows.select("n").distinct().collect()]
     # A document's key is never null and differs for different documents; repeated rows share it.

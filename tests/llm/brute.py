@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import xxhash
 
@@ -130,3 +131,97 @@ def base_spans(docs):
         kinds = [k for _, k, _ in spans]
         shown = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(spans))
         yield d["doc_id"], kinds.count(0), kinds.count(1), kinds.count(2), sha256(shown)
+
+
+def manifest(docs):
+    """Leaf by leaf, with every level as a list; of rows that are equal in all the first comes first."""
+    join = lambda *parts: sha256("".join(parts))
+    field = lambda x: "-" if x is None else f"{len(str(x).encode())}:{x}"
+    leaf = lambda d: join(*(field(d[c]) for c in ("doc_id", "source", "lang", "n_chars", "text")))
+    small = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def tree(nodes):
+        """The top, and of each node its siblings on the way."""
+        ways, at = [[] for _ in nodes], list(range(len(nodes)))
+        while len(nodes) > 1:
+            for way, i in zip(ways, at):
+                run = i - i % 8
+                way.append((nodes[run:i], nodes[i + 1 : run + 8]))
+            at = [i // 8 for i in at]
+            nodes = [join(*nodes[i : i + 8]) for i in range(0, len(nodes), 8)]
+        return nodes[0] if nodes else None, ways
+
+    groups: dict = {}
+    for d in docs:
+        groups.setdefault(d["lang"], []).append((d["doc_id"] is not None, d["doc_id"] or 0, leaf(d), d))
+    langs = sorted(groups, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {}
+    for g in langs:
+        groups[g].sort(key=lambda x: x[:3])
+        trees[g] = tree([x[2] for x in groups[g]])
+    root, uppers = tree([trees[g][0] for g in langs])
+    out = []
+    for g, upper in zip(langs, uppers):
+        for (_, _, own, d), way in zip(groups[g], trees[g][1]):
+            way = way + upper
+            node = own
+            if d["doc_id"] is not None and zlib.crc32(str(d["doc_id"]).encode()) % 3 == 0:
+                node = leaf(d | {"text": d["text"] and d["text"].translate(small)})
+            for left, right in way:
+                node = join(*left, node, *right)
+            proof = join(*(x for left, right in way for x in left + right))
+            out.append((d["doc_id"], own, trees[g][0], root, proof, node, node == root))
+    return out
+
+
+def bytes_removed(docs, size=50):
+    """Bytes that a window of a smaller document covers; rows of null doc_id neither give nor lose any."""
+    least: dict = {}
+    for d in docs:
+        text = (d["text"] or "").encode()
+        for i in range(len(text) - size + 1):
+            if d["doc_id"] is not None:
+                least[text[i : i + size]] = min(d["doc_id"], least.get(text[i : i + size], d["doc_id"]))
+    out = []
+    for d in docs:
+        text = (d["text"] or "").encode()
+        gone = bytearray(len(text))
+        for i in range(len(text) - size + 1):
+            if d["doc_id"] is not None and least[text[i : i + size]] < d["doc_id"]:
+                gone[i : i + size] = b"\1" * size
+        spans = sum(1 for i, x in enumerate(gone) if x and (i == 0 or not gone[i - 1]))
+        kept = bytes(x for x, g in zip(text, gone) if not g)
+        out.append((d["doc_id"], len(text), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def near(a, b):
+    """Whether one inserted, deleted or replaced letter makes the one the other."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    if len(a) > len(b):
+        a, b = b, a
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling(docs):
+    small = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    counts: Counter = Counter()
+    for d in docs:
+        for w in re.findall("[A-Za-zÀ-ÿ]+", d["text"] or ""):
+            w = w.translate(small)
+            h = zlib.crc32(f"{'' if d['doc_id'] is None else d['doc_id']}:{w}".encode())
+            if h % 199 == 0:
+                w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            counts[w] += 1
+    n = {w: k for w, k in counts.items() if len(w) >= 6 and k >= 5}
+    found = {w: [x for x in n if abs(len(x) - len(w)) <= 1 and near(w, x)] for w in n}
+    best = {w: min(found[w], key=lambda x: (-n[x], x)) if found[w] else None for w in n}
+    form = {w: best[w] if best[w] and n[best[w]] >= 5 * n[w] else None for w in n}
+    out = []
+    for w in n:
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(found[w]), n[form[w]] if form[w] else None))
+    return out

@@ -9,7 +9,7 @@ import corpus_pipeline
 from rosterlake.llm import decontamination, mixing, quality, rules, secrets, simhash, substrings, token_counts, token_files, toxicity
 from rosterlake.sources.tables import scratch_path
 from tests.llm import brute
-from tests.llm.conftest import CLASHING, tuples
+from tests.llm.conftest import CLASHING, prose, tuples
 
 
 def ordered(rows):
@@ -171,7 +171,7 @@ def test_substrings(odd, odd_rows, nothing):
     assert substrings.without_repeats(nothing).count() == 0
 
 
-@pytest.mark.parametrize("window, gram", [(5, 2), (8, 8), (1, 1)])
+@pytest.mark.parametrize("window, gram", [(5, 2), (8, 8), (3, 1), (1, 1), (20, 3)])
 def test_substrings_of_other_sizes(odd, odd_rows, window, gram):
     got = substrings.without_repeats(odd, window=window, gram=gram, carry=["doc_id"])
     assert tuples(got.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256))) == ordered(brute.windows_removed(odd_rows, window))
@@ -187,6 +187,24 @@ def test_benchmark(odd, odd_rows, items, index_rows, window):
     assert found == ordered(brute.benchmark_hits(odd_rows, [r.asDict() for r in items.collect()], window))
 
 
+@pytest.mark.parametrize("index_rows", [decontamination.INDEX_ROWS, 0])
+def test_large_ids_beside_one_that_is_null(spark, index_rows):
+    """Ids that a float can't tell apart."""
+    one, two = prose(12, 5), prose(12, 6)
+    items = spark.createDataFrame([(2**53, one), (2**53 + 1, two), (None, one), (2**63 - 1, two)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, one + " x " + two), (2, two), (3, "x")], "doc_id bigint, text string")
+    got = decontamination.judged(docs, items, index_rows=index_rows)
+    found = got.select("row.doc_id", F.array_sort(F.array_compact("items")).alias("ids")).collect()
+    assert {r.doc_id: r.ids for r in found} == {1: [2**53, 2**53 + 1, 2**63 - 1], 2: [2**53 + 1, 2**63 - 1], 3: []}
+
+
+@pytest.mark.parametrize("index_rows", [decontamination.INDEX_ROWS, 0])
+def test_ids_that_are_text(spark, items, odd, index_rows):
+    named = items.withColumn("item_id", F.concat(F.lit("i"), "item_id"))
+    by_number, by_name = (decontamination.judged(odd, i, index_rows=index_rows, carry=["doc_id"]).select("row.doc_id", F.array_compact("items").alias("ids")) for i in (items, named))
+    assert tuples(by_name) == tuples(by_number.select("doc_id", F.transform("ids", lambda i: F.concat(F.lit("i"), i))))
+
+
 @pytest.mark.parametrize("index_rows", [decontamination.INDEX_ROWS, 0])
 def test_empty_benchmark(odd, nothing, items, index_rows):
     assert tuples(decontamination.decontaminated(odd, items.limit(0), index_rows=index_rows)) == tuples(odd)
