@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import csv
-import io
 import re
 from collections.abc import Iterable, Iterator, Mapping
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.csv as pcsv
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from rosterlake.sources.tables import EMPTY, empty_text
 
@@ -62,12 +61,14 @@ def read_report(
 
     Large files are split as usual. Lines are counted only at the start of a file, inside the task that
     reads it, so leaving out the preamble costs no shuffle and no second read. A quoted field with a line break
-    fails the job then; with ``line_breaks`` it is read, every file by one task that holds it in memory.
+    fails the job then; with ``line_breaks`` it is read, also by splits, at the cost of a first pass that counts quotes and
+    runs when this is called. A quote then counts as one wherever it is, and a file that ends within quotes is an error.
     """
     header = header_line(spark, path, preamble)
     headers = next(csv.reader([header.removeprefix("\ufeff")]))
-    read = _whole_files if line_breaks else _lines
-    fields = read(spark, path, preamble, header, len(headers))
+    header = header.removesuffix("\r")
+    records = (_with_line_breaks if line_breaks else _lines)(spark, path, preamble, header)
+    fields = _fields(records, len(headers), line_breaks)
 
     titles = snake_names(headers) if snake else headers
     if names is not None:
@@ -84,15 +85,20 @@ def read_report(
     return fields.select([named[old].alias(new) for old, new in names.items() if old in named])
 
 
-def _lines(spark: SparkSession, path: str, preamble: int, header: str, width: int) -> DataFrame:
-    """Fields ``c0`` and so on of reports with one record per line or, where asked for, quoted line breaks."""
+def _lines(spark: SparkSession, path: str, preamble: int, header: str) -> DataFrame:
+    """Records of reports with one record per line: ``value``, ``file_path``."""
     lines = spark.read.option("recursiveFileLookup", True).text(path)
     lines = lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
-    records = lines.mapInArrow(_after_header(preamble, header), "value string, file_path string").where(F.trim("value") != "")
+    return lines.mapInArrow(_after_header(preamble, header), "value string, file_path string")
+
+
+def _fields(records: DataFrame, width: int, line_breaks: bool) -> DataFrame:
+    """Fields ``c0`` and so on of records; a record that does not fit fails the job."""
+    records = records.where(F.trim("value") != "")
     torn = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1
     ddl = ", ".join([*(f"c{i} string" for i in range(width)), "ragged string"])
     # In a generator the line is parsed once; as a plain expression it would be copied into every later filter.
-    how = {"mode": "PERMISSIVE", "escape": '"', "emptyValue": EMPTY, "columnNameOfCorruptRecord": "ragged"}
+    how = {"mode": "PERMISSIVE", "escape": '"', "emptyValue": EMPTY, "columnNameOfCorruptRecord": "ragged", "multiLine": str(line_breaks).lower(), "maxCharsPerColumn": "-1"}
     fields = records.select("value", "file_path", torn.alias("torn"), F.inline(F.array(F.from_csv("value", F.lit(ddl), how))))
     # The failure hangs on the first column, and every column on that, so no selection of columns passes it by.
     fault = F.when(F.col("torn"), "a quoted line break (read with line_breaks=True)").when(F.col("ragged").isNotNull(), f"not {width} fields")
@@ -130,35 +136,126 @@ def _after_header(preamble: int, header: str):
     return drop_head
 
 
-def _whole_files(spark: SparkSession, path: str, preamble: int, header: str, width: int) -> DataFrame:
-    """Fields ``c0`` and so on of reports whose quoted fields may hold line breaks."""
-    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select("value", "_metadata.file_path")
-    names = [f"c{i}" for i in range(width)]
+def _with_line_breaks(spark: SparkSession, path: str, preamble: int, header: str) -> DataFrame:
+    """Records of reports whose quoted fields may hold line breaks: ``value``, ``file_path``.
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parsing = pcsv.ParseOptions(newlines_in_values=True)
-        as_text = pcsv.ConvertOptions(
-            column_types=dict.fromkeys(names, pa.string()), null_values=[""], strings_can_be_null=True, quoted_strings_can_be_null=False
-        )
-        for batch in batches:
-            for file, content in zip(batch.column("file_path").to_pylist(), batch.column("value").to_pylist()):
-                if not content:
-                    continue
-                head, rest = [], content
-                while len(head) <= preamble and rest:
-                    line, _, rest = rest.partition("\n")
-                    head.append(line.removesuffix("\r"))
-                if len(head) <= preamble:
-                    raise ValueError(f"{file}: no header after {preamble} preamble lines")
-                if head[-1] != header:
-                    raise ValueError(f"{file}: header differs from {header!r}")
-                if not rest.strip():
-                    continue
-                reading = pcsv.ReadOptions(column_names=names, use_threads=False, block_size=len(rest.encode()) + 1)
-                try:
-                    table = pcsv.read_csv(io.BytesIO(rest.encode()), reading, parsing, as_text)
-                except pa.ArrowInvalid as error:
-                    raise ValueError(f"{file}: {error}") from None
-                yield from table.to_batches()
-
-    return files.mapInArrow(parse, ", ".join(f"{n} string" for n in names))
+    Whether a line break ends a record depends on the number of quotes before it. A first pass tells whether each block of a
+    file holds an odd number, so running parities give the blocks that begin within a record; those alone are remembered.
+    In the second pass every block knows how it begins and puts its records together by itself. What a record has in
+    further blocks is handed back to the block in which it begins: at most two pieces a block.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
+    lines = lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
+    odd = lines.mapInArrow(_odd_blocks(preamble, header), "file_path string, block bigint, odd int")
+    of_file = Window.partitionBy("file_path").orderBy("block")  # a row for each block
+    until = F.sum("odd").over(of_file) % 2
+    blocks = odd.groupBy("file_path", "block").agg(F.sum("odd").alias("odd")).select("*", until.alias("after"), F.lead("block").over(of_file).alias("next"))
+    within = blocks.where("after = 1").collect()
+    unended = sorted(r["file_path"] for r in within if r["next"] is None)
+    if unended:
+        raise ValueError(f"{unended[0]}: a quoted field does not end")
+    begun = {(r["file_path"], r["next"]) for r in within}
+
+    def records(of: DataFrame) -> DataFrame:
+        return of.mapInArrow(_joined_lines(preamble, header, begun), "value string, file_path string, block bigint, piece int")
+
+    whole = records(lines).where("piece = 0").select("value", "file_path")
+    if not begun:
+        return whole
+    # Files without such a record are not read again.
+    parts = records(lines.where(F.col("file_path").isin(*{f for f, _ in begun}))).where("piece > 0")
+    number = F.sum(F.when(F.col("piece") == 2, 1).otherwise(0)).over(Window.partitionBy("file_path").orderBy("block", "piece"))
+    ordered = F.array_sort(F.collect_list(F.struct("block", "piece", "value")))
+    joined = parts.withColumn("record", number).groupBy("file_path", "record").agg(ordered.alias("parts"))
+    return whole.union(joined.select(F.regexp_replace(F.array_join("parts.value", "\n"), "\r$", ""), "file_path"))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], preamble: int, header: str) -> Iterator[tuple[str, int, pa.Array | None]]:
+    """File, block and lines of each stretch of a batch that is in one block, without what is up to the header; None as lines
+    where a block ends."""
+    block, seen, wanted = None, 0, preamble + 1
+
+    def ended():
+        if block is None:
+            return
+        if block[1] == 0 and 0 < seen < wanted:
+            raise ValueError(f"{block[0]}: no header in the first {seen} lines, all of its first block")
+        yield *block, None
+
+    for batch in batches:
+        starts = batch.column("file_block_start").cast(pa.string())
+        runs = pc.run_end_encode(pc.binary_join_element_wise(batch.column("file_path"), starts, "@"))
+        at = 0
+        for run, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+            file, _, start = run.rpartition("@")
+            if (file, int(start)) != block:
+                yield from ended()
+                block, seen = (file, int(start)), 0
+            skip = min(wanted - seen, end - at) if start == "0" else 0
+            seen += skip
+            if skip and seen == wanted and batch.column("value")[at + skip - 1].as_py().removesuffix("\r") != header:
+                raise ValueError(f"{file}: header differs from {header!r}")
+            if at + skip < end:
+                yield *block, batch.column("value").slice(at + skip, end - at - skip)
+            at = end
+    yield from ended()
+
+
+def _odd_blocks(preamble: int, header: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quotes = 0
+        for file, block, lines in _blocks(batches, preamble, header):
+            if lines is not None:
+                quotes += pc.sum(pc.count_substring(lines, '"')).as_py()
+                continue
+            yield pa.RecordBatch.from_pydict({"file_path": [file], "block": [block], "odd": pa.array([quotes % 2], pa.int32())})
+            quotes = 0
+
+    return run
+
+
+def _joined_lines(preamble: int, header: str, begun: set[tuple[str, int]]):
+    """Records that begin and end in a block (``piece`` 0), what it holds of one that began before (1) and of one that goes on (2)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[str] | None = None
+        inside, first = False, True
+
+        def made(values, file: str, block: int, piece: int) -> pa.RecordBatch:
+            n = len(values)
+            columns = [pa.array(values, pa.string()), pa.array([file], pa.string()).take(pa.array(np.zeros(n, np.int64))), pa.array(np.full(n, block)), pa.array(np.full(n, piece, np.int32))]
+            return pa.RecordBatch.from_arrays(columns, ["value", "file_path", "block", "piece"])
+
+        for file, block, lines in _blocks(batches, preamble, header):
+            if first:
+                first, inside = False, (file, block) in begun
+                held, piece = ([], 1) if inside else (None, 2)
+            if lines is None:
+                if held is not None:
+                    yield made(["\n".join(held)], file, block, piece)
+                held, first = None, True
+                continue
+            odd = pc.bit_wise_and(pc.count_substring(lines, '"'), 1).to_numpy(zero_copy_only=False)
+            after = (np.cumsum(odd) + inside) % 2 == 1
+            before = np.concatenate([[inside], after[:-1]])
+            # Records of several lines, or pieces of one, end at these lines.
+            ends, joined, at = np.flatnonzero(before & ~after).tolist(), [], 0
+            opened = np.flatnonzero(~before & after).tolist()
+            for end in ends:
+                begin = 0 if held is not None else opened.pop(0)
+                text = "\n".join([*(held or []), *lines.slice(begin, end + 1 - begin).to_pylist()])
+                if held is not None and piece == 1:
+                    yield made([text], file, block, 1)
+                else:
+                    joined.append(text.removesuffix("\r"))
+                held, piece = None, 2
+            if after[-1]:
+                begin = 0 if held is not None else opened.pop(0)
+                held = [*(held or []), *lines.slice(begin).to_pylist()]
+            inside = bool(after[-1])
+            single = pc.replace_substring_regex(lines.filter(pa.array(~before & ~after)), "\r$", "")
+            yield made(single, file, block, 0)
+            if joined:
+                yield made(joined, file, block, 0)
+
+    return run

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import random
 import time
 from datetime import date
 from types import SimpleNamespace
@@ -186,6 +187,51 @@ def test_quoted_line_breaks(spark, tmp_path):
         reports.read_report(spark, f"{tmp_path}/d", 2).collect()
 
 
+@pytest.fixture
+def small_splits(spark):
+    saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    yield lambda size: spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
+
+
+def test_a_quoted_break_between_blocks(spark, tmp_path, small_splits):
+    """Three tasks read the file, the second begins within one record and the third within another."""
+    fields = [f"start {'x' * 80}\r\nmiddle, ""of"" the {'y' * 80}\n\nend", "plain", f"a\n{'z' * 130}\nb"]
+    text = report(2, "a,b", *(f'"{f}",{i}' for i, f in enumerate(fields)), "last,9")
+    put(f"{tmp_path}/r.csv", text)
+    small_splits(len(text) // 3 + 1)
+    got = reports.read_report(spark, f"{tmp_path}/r.csv", 2, line_breaks=True)
+    blocks = spark.read.text(f"{tmp_path}/r.csv").select(F.col("_metadata.file_block_start").alias("at")).distinct().count()
+    assert blocks == 3 and spark.read.text(f"{tmp_path}/r.csv").rdd.getNumPartitions() == 3
+    assert values(got) == sorted([*((f.replace('""', '"'), str(i)) for i, f in enumerate(fields)), ("last", "9")])
+
+
+@pytest.mark.parametrize("split", [40, 97, 400, 1 << 20])
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_line_breaks_whatever_the_splits(spark, tmp_path, small_splits, split, ending):
+    rng = random.Random(split)
+    words = ["a", 'say ""so""', "\n", "\r\n", "\n\n", ",", "bc de", "é", "x" * 30, ""]
+    expected = []
+    for file in range(4):
+        lines = ['preamble with a " quote', "id,note,more"]
+        for i in range(rng.randrange(30)):
+            note, more = ("".join(rng.choice(words) for _ in range(rng.randrange(6))) for _ in range(2))
+            lines.append(f'{file}-{i},"{note}","{more}"')
+            expected.append((f"{file}-{i}", note.replace('""', '"'), more.replace('""', '"')))
+        os.makedirs(f"{tmp_path}/d", exist_ok=True)
+        with open(f"{tmp_path}/d/f{file}.csv", "w", encoding="utf-8", newline="") as f:
+            f.write(ending.join(lines) + ending * rng.randrange(2))
+    small_splits(split)
+    got = reports.read_report(spark, f"{tmp_path}/d", 1, line_breaks=True)
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+
+
+def test_a_quoted_field_without_an_end_fails(spark, tmp_path):
+    put(f"{tmp_path}/d/a.csv", report(1, "a,b", '"x,1', "y,2"))
+    with pytest.raises(ValueError, match="a.csv: a quoted field does not end"):
+        reports.read_report(spark, f"{tmp_path}/d", 1, line_breaks=True)
+
+
 @pytest.mark.parametrize("line_breaks", [False, True])
 def test_a_file_that_ends_before_its_header_fails(spark, tmp_path, line_breaks):
     put(f"{tmp_path}/d/a.csv", report(3, "a,b", "1,2"))
