@@ -430,12 +430,18 @@ def last_stage(spark, sf):
 
 
 #: Where a session has published the tables of a folder, so that one run serves all queries on it.
-_PUBLISHED: dict[tuple[str, str], str] = {}
+_PUBLISHED: dict[tuple, str] = {}
+
+
+def _published_key(spark, sf) -> tuple:
+    """A session, a folder and when its tables last changed."""
+    newest = drops.list_drops(spark, sf, "*.parquet").agg(F.max("modified")).first()[0]
+    return spark.sparkContext.applicationId, sf, newest
 
 
 def published_folder(spark, sf) -> str:
     """All five stages run one after the other and published under a scratch folder."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = _published_key(spark, sf)
     if key not in _PUBLISHED:
         out = scratch_path(spark, "published")
         sinks.replace_table(spark_view(spark, sf, "master_hires"), f"{out}/hires_master.parquet")
@@ -451,7 +457,7 @@ PUBLISHED = [
 
 def all_stages(spark, sf):
     """Rows per published table of a whole run, which is made anew."""
-    _PUBLISHED.pop((spark.sparkContext.applicationId, sf), None)
+    _PUBLISHED.pop(_published_key(spark, sf), None)
     out = published_folder(spark, sf)
     return _report(
         *[

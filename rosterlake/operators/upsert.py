@@ -47,7 +47,11 @@ def new_rows(master: DataFrame, incoming: DataFrame, key: str, schema: T.StructT
     """
     wanted = incoming.select(key).where(F.col(key).isNotNull()).distinct()
     keys = master.select(key).where(F.col(key).isNotNull())
-    known = keyed_join(keys, wanted, [key], "left_semi").distinct()
+    return rows_of_new_keys(incoming, keyed_join(keys, wanted, [key], "left_semi").distinct(), key, schema)
+
+
+def rows_of_new_keys(incoming: DataFrame, known: DataFrame, key: str, schema: T.StructType) -> DataFrame:
+    """Incoming rows whose key is not among ``known``, as ``schema``."""
     fresh = keyed_join(incoming, known, [key], "left_anti")
     fresh = fresh.withColumns(
         {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in incoming.columns}
@@ -56,6 +60,25 @@ def new_rows(master: DataFrame, incoming: DataFrame, key: str, schema: T.StructT
     return fresh.select(schema.names)
 
 
+def incoming_rows(incoming: DataFrame, key: str, schema: T.StructType, *, one_per_key: bool = False) -> DataFrame:
+    """``incoming`` under the types of ``schema``, with ``one_per_key`` reduced to a row for each key that is not null."""
+    shared = T.StructType([f for f in schema if f.name in incoming.columns])
+    incoming = align_schema(incoming, shared, "incoming rows")
+    if not one_per_key:
+        return incoming
+    unkeyed = incoming.where(F.col(key).isNull())
+    return keep_one(incoming.where(F.col(key).isNotNull()), [key]).unionByName(unkeyed)
+
+
+def has_hot_key(incoming: DataFrame, key: str) -> bool:
+    """Whether a key of a stored table has more than one row and as many as an even partition would hold. A job over the key."""
+    partitions = int(incoming.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = incoming.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    # A null key matches nothing and weighs nothing.
+    most = counts.agg(F.sum("n").alias("all"), F.max(F.when(F.col(key).isNotNull(), F.col("n"))).alias("most")).first()
+    return (most["most"] or 0) > 1 and most["most"] * partitions >= most["all"]
+
+
 def upsert_with_overrides(
     master: DataFrame,
     incoming: DataFrame,
@@ -75,13 +98,12 @@ def upsert_with_overrides(
     when ``incoming`` is small enough to broadcast.
 
     ``one_per_key`` first reduces ``incoming`` to one row per key, so that no master row is multiplied, and stages the
-    reduced rows, which starts a job. ``repeated`` is for an ``incoming`` in which one key may hold very many rows.
+    reduced rows, which starts a job. ``repeated`` is for an ``incoming`` in which one key may hold very many rows, see
+    ``has_hot_key``.
     """
     require_schema(master, schema, "master")
-    shared = T.StructType([f for f in schema if f.name in incoming.columns])
-    incoming = align_schema(incoming, shared, "incoming rows")
+    incoming = incoming_rows(incoming, key, schema, one_per_key=one_per_key)
     if one_per_key:
-        unkeyed = incoming.where(F.col(key).isNull())
-        incoming = stage(keep_one(incoming.where(F.col(key).isNotNull()), [key]).unionByName(unkeyed), "one-per-key")
+        incoming = stage(incoming, "one-per-key")
     updated = updated_rows(master.select(schema.names), incoming, key, suffix=suffix, repeated=repeated and not one_per_key)
     return updated.unionByName(new_rows(master, incoming, key, schema))

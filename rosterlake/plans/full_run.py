@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+import json
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import date
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rosterlake import fixed_values as fv
 from rosterlake.plans.applications import clean_applications, offer_accepts, stage_funnel
 from rosterlake.plans.headcount import PERIOD, headcount_with_referrals, read_headcount
-from rosterlake.plans.hires import hire_discrepancies, incoming_hires, merge_hires
+from rosterlake.plans.hires import MASTER_KEY, hire_discrepancies, incoming_hires
 from rosterlake.plans.referrals import (
     REFERRER_COLUMNS,
     read_prospects,
@@ -20,9 +24,10 @@ from rosterlake.plans.referrals import (
 )
 from rosterlake.plans.requisitions import clean_requisitions
 from rosterlake.sinks import tables as sinks
+from rosterlake.sinks.merge import merge_table
+from rosterlake.sinks.versions import create_once, names_in, read_small
 from rosterlake.sources.drops import newest_drop, require_feed_date
 from rosterlake.sources.reports import read_report
-from rosterlake.sources.tables import stage
 
 
 MASTER = "hires_master.parquet"
@@ -75,11 +80,10 @@ def read_reports(spark: SparkSession, landing: str, historical: str | None = Non
     )
 
 
-def landed(spark: SparkSession, reports: Reports, folder: str, as_of: date) -> Reports:
-    """The reports kept as that day's raw snapshots and read back: text is parsed once, columns are pruned."""
-    tables = {name: df for name, df in vars(reports).items() if isinstance(df, DataFrame)}
-    sinks.snapshot_tables(tables, folder, as_of)
-    return replace(reports, **{name: sinks.read_snapshot(spark, f"{folder}/{name}", as_of) for name in tables})
+def landed(spark: SparkSession, name: str, report: DataFrame, folder: str, as_of: date) -> DataFrame:
+    """A report kept as that day's raw snapshot and read back: text is parsed once, columns are pruned."""
+    sinks.snapshot_table(report, f"{folder}/{name}", as_of)
+    return sinks.read_snapshot(spark, f"{folder}/{name}", as_of)
 
 
 def referral_tables(applications: DataFrame, prospects: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -89,6 +93,12 @@ def referral_tables(applications: DataFrame, prospects: DataFrame) -> tuple[Data
     return referrals, unique_referrals(referrals)
 
 
+def _run_key(reports: Reports, last: int, *settings) -> str:
+    """What a run is known by: the run before it, its settings and its input files."""
+    files = sorted(f for df in vars(reports).values() if isinstance(df, DataFrame) for f in df.inputFiles())
+    return sha256(json.dumps([last, *map(str, settings), reports.refreshed.isoformat(), files]).encode()).hexdigest()
+
+
 def run(
     spark: SparkSession, reports: Reports, out: str, as_of: date, scope_years: int, *, one_per_key: bool = False
 ) -> dict[str, DataFrame]:
@@ -96,55 +106,107 @@ def run(
 
     ``one_per_key`` goes to the upsert of hires.
 
-    Every table is versioned: readers see the whole old table or the whole new one, also when a run fails. Each stage
-    reads what the stages before it wrote, so a lost executor costs no more than the stage at work. The funnel is
-    expanded once, with the referrer beside its columns for the referrals. The snapshot of the day names versions.
-    The table ``hires_master.parquet`` has to exist.
+    Every table is versioned, and a run is one commit that names the version of each: ``read_run`` sees the tables of one
+    finished run, whatever a later one has already written. A version notes the run that made it; when a failed run is
+    started again with the same reports and settings, tables that it had published are taken as they are. Requisitions,
+    hires, applications and the reports of the last stages are worked on at once. Each stage reads what the stages before it
+    wrote. The funnel is expanded once, with the referrer beside its columns for the referrals. Hires are the master's own
+    files under a second name, and of the master only files that hold an incoming position are rewritten. The snapshot of
+    the day names versions. The table ``hires_master.parquet`` has to exist.
     """
     path = lambda name: f"{out}/{name}.parquet"
+    master, raw = f"{out}/{MASTER}", f"{out}/snapshots/raw"
+    if sinks.current_version(spark, master) is None:
+        raise FileNotFoundError(f"no version of table {master}")
+    last = last_run(spark, out)
+    number = last[0] + 1 if last else 1
+    notes = {"run": _run_key(reports, number - 1, as_of, scope_years, one_per_key)}
+    made: dict[str, int] = {}
+
+    def earlier(table: str):
+        """What this run had published before it failed."""
+        found = sinks.current_version(spark, table)
+        return found if found and found.notes.get("run") == notes["run"] else None
+
+    def published(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        found = earlier(path(name))
+        made[name] = found.number if found else sinks.replace_table(make(), path(name), notes=notes)
+        return sinks.read_version(spark, path(name), found or sinks.version_of(spark, path(name), made[name]))
+
+    def report(name: str) -> DataFrame:
+        return landed(spark, name, getattr(reports, name), raw, as_of)
+
+    def requisitions() -> DataFrame:
+        sinks.write_refresh_date(spark, reports.refreshed, f"{out}/refresh_date.csv")
+        return published("requisitions", lambda: clean_requisitions(report("requisitions"), reports.refreshed, scope_years))
+
+    def hires() -> DataFrame:
+        merged = earlier(master)
+        if merged is None:
+            incoming = incoming_hires(report("fulfillment"), report("hires"), as_of)
+            merged = merge_table(incoming, master, MASTER_KEY, fv.MASTER_HIRES, one_per_key=one_per_key, notes=notes)
+        shared = earlier(path("hires")) or sinks.share_version(spark, master, merged, path("hires"), notes)
+        made["hires"] = shared.number
+        return sinks.read_version(spark, path("hires"), shared)
+
+    def applications() -> DataFrame:
+        return published("applications", lambda: clean_applications(report("applications"), as_of))
+
+    with ThreadPoolExecutor(8) as workers:
+        first, second, third = (workers.submit(f) for f in (requisitions, hires, applications))
+        prospects, monthly = (
+            None if earlier(path(table)) else workers.submit(report, name) for table, name in (("referrals", "prospects"), ("headcount", "headcount"))
+        )
+        discrepancies = workers.submit(
+            lambda: published("hire_discrepancies", lambda: hire_discrepancies(second.result(), first.result()))
+        )
+        cleaned = third.result()
+        csv = workers.submit(sinks.write_csv, cleaned, f"{out}/applications.csv")
+        accepts = workers.submit(published, "offer_accepts", lambda: offer_accepts(cleaned))
+        funnel = published("funnel", lambda: stage_funnel(cleaned, carry=REFERRER_COLUMNS))
+        referrals = published("referrals", lambda: referral_funnel(read_prospects(prospects.result()), referred_only(funnel)))
+        # Sorted within files rather than over all of them: readers can skip by period, and nothing is shuffled.
+        headcount = published(
+            "headcount",
+            lambda: headcount_with_referrals(read_headcount(monthly.result()), unique_referrals(referrals), as_of).sortWithinPartitions(
+                PERIOD, "employee_id"
+            ),
+        )
+        csv.result()
+        tables = {
+            "requisitions": first.result(), "hires": second.result(), "hire_discrepancies": discrepancies.result(), "applications": cleaned,
+            "offer_accepts": accepts.result(), "funnel": funnel.select(fv.FUNNEL_COLUMNS), "referrals": referrals, "headcount": headcount,
+        }
+
+    sinks.name_versions(spark, {name: path(name) for name in tables}, f"{out}/snapshots/processed", as_of, made)
+    create_once(spark, f"{out}/runs/{number:06d}.json", {"as_of": as_of.isoformat(), "tables": made} | notes)
+    return tables
 
-    def published(name: str, df: DataFrame) -> DataFrame:
-        sinks.replace_table(df, path(name))
-        return sinks.read_current(spark, path(name))
 
-    present = sinks.read_current(spark, f"{out}/{MASTER}")
-    reports = landed(spark, reports, f"{out}/snapshots/raw", as_of)
-    tables = {
-        "requisitions": published(
-            "requisitions", clean_requisitions(reports.requisitions, reports.refreshed, scope_years)
-        )
-    }
-    sinks.write_refresh_date(spark, reports.refreshed, f"{out}/refresh_date.csv")
-
-    incoming = stage(incoming_hires(reports.fulfillment, reports.hires, as_of), "incoming-hires")
-    sinks.replace_table(merge_hires(present, incoming, one_per_key=one_per_key), f"{out}/{MASTER}")
-    tables["hires"] = published("hires", sinks.read_current(spark, f"{out}/{MASTER}"))
-    tables["hire_discrepancies"] = published(
-        "hire_discrepancies", hire_discrepancies(tables["hires"], tables["requisitions"])
-    )
+def last_run(spark: SparkSession, out: str) -> tuple[int, dict] | None:
+    """Number and content of the last finished run's commit."""
+    numbers = [int(n[:-5]) for n in names_in(spark, f"{out}/runs") if n[:-5].isdigit()]
+    return (max(numbers), read_small(spark, f"{out}/runs/{max(numbers):06d}.json")) if numbers else None
 
-    applications = published("applications", clean_applications(reports.applications, as_of))
-    sinks.write_csv(applications, f"{out}/applications.csv")
-    tables["applications"] = applications
-    tables["offer_accepts"] = published("offer_accepts", offer_accepts(applications))
-    funnel = published("funnel", stage_funnel(applications, carry=REFERRER_COLUMNS))
-    tables["funnel"] = funnel.select(fv.FUNNEL_COLUMNS)
-
-    referred = referred_only(funnel)
-    tables["referrals"] = published("referrals", referral_funnel(read_prospects(reports.prospects), referred))
-    unique = unique_referrals(tables["referrals"])
-    headcount = read_headcount(reports.headcount)
-    flagged = headcount_with_referrals(headcount, unique, as_of)
-    # Sorted within files rather than over all of them: readers can skip by period, and nothing is shuffled.
-    tables["headcount"] = published("headcount", flagged.sortWithinPartitions(PERIOD, "employee_id"))
-
-    sinks.name_versions(spark, {name: path(name) for name in tables}, f"{out}/snapshots/processed", as_of)
-    return tables
+
+def read_run(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """A table as the last finished run published it."""
+    found = last_run(spark, out)
+    if found is None or name not in found[1]["tables"]:
+        raise FileNotFoundError(f"no run under {out} has published {name}")
+    path = f"{out}/{name}.parquet"
+    return sinks.read_version(spark, path, sinks.version_of(spark, path, found[1]["tables"][name]))
 
 
 def vacuum(spark: SparkSession, out: str) -> dict[str, list[str]]:
-    """Remove what no reader needs any more of every table under ``out``; see ``sinks.vacuum``. Scratch folders of runs
-    (``rosterlake`` in the checkpoint folder) can go as a whole when no run is at work."""
-    snapshots = f"{out}/snapshots/processed"
-    names = [r["table"] for r in spark.read.parquet(snapshots).select("table").distinct().collect()]
-    return {name: sinks.vacuum(spark, f"{out}/{name}.parquet", snapshots) for name in [*names, MASTER.removesuffix(".parquet")]}
+    """Remove what neither a current version, the last finished run nor a snapshot of the day names, of every table under ``out``; see
+    ``versions.remove_unnamed``. Scratch folders of runs (``rosterlake`` in the checkpoint folder) can go as a whole when no run
+    is at work."""
+    kept = sinks.named_paths(spark, f"{out}/snapshots/processed")
+    last = last_run(spark, out)
+    names = [*(last[1]["tables"] if last else ()), MASTER.removesuffix(".parquet")]
+    for name in names:
+        kept |= set(sinks.current_version(spark, f"{out}/{name}.parquet").paths)
+        if last and name in last[1]["tables"]:
+            kept |= set(sinks.version_of(spark, f"{out}/{name}.parquet", last[1]["tables"][name]).paths)
+    return {name: sinks.remove_unnamed(spark, f"{out}/{name}.parquet", kept) for name in names}

@@ -13,7 +13,7 @@ from rosterlake.functions.text import bracketed_number, first_step
 from rosterlake.operators.dedupe import keep_one
 from rosterlake.operators.reconcile import reconcile_counts
 from rosterlake.operators.shape import align_schema, select_rename
-from rosterlake.operators.upsert import upsert_with_overrides
+from rosterlake.operators.upsert import has_hot_key, upsert_with_overrides
 
 MASTER_KEY = "jrpos_id"
 
@@ -73,9 +73,11 @@ def incoming_hires(fulfillment: DataFrame, hires: DataFrame, as_of: date) -> Dat
 
 
 def merge_hires(master: DataFrame, incoming: DataFrame, *, one_per_key: bool = False) -> DataFrame:
-    """Master hires brought up to date with ``incoming``, a stored or staged table."""
+    """Master hires brought up to date with ``incoming``, a stored or staged table. A job over its key tells whether one key holds
+    so many rows that they have to be dealt out."""
     aligned = align_schema(master, fv.MASTER_HIRES, "master hires")
-    return upsert_with_overrides(aligned, incoming, MASTER_KEY, fv.MASTER_HIRES, one_per_key=one_per_key)
+    repeated = not one_per_key and has_hot_key(incoming, MASTER_KEY)
+    return upsert_with_overrides(aligned, incoming, MASTER_KEY, fv.MASTER_HIRES, one_per_key=one_per_key, repeated=repeated)
 
 
 def hire_discrepancies(hires: DataFrame, requisitions: DataFrame) -> DataFrame:

@@ -1,18 +1,25 @@
-"""Table sinks: parquet, CSV, versioned tables and dated snapshots."""
+"""Table sinks: parquet, CSV and dated snapshots; versioned tables are in ``versions``."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from rosterlake.sinks.versions import (  # noqa: F401
+    COMPRESSION,
+    Conflict,
+    current_version,
+    read_current,
+    read_version,
+    remove_unnamed,
+    replace_table,
+    share_version,
+    version_of,
+)
 from rosterlake.sources.tables import EMPTY, empty_text
 
-COMPRESSION = "zstd"
-
 
 def write_table(df: DataFrame, path: str, *, compression: str = COMPRESSION) -> None:
     """Replace the parquet table at ``path``. Not for a table that ``df`` reads; see ``replace_table``."""
@@ -39,45 +46,6 @@ def write_refresh_date(spark: SparkSession, refreshed: date, path: str) -> None:
     write_csv(spark.range(1).select(F.lit(refreshed).alias("refresh_date")), path)
 
 
-# --- versioned tables --------------------------------------------------------------------------------
-#
-# A versioned table is a folder ``<name>.parquet`` with ``data/`` (one folder per version) and ``versions/``
-# (one small file per version: number and folder). Data is written first and the version row last, by Spark's
-# own commit protocol, so readers see a version whole or not at all, and a run may read the version it
-# replaces. One writer at a time. A run that fails leaves a data folder that no version row names; ``vacuum`` removes it.
-
-
-def current_version(spark: SparkSession, path: str) -> tuple[int, str] | None:
-    """Number and folder of the current version; None for a table without one."""
-    try:
-        log = spark.read.schema("version long, folder string").parquet(f"{path}/versions")
-    except AnalysisException:
-        return None
-    latest = log.agg(F.max(F.struct("version", "folder")).alias("v")).first()["v"]
-    return None if latest is None else (latest["version"], latest["folder"])
-
-
-def read_current(spark: SparkSession, path: str) -> DataFrame:
-    found = current_version(spark, path)
-    if found is None:
-        raise FileNotFoundError(f"no version of table {path}")
-    return spark.read.parquet(f"{path}/data/{found[1]}")
-
-
-def replace_table(df: DataFrame, path: str, *, compression: str = COMPRESSION) -> int:
-    """Make ``df`` the next version of the table, all or nothing; ``df`` may read the present version."""
-    if not path.rstrip("/").endswith(".parquet"):
-        raise ValueError(f"target must end with '.parquet', got {path}")
-    spark = df.sparkSession
-    found = current_version(spark, path)
-    version = 1 if found is None else found[0] + 1
-    folder = f"v{version:06d}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(f"{path}/data/{folder}")
-    row = spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(folder).alias("folder"))
-    row.coalesce(1).write.mode("append").parquet(f"{path}/versions")
-    return version
-
-
 # --- snapshots ---------------------------------------------------------------------------------------
 
 
@@ -108,10 +76,14 @@ def snapshot_tables(tables: Mapping[str, DataFrame], folder: str, as_of: date) -
 # A snapshot names the version that each table had; nothing is copied.
 
 
-def name_versions(spark: SparkSession, tables: Mapping[str, str], folder: str, as_of: date) -> None:
-    """Keep the current versions of ``tables`` (name -> path) as the snapshot of ``as_of``; a rerun replaces that day."""
-    rows = [(name, path, current_version(spark, path)[1]) for name, path in tables.items()]
-    snapshot_table(spark.createDataFrame(rows, "table string, path string, version string").coalesce(1), folder, as_of)
+def name_versions(
+    spark: SparkSession, tables: Mapping[str, str], folder: str, as_of: date, numbers: Mapping[str, int] | None = None
+) -> None:
+    """Keep versions of ``tables`` (name -> path), the current ones if no ``numbers`` are given, as the snapshot of ``as_of``; a rerun
+    replaces that day."""
+    chosen = numbers or {name: current_version(spark, path).number for name, path in tables.items()}
+    rows = [(name, path, chosen[name]) for name, path in tables.items()]
+    snapshot_table(spark.createDataFrame(rows, "table string, path string, version long").coalesce(1), folder, as_of)
 
 
 def read_named(spark: SparkSession, folder: str, as_of: date, name: str) -> DataFrame:
@@ -119,21 +91,18 @@ def read_named(spark: SparkSession, folder: str, as_of: date, name: str) -> Data
     found = read_snapshot(spark, folder, as_of).where(F.col("table") == name).first()
     if found is None:
         raise FileNotFoundError(f"no {name} in the snapshot of {as_of}")
-    return spark.read.parquet(f"{found['path']}/data/{found['version']}")
+    return read_version(spark, found["path"], version_of(spark, found["path"], found["version"]))
+
+
+def named_paths(spark: SparkSession, snapshots: str) -> set[str]:
+    """All data that the snapshots under a folder name."""
+    rows = spark.read.parquet(snapshots).select("path", "version").distinct().collect()
+    return {p for r in rows for p in version_of(spark, r["path"], r["version"]).paths}
 
 
 def vacuum(spark: SparkSession, path: str, snapshots: str | None = None) -> list[str]:
-    """Remove the versions of a table that are neither current nor named by a snapshot under ``snapshots``, and what failed
-    runs left; the names removed. Not while a run writes the table or reads an older version."""
+    """Remove the data of a table that neither its current version nor a snapshot under ``snapshots`` names; what was removed."""
     current = current_version(spark, path)
     if current is None:
         raise FileNotFoundError(f"no version of table {path}")
-    kept = {current[1]}
-    if snapshots is not None:
-        kept |= {r["version"] for r in spark.read.parquet(snapshots).select("version").distinct().collect()}
-    data = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/data")
-    files = data.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = [s.getPath() for s in files.listStatus(data) if s.getPath().getName() not in kept]
-    for version in old:
-        files.delete(version, True)
-    return sorted(version.getName() for version in old)
+    return remove_unnamed(spark, path, {*current.paths, *(named_paths(spark, snapshots) if snapshots else ())})

@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from rosterlake import fixed_values as fv
 from rosterlake.__main__ import main
+from rosterlake.operators.upsert import upsert_with_overrides
 from rosterlake.plans import full_run
 from rosterlake.sinks import tables as sinks
+from rosterlake.sinks import versions
+from rosterlake.sinks.merge import merge_table
 from rosterlake.sources import drops, reports
 from rosterlake.sources.tables import read_table, scratch_path, stage
 from tests.conftest import plan, values
@@ -458,11 +461,121 @@ def test_full_run_from_drops(spark, folders, first_master, tmp_path, monkeypatch
     with pytest.raises(Exception, match="broken off"):
         full_run.run(spark, found, out, DAY, 3)
     monkeypatch.undo()
-    current = {name: sinks.read_current(spark, f"{out}/{name}.parquet").select(df.columns) for name, df in tables.items()}
-    assert {name: values(df) for name, df in current.items()} == before
+    seen = lambda: {name: values(full_run.read_run(spark, out, name).select(df.columns)) for name, df in tables.items()}
+    assert seen() == before and full_run.last_run(spark, out)[0] == 1
     gone = full_run.vacuum(spark, out)
     assert len(gone["headcount"]) == 1 and set(gone) == {*tables, "hires_master"}
+    assert seen() == before
 
+    # Started again, it takes what it had published: hires and the others are not worked on a second time.
+    made = {name: sinks.current_version(spark, f"{out}/{name}.parquet").number for name in [*tables, "hires_master"]}
+    assert made["hires_master"] == 3 and made["headcount"] == 1 and made["referrals"] == 2
+
+    def never(*a, **b):
+        raise AssertionError("worked on again")
+
+    for name in ("incoming_hires", "merge_table", "clean_applications", "clean_requisitions", "stage_funnel", "referral_funnel", "hire_discrepancies"):
+        monkeypatch.setattr(full_run, name, never)
     again = full_run.run(spark, found, out, DAY, 3)
-    assert again["hires"].count() == 3 and sinks.current_version(spark, f"{out}/hires_master.parquet")[0] == 4
-    assert values(again["headcount"]) == before["headcount"]
+    monkeypatch.undo()
+    now = {name: sinks.current_version(spark, f"{out}/{name}.parquet").number for name in made}
+    assert now == made | {"headcount": 2} and full_run.last_run(spark, out)[0] == 2
+    assert {name: values(df) for name, df in again.items()} == before == seen()
+
+    # The next run is another, also with the same reports; hires are the master's files, not a copy.
+    third = full_run.run(spark, found, out, DAY, 3)
+    assert third["hires"].count() == 3 and sinks.current_version(spark, f"{out}/hires_master.parquet").number == 4
+    assert sinks.current_version(spark, f"{out}/hires.parquet").paths == sinks.current_version(spark, f"{out}/hires_master.parquet").paths
+    assert not os.path.exists(f"{out}/hires.parquet/data")
+    with pytest.raises(FileNotFoundError):
+        full_run.read_run(spark, out, "nothing")
+
+
+def test_two_writers_from_one_version(spark, table, tmp_path):
+    path = f"{tmp_path}/t.parquet"
+    sinks.replace_table(table("a int", 1), path)
+    base = sinks.current_version(spark, path)
+    assert sinks.replace_table(table("a int", 2), path, base=base) == 2
+    with pytest.raises(sinks.Conflict):
+        sinks.replace_table(table("a int", 3), path, base=base)
+    assert values(sinks.read_current(spark, path)) == [(2,)]
+    assert sinks.replace_table(sinks.read_current(spark, path).union(table("a int", 3)), path) == 3
+    assert values(sinks.read_current(spark, path)) == [(2,), (3,)]
+    assert not os.listdir(f"{path}/versions/_new")
+
+
+def test_writers_at_once(spark, table, tmp_path):
+    """Of several writers each version has one, and none is lost without an error."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = f"{tmp_path}/t.parquet"
+    sinks.replace_table(table("a int", -1), path)
+    base = sinks.current_version(spark, path)
+
+    def write(i):
+        try:
+            return sinks.replace_table(table("a int", i), path, base=base)
+        except sinks.Conflict:
+            return None
+
+    with ThreadPoolExecutor(4) as workers:
+        got = list(workers.map(write, range(4)))
+    assert sorted(x for x in got if x) == [2] and values(sinks.read_current(spark, path)) == [(got.index(2),)]
+
+
+MERGED = fv.layout(id="string", name="string", source="string", source_exception="string")
+
+
+def _master(spark, path, files=100):
+    """``files`` files of 20 rows; a row in each fifth file with an override."""
+    rows = spark.range(0, files * 20, 1, files).selectExpr(
+        "cast(id as string) as id", "'old' as name", "'old' as source", "if(id % 100 = 7, 'manual', null) as source_exception"
+    )
+    sinks.replace_table(rows, path)
+
+
+def _files(spark, path):
+    return set(versions.files_of(spark, path, sinks.current_version(spark, path)))
+
+
+def test_a_small_update_rewrites_few_files(spark, table, tmp_path):
+    path, plain = f"{tmp_path}/master.parquet", f"{tmp_path}/plain.parquet"
+    _master(spark, path)
+    before = sinks.read_current(spark, path)
+    update = table("id string, name string, source string", *((str(i * 200 + 7), "new", "new") for i in range(10)), ("fresh", "new", "x"), (None, "new", "y"), (None, "new", "z"))
+    want = stage(upsert_with_overrides(before, update, "id", MERGED), "want")
+    # The first update settles the overrides of all rows, whether they match or not.
+    merge_table(update.where("id = '7'"), path, "id", MERGED)
+    assert sinks.current_version(spark, path).notes["settled"] == ["source"]
+    assert values(sinks.read_current(spark, path).where("source_exception is not null"), "source") == [("manual",)] * 20
+    files = _files(spark, path)
+    merge_table(update, path, "id", MERGED)
+    gone = files - _files(spark, path)
+    assert 1 <= len(gone) <= 10 and len(files & _files(spark, path)) >= len(files) - 10
+    assert values(sinks.read_current(spark, path)) == values(want)
+    # What an old version names stays until it is removed.
+    assert values(sinks.read_version(spark, path, sinks.version_of(spark, path, 1))) == values(before)
+    assert sinks.vacuum(spark, path) and not any(os.path.exists(f"{tmp_path}/{f}") for f in gone)
+    assert values(sinks.read_current(spark, path)) == values(want)
+    # Nothing new rewrites nothing.
+    files = _files(spark, path)
+    merge_table(update.limit(0), path, "id", MERGED)
+    assert files <= _files(spark, path) and values(sinks.read_current(spark, path)) == values(want)
+    with pytest.raises(FileNotFoundError):
+        merge_table(update, plain, "id", MERGED)
+
+
+def test_merges_one_after_another_are_upserts(spark, table, tmp_path):
+    """Updates with and without the overridden column, repeated and null keys, against upserts of whole tables."""
+    path = f"{tmp_path}/master.parquet"
+    _master(spark, path, 6)
+    whole = sinks.read_current(spark, path)
+    rng = random.Random(4)
+    for k in range(4):
+        columns = "id string, name string" if k % 2 == 0 else "id string, name string, source string"
+        rows = [(rng.choice([str(rng.randrange(140)), None, f"n{rng.randrange(5)}"]), f"k{k}-{i}", f"s{k}") for i in range(8)]
+        update = table(columns, *(r[: 2 + k % 2] for r in rows))
+        for one in (True,) if k == 3 else (False,):
+            whole = stage(upsert_with_overrides(whole, update, "id", MERGED, one_per_key=one), "whole")
+            merge_table(update, path, "id", MERGED, one_per_key=one)
+        assert values(sinks.read_current(spark, path)) == values(whole)

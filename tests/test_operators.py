@@ -24,7 +24,8 @@ from rosterlake.operators.shape import (
     select_rename,
 )
 from rosterlake.operators.stages import expand_stages
-from rosterlake.operators.upsert import new_rows, updated_rows, upsert_with_overrides
+from rosterlake.operators.upsert import has_hot_key, new_rows, updated_rows, upsert_with_overrides
+from rosterlake.plans import hires
 from tests.conftest import plan, values
 
 # --- shape -------------------------------------------------------------------------------------------
@@ -279,6 +280,19 @@ def test_upsert_with_repeated_keys_gives_the_same_rows(table):
     assert values(upserted(table, master, incoming, repeated=True)) == values(upserted(table, master, incoming))
 
 
+def test_a_hot_position_is_dealt_out(spark, no_help, tmp_path):
+    """A third of the incoming rows under one position: no task of the upsert gets a quarter of them."""
+    spark.range(400).selectExpr("concat('p', id) as jrpos_id", "cast(id as string) as job_requisition_id").write.parquet(f"{tmp_path}/m")
+    incoming = "if(id % 3 = 0, 'p7', concat('p', id % 500)) as jrpos_id", "concat('e', id) as employee_id", "concat('s', id) as source"
+    spark.range(9000).selectExpr(*incoming).write.parquet(f"{tmp_path}/i")
+    m, i = spark.read.parquet(f"{tmp_path}/m"), spark.read.parquet(f"{tmp_path}/i")
+    assert has_hot_key(i, "jrpos_id") and not has_hot_key(i.dropDuplicates(["jrpos_id"]), "jrpos_id")
+    merged = hires.merge_hires(m, i)
+    assert merged.where("jrpos_id = 'p7'").count() == 3012 and largest_share(merged.where("jrpos_id = 'p7'")) < 0.25
+    plain = upsert_with_overrides(align_schema(m, fv.MASTER_HIRES), i, "jrpos_id", fv.MASTER_HIRES)
+    assert values(merged) == values(plain)
+
+
 def test_upsert_shuffles_each_side_once_by_its_key(spark, no_help, tmp_path):
     spark.range(1000).selectExpr("cast(id as string) as id", "'old' as name").write.parquet(f"{tmp_path}/m")
     spark.range(500, 1500).selectExpr("cast(id as string) as id", "'new' as name").write.parquet(f"{tmp_path}/i")
