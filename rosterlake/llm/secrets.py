@@ -2,8 +2,8 @@
 
 Base patterns find assignments, access keys and hexadecimal keys in each text. The method adds opaque tokens: long words of
 letters and digits that no base span covers. Every candidate's hash is counted by the distinct repositories and owners that
-have it: what many owners have is a copied example, what few have is a credential of theirs and looks live. Base spans
-always stay and carry the verdict; opaque spans are added only where they look live.
+have it: what several owners have, or many repositories of one, is a copied example; what few have is a credential of theirs
+and looks live. Base spans always stay and carry the verdict; opaque spans are added only where they look live.
 
 Only expressions of Spark SQL are used. A span is in code points, its end exclusive. Null and empty texts have no spans. A
 null owner or repository counts as one of its own. Repeated rows have the same spans; they are one repository. Other columns
@@ -12,7 +12,7 @@ are carried along, an empty table stays empty.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,15 +31,18 @@ BASE = (
 #: Twenty and more characters in a row, at least one of them a digit and one a letter.
 OPAQUE = ("opaque", r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}", 0, 20)
 KINDS = [*(k for k, *_ in BASE), OPAQUE[0]]
-#: From so many owners on a value is a copied example.
+#: From so many owners or repositories on a value is a copied example.
 COPIED = 3
+COPIED_REPOSITORIES = 10
+#: Matches that are put in their places together. Arrays grow by copying, so one array for all would take quadratic time.
+TOGETHER = 128
 
 _SPAN = "struct<start:int,kind:int,end:int,value:binary>"
 
 
 def _spans(text: Column, number: int, pattern: str, group: int, least: int) -> Column:
     """The matches of a pattern in order. The text is split at them; lengths of what lies between and of the matches add up
-    to their places."""
+    to their places, first block by block, then within each block."""
     matches, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
 
     def next_span(state: Column, pair: Column) -> Column:
@@ -51,14 +54,36 @@ def _spans(text: Column, number: int, pattern: str, group: int, least: int) -> C
         ))).otherwise(F.array().cast(f"array<{_SPAN}>"))
         return F.struct(end.alias("at"), F.concat(state["found"], span).alias("found"))
 
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("found"))
+    none = F.array().cast(f"array<{_SPAN}>")
+    length = lambda block: F.aggregate(block, F.lit(0), lambda n, p: n + F.length(p["between"]) + F.length(p["match"]))
+
+    def cut(pairs: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / TOGETHER).cast("int")),
+            lambda b: F.slice(pairs, b * TOGETHER + 1, F.lit(TOGETHER)),
+        )
+
+    def placed(blocks: Column) -> Column:
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        starts = F.aggregate(blocks, first, lambda state, block: F.struct(
+            (state["at"] + length(block)).alias("at"), F.concat(state["starts"], F.array(state["at"])).alias("starts")
+        ))["starts"]
+        of_block = lambda x: F.aggregate(x["blocks"], F.struct(x["starts"].alias("at"), none.alias("found")), next_span)["found"]
+        return F.flatten(F.transform(F.arrays_zip(blocks.alias("blocks"), starts.alias("starts")), of_block))
+
     pairs = F.arrays_zip(matches.alias("match"), F.slice(between, 1, F.size(matches)).alias("between"))
-    return F.when(text.rlike(pattern), F.aggregate(pairs, first, next_span)["found"]).otherwise(F.array().cast(f"array<{_SPAN}>"))
+    return F.when(text.rlike(pattern), _with(pairs, lambda p: _with(cut(p), placed))).otherwise(none)
+
+
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once; an expression would be again for each element that refers to it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def scanned(
-    docs: DataFrame, *, owner: str = "source", repository: str = "doc_id", copied: int = COPIED, carry: Sequence[str] | None = None
-) -> DataFrame:
+    docs: DataFrame, *, owner: str = "source", repository: str = "doc_id", copied: int = COPIED,
+    copied_repositories: int = COPIED_REPOSITORIES, carry: Sequence[str] | None = None,
+) -> DataFrame:
     """Per document ``row`` (the columns ``carry``, or all but the text) and ``spans`` by start and kind: ``kind`` (a
     number, see ``KINDS``), ``start``, ``end``, ``value`` (a digest), ``n_repositories``, ``n_owners`` and ``live``."""
     carry = [c for c in docs.columns if c != "text"] if carry is None else list(carry)
@@ -88,7 +113,9 @@ def scanned(
     # Rows that repeat are one here, and come back by their key below. The counts are staged, so that nothing stands between
     # them and the join and adaptive execution can split a value that very many documents have.
     once = each.select("k1", "k2", "span").distinct().withColumn("value", F.col("span.value"))
-    judged = once.join(stage(counts, "owners"), "value").withColumn("live", F.col("n_owners") < copied)
+    judged = once.join(stage(counts, "owners"), "value").withColumn(
+        "live", (F.col("n_owners") < copied) & (F.col("n_repositories") < copied_repositories)
+    )
     judged = judged.where((F.col("span.kind") < len(BASE)) | F.col("live"))
     span = F.struct("span.start", "span.kind", "span.end", "value", "n_repositories", "n_owners", "live")
     lists = judged.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(span)).alias("spans"))
@@ -109,4 +136,8 @@ def op9_secrets(spark, sf_dir: str) -> DataFrame:
     return found.select(
         "row.doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
         F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+        F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_copied"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["n_owners"])), F.lit(0)).alias("most_owners"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["n_repositories"])), F.lit(0)).alias("most_repositories"),
     )

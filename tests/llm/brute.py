@@ -133,6 +133,23 @@ def base_spans(docs):
         yield d["doc_id"], kinds.count(0), kinds.count(1), kinds.count(2), sha256(shown)
 
 
+def ownership(docs):
+    """Per document its base spans that look live and that are copied, and the greatest numbers of owners and repositories."""
+    found, owners, repositories = [], {}, {}
+    for d in docs:
+        text = d["text"] or ""
+        values = [m[1] for m in ASSIGN.finditer(text) if len(m[1]) >= 8]
+        values += [m[0] for x, least in ((ACCESS, 16), (HEX, 32)) for m in x.finditer(text) if len(m[0]) >= least]
+        found.append((d["doc_id"], values))
+        for v in values:
+            owners.setdefault(v, set()).add(d["source"])
+            repositories.setdefault(v, set()).add(d["doc_id"])
+    for i, values in found:
+        live = sum(len(owners[v]) < 3 and len(repositories[v]) < 10 for v in values)
+        most = (max((len(of[v]) for v in values), default=0) for of in (owners, repositories))
+        yield i, live, len(values) - live, *most
+
+
 def manifest(docs):
     """Leaf by leaf, with every level as a list; of rows that are equal in all the first comes first."""
     join = lambda *parts: sha256("".join(parts))

@@ -248,6 +248,30 @@ def test_ownership(spark):
     assert (span.kind, span.n_owners, span.n_repositories, span.live) == (0, 4, 4, False)
 
 
+def test_copies_within_one_owner(spark):
+    """A value in many repositories is copied, also if all are one owner's."""
+    few, many = "Zq" + "1a" * 12, "Zz9" + "b2" * 12
+    rows = [(i, f"{many} {few if i < 9 else ''}", "a") for i in range(10)]
+    got = secrets.scanned(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+    assert {r.doc_id: r.spans for r in got.select("row.doc_id", secrets.shown(F.col("spans")).alias("spans")).collect()} == {
+        i: f"opaque:{len(many) + 1}:{len(many) + 1 + len(few)}" if i < 9 else "" for i in range(10)
+    }
+
+
+def test_very_many_matches(spark):
+    """Places are right beyond a block, and the time does not grow with the square."""
+    import time
+
+    n = 40_000
+    text = "".join(f"é {i} token = 'abcdefgh{i % 7}' " for i in range(n))
+    docs = spark.createDataFrame([(1, text, "a")], "doc_id bigint, text string, source string")
+    begun = time.perf_counter()
+    (row,) = secrets.scanned(docs).select(secrets.shown(F.col("spans")).alias("spans")).collect()
+    assert time.perf_counter() - begun < 40
+    want = [(m.start(), m.end()) for m in brute.ASSIGN.finditer(text)]
+    assert len(want) == n and row.spans == ",".join(f"assign:{a}:{b}" for a, b in want)
+
+
 # --- near duplicates ------------------------------------------------------------------------------------
 
 
