@@ -16,12 +16,12 @@ def first_step(col: Column) -> Column:
 
 
 def name_without_id(col: Column) -> Column:
-    """``Bob Jones`` from ``Bob Jones (100)``."""
+    """``Ana Lund`` from ``Ana Lund (731)``."""
     return strip(F.substring_index(col, "(", 1))
 
 
 def bracketed_number(col: Column) -> Column:
-    """``22222`` from ``R222 (22222)``; null where no number stands in brackets."""
+    """``8140`` from ``Q8 (8140)``; null where no number stands in brackets."""
     return F.nullif(F.regexp_extract(col, r"(?U)\((\d+)\)", 1), F.lit(""))
 
 
