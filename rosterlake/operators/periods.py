@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from calendar import monthrange
 from collections.abc import Sequence
 from datetime import date
 
@@ -10,6 +11,10 @@ from pyspark.sql import DataFrame, functions as F
 from rosterlake.functions.dates import as_date, month_end
 
 
+def last_of_month(day: date) -> date:
+    return day.replace(day=monthrange(day.year, day.month)[1])
+
+
 def extend_latest_period(df: DataFrame, period: str, as_of: date) -> DataFrame:
     """Carry the latest period over to the month-end of ``as_of`` where that month-end is absent.
 

@@ -9,11 +9,17 @@ from dataclasses import dataclass
 from datetime import date
 from hashlib import sha256
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rosterlake import fixed_values as fv
-from rosterlake.plans.applications import clean_applications, offer_accepts, stage_funnel
-from rosterlake.plans.headcount import PERIOD, headcount_with_referrals, read_headcount
+from rosterlake.plans.applications import (
+    application_month,
+    corrected_applications,
+    offer_accepts,
+    read_applications,
+    stage_funnel,
+)
+from rosterlake.plans.headcount import PERIOD, read_headcount, with_referrals
 from rosterlake.plans.hires import MASTER_KEY, hire_discrepancies, incoming_hires
 from rosterlake.plans.referrals import (
     REFERRER_COLUMNS,
@@ -25,12 +31,15 @@ from rosterlake.plans.referrals import (
 from rosterlake.plans.requisitions import clean_requisitions
 from rosterlake.sinks import tables as sinks
 from rosterlake.sinks.merge import merge_table
+from rosterlake.sinks.periods import carried_on, digests, replace_periods
 from rosterlake.sinks.versions import create_once, names_in, read_small
 from rosterlake.sources.drops import newest_drop, require_feed_date
 from rosterlake.sources.reports import read_report
 
 
 MASTER = "hires_master.parquet"
+#: The headcount report by month, as it came.
+MONTHS = "headcount_months"
 
 
 @dataclass(frozen=True)
@@ -111,8 +120,10 @@ def run(
     started again with the same reports and settings, tables that it had published are taken as they are. Requisitions,
     hires, applications and the reports of the last stages are worked on at once. Each stage reads what the stages before it
     wrote. The funnel is expanded once, with the referrer beside its columns for the referrals. Hires are the master's own
-    files under a second name, and of the master only files that hold an incoming position are rewritten. The snapshot of
-    the day names versions. The table ``hires_master.parquet`` has to exist.
+    files under a second name, and of the master only files that hold an incoming position are rewritten. Applications,
+    offer accepts, funnel and headcount are kept by month. Digests by month of the applications in scope tell which months have
+    changed since the last run: only these are cleansed and expanded, the others keep their files. The headcount's latest
+    month is carried on from that month's files alone. The snapshot of the day names versions. The table ``hires_master.parquet`` has to exist.
     """
     path = lambda name: f"{out}/{name}.parquet"
     master, raw = f"{out}/{MASTER}", f"{out}/snapshots/raw"
@@ -133,6 +144,24 @@ def run(
         made[name] = found.number if found else sinks.replace_table(make(), path(name), notes=notes)
         return sinks.read_version(spark, path(name), found or sinks.version_of(spark, path(name), made[name]))
 
+    def published_by(name: str, period: Callable[[DataFrame], Column], make: Callable[[], DataFrame], **how) -> sinks.Version:
+        found = earlier(path(name))
+        if found is None:
+            rows = make()
+            found = replace_periods(rows, path(name), period(rows), notes=notes, **how)
+        made[name] = found.number
+        return found
+
+    def months() -> sinks.Version:
+        return published_by(MONTHS, reported, lambda: read_headcount(report("headcount")), within=["employee_id"])
+
+    def reported(rows: DataFrame) -> Column:
+        return F.col(PERIOD)
+
+    def headcount() -> DataFrame:
+        current = carried_on(spark, path(MONTHS), monthly.result(), PERIOD, as_of)
+        return with_referrals(current, unique_referrals(referrals))
+
     def report(name: str) -> DataFrame:
         return landed(spark, name, getattr(reports, name), raw, as_of)
 
@@ -149,33 +178,34 @@ def run(
         made["hires"] = shared.number
         return sinks.read_version(spark, path("hires"), shared)
 
-    def applications() -> DataFrame:
-        return published("applications", lambda: clean_applications(report("applications"), as_of))
+    def applications() -> sinks.Version:
+        found = earlier(path("applications"))
+        if found is None:
+            read = read_applications(report("applications"), as_of)
+            known = digests(read, application_month(read))
+            found = published_by("applications", application_month, lambda: corrected_applications(read), known=known)
+        made["applications"] = found.number
+        return found
 
     with ThreadPoolExecutor(8) as workers:
         first, second, third = (workers.submit(f) for f in (requisitions, hires, applications))
-        prospects, monthly = (
-            None if earlier(path(table)) else workers.submit(report, name) for table, name in (("referrals", "prospects"), ("headcount", "headcount"))
-        )
+        prospects = None if earlier(path("referrals")) else workers.submit(report, "prospects")
+        monthly = workers.submit(months)
         discrepancies = workers.submit(
             lambda: published("hire_discrepancies", lambda: hire_discrepancies(second.result(), first.result()))
         )
-        cleaned = third.result()
+        of_month = {"known": third.result().notes["digests"], "gather": False}
+        cleaned = sinks.read_version(spark, path("applications"), third.result())
         csv = workers.submit(sinks.write_csv, cleaned, f"{out}/applications.csv")
-        accepts = workers.submit(published, "offer_accepts", lambda: offer_accepts(cleaned))
-        funnel = published("funnel", lambda: stage_funnel(cleaned, carry=REFERRER_COLUMNS))
+        accepts = workers.submit(published_by, "offer_accepts", application_month, lambda: offer_accepts(cleaned), **of_month)
+        expanded = published_by("funnel", application_month, lambda: stage_funnel(cleaned, carry=REFERRER_COLUMNS), **of_month)
+        funnel = sinks.read_version(spark, path("funnel"), expanded)
         referrals = published("referrals", lambda: referral_funnel(read_prospects(prospects.result()), referred_only(funnel)))
-        # Sorted within files rather than over all of them: readers can skip by period, and nothing is shuffled.
-        headcount = published(
-            "headcount",
-            lambda: headcount_with_referrals(read_headcount(monthly.result()), unique_referrals(referrals), as_of).sortWithinPartitions(
-                PERIOD, "employee_id"
-            ),
-        )
+        flagged = sinks.read_version(spark, path("headcount"), published_by("headcount", reported, headcount, within=["employee_id"]))
         csv.result()
         tables = {
             "requisitions": first.result(), "hires": second.result(), "hire_discrepancies": discrepancies.result(), "applications": cleaned,
-            "offer_accepts": accepts.result(), "funnel": funnel.select(fv.FUNNEL_COLUMNS), "referrals": referrals, "headcount": headcount,
+            "offer_accepts": sinks.read_version(spark, path("offer_accepts"), accepts.result()), "funnel": funnel.select(fv.FUNNEL_COLUMNS), "referrals": referrals, "headcount": flagged,
         }
 
     sinks.name_versions(spark, {name: path(name) for name in tables}, f"{out}/snapshots/processed", as_of, made)

@@ -27,7 +27,11 @@ def headcount_with_referrals(headcount: DataFrame, referrals: DataFrame, as_of:
 
     ``referrals`` holds each ``headcount_id`` once with its flag.
     """
-    current = extend_latest_period(headcount, PERIOD, as_of)
+    return with_referrals(extend_latest_period(headcount, PERIOD, as_of), referrals)
+
+
+def with_referrals(current: DataFrame, referrals: DataFrame) -> DataFrame:
+    """``headcount_with_referrals`` of a headcount that has been carried on."""
     keyed = current.withColumns(
         {
             "job_grade": F.concat(F.lit("Level "), F.col("job_grade").cast("string")),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from rosterlake.sinks.versions import (  # noqa: F401
     COMPRESSION,
     Conflict,
+    Version,
     current_version,
     read_current,
     read_version,

@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from typing import Any, NamedTuple
 
 from py4j.protocol import Py4JJavaError
@@ -30,7 +30,7 @@ class Conflict(RuntimeError):
 
 class Version(NamedTuple):
     number: int
-    #: Folders and files, relative to the folder of the table.
+    #: Folders, folders of a period in one, and files, relative to the folder that the table is in.
     paths: tuple[str, ...]
     notes: Mapping[str, Any]
 
@@ -126,10 +126,10 @@ def commit(
     return version
 
 
-def write_data(df: DataFrame, path: str, base: Version | None) -> str:
-    """``df`` as a folder for the version after ``base``, which no version names yet; its path in one."""
+def write_data(df: DataFrame, path: str, base: Version | None, by: Sequence[str] = ()) -> str:
+    """``df`` as a folder for the version after ``base``, with folders ``by`` columns in it, which no version names yet; its path in one."""
     name = f"{path.rstrip('/').rpartition('/')[2]}/data/v{base.number + 1 if base else 1:06d}-{uuid.uuid4().hex}"
-    df.write.option("compression", COMPRESSION).parquet(f"{_root(path)}/{name}")
+    df.write.option("compression", COMPRESSION).partitionBy(*by).parquet(f"{_root(path)}/{name}")
     return name
 
 
@@ -180,6 +180,6 @@ def remove_unnamed(spark: SparkSession, path: str, kept: Iterable[str]) -> list[
             continue
         for file in names_in(spark, f"{path}/data/{folder}"):
             if f"{of_folder}/{file}" not in single and not file.startswith((".", "_")):
-                files.delete(_path(spark, f"{path}/data/{folder}/{file}")[1], False)
+                files.delete(_path(spark, f"{path}/data/{folder}/{file}")[1], True)
                 gone.append(f"{folder}/{file}")
     return sorted(gone)

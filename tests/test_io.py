@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import random
 import time
+from dataclasses import replace
 from datetime import date
 from types import SimpleNamespace
 
@@ -456,15 +457,17 @@ def test_full_run_from_drops(spark, folders, first_master, tmp_path, monkeypatch
 
     # A run that fails leaves every table as it was, and what it left behind can be removed.
     before = {name: values(df) for name, df in tables.items()}
-    broken = lambda *a: tables["headcount"].select(F.raise_error(F.lit("broken off")).cast("int").alias("reporting_date"), F.lit("x").alias("employee_id"))
-    monkeypatch.setattr(full_run, "headcount_with_referrals", broken)
+    broken = lambda *a: tables["headcount"].select(F.raise_error(F.lit("broken off")).cast("date").alias("reporting_date"), F.lit("x").alias("employee_id"))
+    monkeypatch.setattr(full_run, "with_referrals", broken)
     with pytest.raises(Exception, match="broken off"):
         full_run.run(spark, found, out, DAY, 3)
     monkeypatch.undo()
     seen = lambda: {name: values(full_run.read_run(spark, out, name).select(df.columns)) for name, df in tables.items()}
     assert seen() == before and full_run.last_run(spark, out)[0] == 1
+    # What a writer leaves that falls after its data is written.
+    versions.write_data(tables["headcount"], f"{out}/headcount.parquet", None)
     gone = full_run.vacuum(spark, out)
-    assert len(gone["headcount"]) == 1 and set(gone) == {*tables, "hires_master"}
+    assert len(gone["headcount"]) == 1 and set(gone) == {*tables, "hires_master", "headcount_months"}
     assert seen() == before
 
     # Started again, it takes what it had published: hires and the others are not worked on a second time.
@@ -474,7 +477,7 @@ def test_full_run_from_drops(spark, folders, first_master, tmp_path, monkeypatch
     def never(*a, **b):
         raise AssertionError("worked on again")
 
-    for name in ("incoming_hires", "merge_table", "clean_applications", "clean_requisitions", "stage_funnel", "referral_funnel", "hire_discrepancies"):
+    for name in ("incoming_hires", "merge_table", "read_applications", "corrected_applications", "clean_requisitions", "stage_funnel", "referral_funnel", "hire_discrepancies"):
         monkeypatch.setattr(full_run, name, never)
     again = full_run.run(spark, found, out, DAY, 3)
     monkeypatch.undo()
@@ -487,10 +490,46 @@ def test_full_run_from_drops(spark, folders, first_master, tmp_path, monkeypatch
     assert third["hires"].count() == 3 and sinks.current_version(spark, f"{out}/hires_master.parquet").number == 4
     assert sinks.current_version(spark, f"{out}/hires.parquet").paths == sinks.current_version(spark, f"{out}/hires_master.parquet").paths
     assert not os.path.exists(f"{out}/hires.parquet/data")
+
+    # No month has changed, so none was written a second time.
+    for name, n in {"headcount": 3, "headcount_months": 2, "applications": 1, "offer_accepts": 1, "funnel": 1}.items():
+        first, last = (sinks.version_of(spark, f"{out}/{name}.parquet", n).paths for n in (1, 3))
+        assert first == last and len(first) >= n
     with pytest.raises(FileNotFoundError):
         full_run.read_run(spark, out, "nothing")
 
 
+def test_the_next_day_cleanses_only_months_that_changed(spark, folders, first_master, tmp_path, monkeypatch):
+    """Of ten months of applications one row changes, and the oldest month leaves the scope: the tables are those of a run that
+    starts from nothing."""
+    found = full_run.read_reports(spark, *folders)
+    given_on = F.element_at(F.array(*[F.lit(d) for d in ("12/17/2031", *(f"{m:02d}/17/2032" for m in range(1, 10)))]), (F.col("id") % 10 + 1).cast("int"))
+    copies = found.applications.crossJoin(spark.range(200)).withColumns(
+        {"candidate_id": F.concat_ws("-", "candidate_id", "id"), "job_application_date": given_on}
+    )
+    first_day = copies.drop("id")
+    changed = F.when(F.col("candidate_id") == "K5-3", "Rejected").otherwise(F.col("candidate_recruiting_status"))
+    second_day = first_day.withColumn("candidate_recruiting_status", changed)
+    later, out, fresh = date(2032 + fv.APPLICATION_SCOPE_YEARS, 4, 1), f"{tmp_path}/out", f"{tmp_path}/fresh"
+    for folder in (out, fresh):
+        sinks.replace_table(first_master, f"{folder}/{full_run.MASTER}")
+    full_run.run(spark, replace(found, applications=first_day), out, DAY, 3)
+    before = {n: sinks.current_version(spark, f"{out}/{n}.parquet") for n in ("applications", "offer_accepts", "funnel")}
+    assert {len(v.paths) for v in before.values()} == {10}
+    cleansed = []
+    correct = full_run.corrected_applications
+    monkeypatch.setattr(full_run, "corrected_applications", lambda read: cleansed.append(read) or correct(read))
+    got = full_run.run(spark, replace(found, applications=second_day), out, later, 3)
+    monkeypatch.undo()
+    wanted = full_run.run(spark, replace(found, applications=second_day), fresh, later, 3)
+    for name in ("applications", "offer_accepts", "funnel", "referrals"):
+        assert got[name].columns == wanted[name].columns and values(got[name]) == values(wanted[name])
+    for name, earlier in before.items():
+        paths = sinks.current_version(spark, f"{out}/{name}.parquet").paths
+        assert len(paths) == 9 and {p[-10:] for p in set(paths) - set(earlier.paths)} == {"2032-03-01"}
+    assert len(cleansed) == 1 and got["funnel"].where(F.col("candidate_id") == "K5-3").count() == 7
+
+
 def test_two_writers_from_one_version(spark, table, tmp_path):
     path = f"{tmp_path}/t.parquet"
     sinks.replace_table(table("a int", 1), path)

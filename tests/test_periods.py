@@ -1,0 +1,166 @@
+"""Tables by period: which folders a version writes, what it reads for copies, and that rows are those of a plain table."""
+
+from __future__ import annotations
+
+import os
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from rosterlake.operators.digests import row_digests
+from rosterlake.operators.periods import extend_latest_period, last_of_month
+from rosterlake.sinks import periods, tables as sinks, versions
+from tests.conftest import plan, values
+
+JAN, FEB, MAR, APR = date(2031, 1, 31), date(2031, 2, 28), date(2031, 3, 31), date(2031, 4, 30)
+SCHEMA = "month date, who string, place string"
+
+
+def put(df, path, **how):
+    return periods.replace_periods(df, path, "month", **how)
+
+
+def folders(version):
+    return {periods.period_of(p): p for p in version.paths}
+
+
+@pytest.fixture
+def path(tmp_path):
+    return f"{tmp_path}/heads.parquet"
+
+
+def test_only_changed_periods_are_written(spark, table, path):
+    rows = [(JAN, "a", "Oslo"), (JAN, "b", None), (JAN, "b", None), (FEB, "a", "Oslo"), (None, "c", "Lima")]
+    first = put(table(SCHEMA, *rows), path)
+    assert periods.periods_of(first) == [JAN, FEB] and set(folders(first)) == {"", "2031-01-31", "2031-02-28"}
+    assert values(sinks.read_current(spark, path)) == values(table(SCHEMA, *rows))
+    # Other order, other partitions: nothing to write, and still a version of its own.
+    again = put(table(SCHEMA, *reversed(rows)).repartition(3), path, notes={"run": "x"})
+    assert (again.number, again.paths, again.notes["run"]) == (2, first.paths, "x")
+    assert len(os.listdir(f"{path}/data")) == 1
+    # A repeated row less, a new month, a row without month that has changed: February is left alone.
+    later = [rows[0], rows[1], rows[3], (None, "c", "Rome"), (MAR, "a", "Oslo")]
+    third = put(table(SCHEMA, *later), path)
+    assert {p for p, f in folders(third).items() if folders(first).get(p) == f} == {"2031-02-28"}
+    assert values(sinks.read_current(spark, path)) == values(table(SCHEMA, *later))
+    # Months that are gone are not named; older versions stay readable.
+    fourth = put(table(SCHEMA, rows[3]), path)
+    assert fourth.paths == (folders(first)["2031-02-28"],)
+    assert values(versions.read_version(spark, path, first)) == values(table(SCHEMA, *rows))
+    # Of folders with several periods only those that nothing names go.
+    sinks.vacuum(spark, path)
+    assert values(sinks.read_current(spark, path)) == [(FEB, "a", "Oslo")]
+    left = [f"{d}/{n}" for d in os.listdir(f"{path}/data") for n in os.listdir(f"{path}/data/{d}") if "=" in n]
+    assert [n.split("/")[-1] for n in left] == ["of_period=2031-02-28"]
+
+
+def test_an_empty_table_and_another_schema(spark, table, path):
+    none = put(table(SCHEMA), path)
+    assert periods.periods_of(none) == [] and sinks.read_current(spark, path).columns == ["month", "who", "place"]
+    assert values(periods.carried_on(spark, path, none, "month", APR)) == []
+    some = put(table(SCHEMA, (JAN, "a", "x")), path)
+    wider = put(table(SCHEMA + ", grade int", (JAN, "a", "x", 1)), path)
+    assert wider.paths != some.paths and sinks.read_current(spark, path).columns[-1] == "grade"
+    assert values(put_and_read(spark, table(SCHEMA), path)) == []
+    assert values(put_and_read(spark, table(SCHEMA, (JAN, "a", "x")), path)) == [(JAN, "a", "x")]
+    for bad in ("month string, who string", "month date, of_period int"):
+        with pytest.raises(ValueError):
+            put(table(bad), path)
+
+
+def put_and_read(spark, df, path):
+    return versions.read_version(spark, path, put(df, path))
+
+
+def test_a_value_in_the_next_column_is_another_row(table):
+    first, second = (table(SCHEMA, row).select(*row_digests(table(SCHEMA, row))).first() for row in ((JAN, "a", None), (JAN, None, "a")))
+    assert first[0] != second[0] and first[1] != second[1] and first[0] != first[1]
+
+
+@pytest.mark.parametrize(
+    "months, as_of", [((JAN, MAR), date(2031, 4, 2)), ((JAN, MAR), date(2031, 3, 1)), ((JAN, APR), date(2031, 2, 9)), ((None,), MAR), ((None, JAN), MAR)]
+)
+def test_carried_on_is_the_extension_of_a_plain_table(spark, table, path, months, as_of):
+    df = table(SCHEMA, *[(m, who, "Oslo") for m in months for who in ("a", "a", None)])
+    version = put(df, path, within=["who"])
+    assert values(periods.carried_on(spark, path, version, "month", as_of)) == values(extend_latest_period(df, "month", as_of))
+
+
+def test_an_extension_reads_one_folder_and_writes_one(spark, table, path, tmp_path):
+    report, out = path, f"{tmp_path}/carried.parquet"
+    df = spark.range(4000).select(
+        F.element_at(F.array(*[F.lit(d) for d in (JAN, FEB, MAR)]), (F.col("id") % 3 + 1).cast("int")).alias("month"),
+        F.col("id").cast("string").alias("who"),
+        F.lit("Oslo").alias("place"),
+    )
+    version = put(df, report)
+    earlier = put(periods.carried_on(spark, report, version, "month", MAR), out)
+    copies = periods.read_periods(spark, report, version, [MAR])
+    assert {f.split("/")[-2] for f in copies.inputFiles()} == {"of_period=2031-03-31"}
+    carried = periods.carried_on(spark, report, version, "month", APR)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    scans = [line for line in plan(carried).splitlines() if "Scan parquet" in line]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert [line.count("of_period=") for line in scans] == [3, 1] and "of_period=2031-03-31" in scans[1]
+    assert "Exchange" not in plan(carried)
+    later = put(carried, out)
+    new = set(later.paths) - set(earlier.paths)
+    assert {periods.period_of(p) for p in new} == {"2031-04-30"} and set(earlier.paths) < set(later.paths)
+    read = versions.read_version(spark, out, later)
+    assert values(read) == values(extend_latest_period(df, "month", APR)) and read.where(F.col("month") == APR).count() == 1333
+
+
+def test_a_month_in_many_files(spark, path):
+    """A hot month is not one task's: adaptive execution splits it by size."""
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 < 2, F.lit(JAN)).otherwise(F.lit(FEB)).alias("month"), F.sha2(F.col("id").cast("string"), 256).alias("who")
+    )
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500k")
+    try:
+        version = put(df.repartition(4), path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size) if size else spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = versions.read_version(spark, path, version).inputFiles()
+    assert sum("2031-01-31" in f for f in files) > 1
+    assert sinks.read_current(spark, path).groupBy("month").count().orderBy("month").collect() == [(JAN, 40_000), (FEB, 20_000)]
+
+
+def test_two_writers_of_periods(table, path, monkeypatch):
+    put(table(SCHEMA, (JAN, "a", "x")), path)
+    base = versions.current_version(table(SCHEMA).sparkSession, path)
+    put(table(SCHEMA, (JAN, "b", "x")), path)
+    monkeypatch.setattr(versions, "current_version", lambda *a: base)
+    with pytest.raises(versions.Conflict):
+        put(table(SCHEMA, (JAN, "c", "x")), path)
+
+
+def test_last_of_month():
+    assert [last_of_month(d) for d in (date(2032, 2, 3), date(2031, 12, 31))] == [date(2032, 2, 29), date(2031, 12, 31)]
+
+
+def test_digests_of_what_a_table_is_made_from(spark, table, path):
+    """Only periods with another digest of the source are computed; a period may have no row in the table made from it."""
+
+    def made(rows, tripped=()):
+        source = table(SCHEMA, *rows)
+        fails = F.col("month").isin(*tripped) if tripped else F.lit(False)
+        df = source.where("place = 'Oslo'").withColumn("who", F.when(fails, F.raise_error(F.lit("computed again"))).otherwise(F.col("who")))
+        return put(df, path, known=periods.digests(source, "month"), gather=False)
+
+    rows = [(JAN, "a", "Oslo"), (FEB, "b", "Lima"), (MAR, "c", "Oslo"), (None, "d", "Oslo")]
+    first = made(rows)
+    assert set(folders(first)) == {"", "2031-01-31", "2031-03-31"} and set(first.notes["digests"]) == {"", "2031-01-31", "2031-02-28", "2031-03-31"}
+    second = made([*rows[:2], (MAR, "e", "Oslo"), rows[3], (APR, "f", "Rome")], tripped=[JAN, FEB])
+    assert {p for p in folders(second) if folders(second)[p] == folders(first).get(p)} == {"", "2031-01-31"}
+    assert values(sinks.read_current(spark, path)) == [(None, "d", "Oslo"), (JAN, "a", "Oslo"), (MAR, "e", "Oslo")]
+    third = made([rows[1]])
+    assert periods.periods_of(third) == [] and values(sinks.read_current(spark, path)) == []
+    assert values(put_and_read(spark, table(SCHEMA, rows[0]), path)) == [rows[0]]
+
+
+def test_another_version_of_the_library_writes_all(table, path, monkeypatch):
+    first = put(table(SCHEMA, (JAN, "a", "x")), path)
+    monkeypatch.setattr(periods, "__version__", "of another day")
+    assert put(table(SCHEMA, (JAN, "a", "x")), path).paths != first.paths
