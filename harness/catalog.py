@@ -19,9 +19,11 @@ from rosterlake.operators.shape import align_schema, select_rename
 from rosterlake.operators.upsert import new_rows
 from rosterlake.plans import applications as app
 from rosterlake.plans import headcount as hc
-from rosterlake.plans import full_run, hires, referrals
+from rosterlake.plans import checks, full_run, hires, referrals
 from rosterlake.plans import requisitions as req
 from rosterlake.sinks import tables as sinks
+from rosterlake.sinks import versions
+from rosterlake.sinks.counts import FileCounts
 from rosterlake.sources import drops, reports
 from rosterlake.sources.tables import read_table, scratch_path, stage
 
@@ -395,6 +397,22 @@ def dq_rules(spark, sf):
     )
 
 
+def dq_counted(spark, sf):
+    """Checks of a second version, of which only the files that it adds are read."""
+    path, rows = f"{scratch_path(spark, 'counted')}.parquet", spark_view(spark, sf, "flawed_applications")
+    counts = FileCounts(
+        {**dq.in_domain({"candidate_recruiting_status": [fv.PASSED, "Rejected"]}), **dq.in_range("last_stage_number", 1, 8)},
+        latest=("job_application_date",),
+    )
+    early = F.col("stage_number") < 6
+    sinks.replace_table(rows.where(early), path)
+    base = sinks.current_version(spark, path)
+    counts.by_file(spark, path, base)
+    added = versions.write_data(rows.where(~early), path, base)
+    version = versions.commit(spark, path, [*base.paths, added], base)
+    return counts.violations(spark, path, version, AS_OF_DATE)
+
+
 def join_hot_key(spark, sf):
     """Customers and their events, a third of which have one user and some none."""
     user = "case when event_id % 3 = 0 then 7 when event_id % 11 = 0 then null else user_id end as user_id"
@@ -483,6 +501,23 @@ def snapshot_of_table(spark, sf):
     return sinks.read_named(spark, f"{published_folder(spark, sf)}/snapshots/processed", AS_OF_DATE, "headcount")
 
 
+def dq_run(spark, sf):
+    """Checks of all tables of the last run."""
+    return checks.check_run(spark, published_folder(spark, sf), AS_OF_DATE)
+
+
+def dq_run_rows(spark, sf):
+    """Rows of the last run's tables by status, stage and flag."""
+    out = published_folder(spark, sf)
+    columns = {"requisitions": "jobreq_status", "funnel": "stage", "headcount": "has_referral"}
+    return _report(
+        *[
+            checks.run_rows(spark, out, name).select(F.lit(name).alias("table"), F.col(c).cast("string").alias("value"), "rows")
+            for name, c in columns.items()
+        ]
+    )
+
+
 def snapshot_of_report(spark, sf):
     return sinks.read_snapshot(spark, f"{published_folder(spark, sf)}/snapshots/raw/requisitions", AS_OF_DATE)
 
@@ -528,6 +563,9 @@ QUERIES = {
     "dq_duplicates": dq_duplicates,
     "dq_duplicated_rows": dq_duplicated_rows,
     "dq_rules": dq_rules,
+    "dq_counted": dq_counted,
+    "dq_run": dq_run,
+    "dq_run_rows": dq_run_rows,
     "join_hot_key": join_hot_key,
     "last_stage": last_stage,
     "all_stages": all_stages,

@@ -410,6 +410,12 @@ ORACLES: dict[str, str] = {
         ("matches", "headcount_id", "not regexp_matches(headcount_id, '^.+_\\d{4}-\\d{2}$')", "flawed_headcount"),
         ("matches", "job_grade", "not regexp_matches(job_grade, '^Level [1-9]')", "flawed_headcount"),
     ),
+    "dq_counted": _with(_view("flawed_applications"))
+    + _checks(
+        ("in_domain", "candidate_recruiting_status", "candidate_recruiting_status not in ('Passed', 'Rejected')", "flawed_applications"),
+        ("in_range", "last_stage_number", "last_stage_number < 1 or last_stage_number > 8", "flawed_applications"),
+        ("not_after", "job_application_date", f"job_application_date > date '{AS_OF}'", "flawed_applications"),
+    ),
     # joins
     "join_hot_key": """with acted as (
 select case when event_id % 3 = 0 then 7 when event_id % 11 = 0 then null else user_id end as user_id, event_id, event_type,
@@ -451,3 +457,39 @@ ORACLES |= {
         "raw_snapshot": "requisition_report",
     }.items()
 }
+ORACLES["dq_run"] = _RUN_TABLES + " union all ".join(
+    f"select '{table}' as \"table\", * from ({_check(check, column, violated, source)})"
+    for table, source, check, column, violated in (
+        ("requisitions", "requisitions", "not_null", "job_requisition_id", "job_requisition_id is null"),
+        ("requisitions", "requisitions", "not_null", "target_hire_date", "target_hire_date is null"),
+        ("requisitions", "requisitions", "cancelled_requests_nothing", "positions_requested_new",
+         "jobreq_status = 'CAN' and positions_requested_new <> 0"),
+        ("requisitions", "requisitions", "open_has_openings", "positions_openings_available",
+         "jobreq_status = 'OPEN' and positions_openings_available <= 0"),
+        ("requisitions", "requisitions", "filled_has_no_openings", "positions_openings_available",
+         "jobreq_status = 'FILLED' and positions_openings_available <> 0"),
+        ("requisitions", "requisitions", "in_range", "positions_requested_new", "positions_requested_new < 0"),
+        ("hires", "hires", "not_null", "jrpos_id", "jrpos_id is null"),
+        ("hires", "hires", "not_null", "eehire_id", "eehire_id is null"),
+        ("hires", "hires", "not_null", "candidate_id", "candidate_id is null"),
+        ("applications", "applications", "not_null", "disposition_reason", "disposition_reason is null"),
+        ("applications", "applications", "not_null", "last_stage_number", "last_stage_number is null"),
+        ("applications", "applications", "in_domain", "compensation_grade",
+         "not regexp_matches(compensation_grade, '^Level [1-8]$')"),
+        ("applications", "applications", "in_range", "last_stage_number", "last_stage_number < 1 or last_stage_number > 8"),
+        ("applications", "applications", "not_after", "job_application_date", f"job_application_date > date '{AS_OF}'"),
+        ("funnel", "funnel", "in_domain", "stage_number", "stage_number not in (1, 2, 3, 4, 6, 7, 8)"),
+        ("referrals", "referrals", "in_range", "last_stage_number", "last_stage_number < 0"),
+        ("referrals", "referrals", "not_after", "added_date", f"added_date > date '{AS_OF}'"),
+        ("headcount", "flagged", "matches", "headcount_id", "not regexp_matches(headcount_id, '^.+_\\d{4}-\\d{2}$')"),
+        ("headcount", "flagged", "matches", "job_grade", "not regexp_matches(job_grade, '^Level [1-9]')"),
+    )
+)
+ORACLES["dq_run_rows"] = _RUN_TABLES + " union all ".join(
+    f"select '{table}' as \"table\", cast({column} as varchar) as value, count(*) as \"rows\" from {source} group by {column}"
+    for table, column, source in (
+        ("requisitions", "jobreq_status", "requisitions"),
+        ("funnel", "stage", "funnel"),
+        ("headcount", "has_referral", "flagged"),
+    )
+)

@@ -6,7 +6,7 @@ counters per task is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -47,12 +47,17 @@ def implies(name: str, column: str, given: Column, then: Column) -> Checks:
 
 def violations(df: DataFrame, checks: Checks) -> DataFrame:
     """The checks' violation counts. A check whose outcome is null is not violated."""
-    counters = [F.count_if(test).alias(f"c{i}") for i, test in enumerate(checks.values())]
+    names = [f"c{i}" for i in range(len(checks))]
+    return report_rows(df.agg(*(F.count_if(test).alias(c) for c, test in zip(names, checks.values(), strict=True))), checks, names)
+
+
+def report_rows(counters: DataFrame, checks: Iterable[tuple[str, str]], names: Sequence[str]) -> DataFrame:
+    """One row of counters in the columns ``names`` as one row per check."""
     rows = [
-        F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"), F.col(f"c{i}").alias("violations"))
-        for i, (check, column) in enumerate(checks)
+        F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"), F.col(name).alias("violations"))
+        for (check, column), name in zip(checks, names, strict=True)
     ]
-    return df.agg(*counters).select(F.inline(F.array(*rows)))
+    return counters.select(F.inline(F.array(*rows)))
 
 
 def duplicate_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:

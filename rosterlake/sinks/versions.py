@@ -152,15 +152,27 @@ def share_version(spark: SparkSession, source: str, version: Version, path: str,
     return commit(spark, path, version.paths, current_version(spark, path), notes)
 
 
+#: A data file as a version names it: table, folder of a write, folder of a period if there is one, file.
+FILE = r"[^/]+/data/[^/]+(/[^/]+=[^/]+)?/[^/]+$"
+
+
 def relative_file(file: str) -> str:
     """A data file as a version names it."""
-    return re.search(r"[^/]+/data/[^/]+/[^/]+$", file)[0]
+    return re.search(FILE, file)[0]
 
 
 def files_of(spark: SparkSession, path: str, version: Version) -> list[str]:
     return sorted(map(relative_file, read_version(spark, path, version).inputFiles()))
 
 
+def paths_of(version: Version, wanted: Iterable[str], files: Iterable[str]) -> tuple[str, ...]:
+    """``wanted`` of the ``files`` of a version as few paths: a folder of the version where all its files are wanted."""
+    wanted = set(wanted)
+    parts = {f.rpartition("/")[0] for f in files if f not in wanted}
+    whole = {p for p in version.paths if p not in parts} - wanted
+    return tuple(sorted({f if (folder := f.rpartition("/")[0]) not in whole else folder for f in wanted}))
+
+
 def remove_unnamed(spark: SparkSession, path: str, kept: Iterable[str]) -> list[str]:
     """Remove the data of a table that is not under one of the paths ``kept``; the folders and files removed. Not while a run
     writes the table or reads an older version."""
