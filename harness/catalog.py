@@ -14,6 +14,7 @@ from rosterlake.functions import dates, keys, text
 from rosterlake.operators import quality as dq
 from rosterlake.operators.dedupe import duplicated_rows
 from rosterlake.operators.joins import repeated_right_join
+from rosterlake.operators.late import keep_one_late
 from rosterlake.operators.periods import extend_latest_period, sort_by_period
 from rosterlake.operators.shape import align_schema, select_rename
 from rosterlake.operators.upsert import new_rows
@@ -46,6 +47,18 @@ def requisitions(spark, sf):
     return req.clean_requisitions(spark_view(spark, sf, "requisition_report"), AS_OF_DATE, SCOPE_YEARS)
 
 
+def late_requisitions(spark, sf):
+    """Requisitions chosen by id and date from a stored report, the other columns fetched afterwards."""
+    stored = stage(spark_view(spark, sf, "requisition_report"), "report")
+    return req.clean_requisitions(stored, AS_OF_DATE, SCOPE_YEARS, keep_one_late)
+
+
+def late_lines(spark, sf):
+    """The last line of each part to be shipped, from the files as they are; some parts have several on that day."""
+    lines = keep_one_late(_table(spark, sf, "lineitem"), ["l_partkey"], ["l_shipdate"])
+    return lines.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+
+
 def fulfillment_report(spark, sf):
     return _under_headers(spark_view(spark, sf, "fulfillment_report"), fv.FULFILLMENT_NAMES)
 
@@ -542,6 +555,8 @@ QUERIES = {
     "fn_recruiter_id": fn_recruiter_id,
     "fn_digits_sentinel": fn_digits_sentinel,
     "req_clean": requisitions,
+    "req_clean_late": late_requisitions,
+    "late_latest": late_lines,
     "req_status_counts": req_status_counts,
     "hire_incoming": incoming,
     "hire_upsert": merged_hires,

@@ -334,6 +334,11 @@ ORACLES: dict[str, str] = {
     "recruiter_completed_offer_id from application_report",
     # requisitions
     "req_clean": _with(*_REQUISITIONS) + "select * from requisitions",
+    "req_clean_late": _with(*_REQUISITIONS) + "select * from requisitions",
+    "late_latest": f"""select * exclude (n) replace (cast(l_shipdate as date) as l_shipdate)
+from (select *, row_number() over (partition by l_partkey order by {_desc(
+        "l_shipdate", "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus")}) as n from lineitem) where n = 1""",
     "req_status_counts": _with(*_REQUISITIONS)
     + "select jobreq_status, count(*) as requisitions from requisitions group by jobreq_status",
     # hires

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -21,12 +22,13 @@ def requisitions_in_scope(
     return typed.where(F.col("target_hire_date") >= years_back(refreshed, scope_years))
 
 
-def latest_requisitions(requisitions: DataFrame) -> DataFrame:
+def latest_requisitions(requisitions: DataFrame, choose: Callable[..., DataFrame] = keep_one) -> DataFrame:
     """The latest version of each requisition, with the positions requested and the status.
 
-    A missing target date counts as latest. Sums beyond 16 bits fail.
+    A missing target date counts as latest. Sums beyond 16 bits fail. ``choose`` is ``keep_one``, or ``keep_one_late`` for
+    requisitions that come straight from Parquet files.
     """
-    latest = keep_one(requisitions, ["job_requisition_id"], ["target_hire_date"], nulls_win=True)
+    latest = choose(requisitions, ["job_requisition_id"], ["target_hire_date"], nulls_win=True)
     openings, filled = F.col("positions_openings_available"), F.col("positions_filled_hire_selected")
     requested = (openings.cast("int") + filled.cast("int")).cast("short")
     status = (
@@ -37,9 +39,9 @@ def latest_requisitions(requisitions: DataFrame) -> DataFrame:
 
 
 def clean_requisitions(
-    raw: DataFrame, refreshed: date, scope_years: int = fv.REQUISITION_SCOPE_YEARS
+    raw: DataFrame, refreshed: date, scope_years: int = fv.REQUISITION_SCOPE_YEARS, choose: Callable[..., DataFrame] = keep_one
 ) -> DataFrame:
-    return latest_requisitions(requisitions_in_scope(raw, refreshed, scope_years))
+    return latest_requisitions(requisitions_in_scope(raw, refreshed, scope_years), choose)
 
 
 def status_counts(requisitions: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 from datetime import date
 
@@ -9,10 +10,11 @@ from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from rosterlake import fixed_values as fv
-from rosterlake.operators import quality as dq
+from rosterlake.operators import late, quality as dq
 from rosterlake.operators.dedupe import distinct_flag, duplicate_keys, duplicated_rows, keep_one
 from rosterlake.operators.flags import flag_from
 from rosterlake.operators.joins import keyed_join, repeated_right_join
+from rosterlake.operators.late import keep_one_late
 from rosterlake.operators.periods import extend_latest_period, sort_by_period
 from rosterlake.operators.reconcile import reconcile_counts
 from rosterlake.operators.shape import (
@@ -26,6 +28,7 @@ from rosterlake.operators.shape import (
 from rosterlake.operators.stages import expand_stages
 from rosterlake.operators.upsert import has_hot_key, new_rows, updated_rows, upsert_with_overrides
 from rosterlake.plans import hires
+from rosterlake.sources.tables import stage
 from tests.conftest import plan, values
 
 # --- shape -------------------------------------------------------------------------------------------
@@ -103,6 +106,36 @@ def test_keep_one_reduces_before_its_only_shuffle(spark, tmp_path):
     assert shown.count("Exchange") == 1 and "partial_max" in shown and "Window" not in shown
 
 
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("nulls_win", [False, True])
+def test_keep_one_late_is_keep_one(spark, table, tmp_path, seed, nulls_win):
+    """From several files; ``few`` has many ties, repeated rows among them, and a key with a third of the rows."""
+    rows = random_rows(seed)
+    few = [("hot" if i % 3 else r[0], None if i % 5 == 0 else 7, r[2], i % 4) for i, r in enumerate(rows * 3)]
+    for name, some in (("rows", rows), ("few", few), ("none", [])):
+        table("k string, d int, s string, n int", *some).repartition(3).write.parquet(f"{tmp_path}/{name}")
+        df = spark.read.parquet(f"{tmp_path}/{name}")
+        for keys, prefer in ((["k"], ["d"]), (["k", "n"], []), (["n"], ["d", "s"])):
+            got = keep_one_late(df, keys, prefer, nulls_win=nulls_win)
+            assert got.columns == df.columns and values(got) == values(keep_one(df, keys, prefer, nulls_win=nulls_win))
+    # After a projection and a filter that keep the file's rows apart.
+    changed = spark.read.parquet(f"{tmp_path}/rows").where("n % 2 = 0").withColumn("d", F.col("d") % 3)
+    assert values(keep_one_late(changed, ["k"], ["d"])) == values(keep_one(changed, ["k"], ["d"]))
+
+
+def test_keep_one_late_sorts_no_wide_row(spark, tmp_path, monkeypatch):
+    columns = [F.col("id").alias("n"), *(F.sha2(F.col("id").cast("string"), 256).alias(f"wide{i}") for i in range(5))]
+    spark.range(3000).select((F.col("id") % 50).alias("k"), (F.col("id") % 700).alias("d"), *columns).write.parquet(f"{tmp_path}/t")
+    plans = []
+    monkeypatch.setattr(late, "stage", lambda df, label: plans.append(plan(df)) or stage(df, label))
+    got = keep_one_late(spark.read.parquet(f"{tmp_path}/t"), ["k"], ["d"])
+    assert got.count() == 50 and len(plans) == 2
+    assert "wide" not in plans[0]
+    ordered = [line for shown in plans for line in shown.splitlines() if re.search(r"Sort|Aggregate|SortMergeJoin", line)]
+    assert ordered and not any("wide" in line for line in ordered)
+    assert plans[1].count("ShuffledHashJoin") == 1 and "Window" not in plans[1]
+
+
 def test_keep_one_on_key_columns_alone(table):
     assert values(keep_one(table("k string", "a", "a", None, None), ["k"])) == [(None,), ("a",)]
 
