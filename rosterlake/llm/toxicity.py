@@ -5,7 +5,7 @@ Features are the presence of a word, of two neighbouring words, and of two words
 model is a short list of coordinates and weights that every task gets.
 
 Coordinates of at most ``rows`` labelled documents (a bound, not a share) are taken where the documents are and learnt
-from in one task; every document is scored whole.
+from in one task, which gets them once per epoch and keeps none; every document is scored whole.
 Null and empty texts have no features and the score of the intercept. Repeated rows score alike, other columns are
 carried along, an empty table stays empty. Without any labelled row every score is 0.5.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterlake.llm.carry import computed
-from rosterlake.llm.labelled import held_out, in_turn, training_texts
+from rosterlake.llm.labelled import held_out, training_texts
 from rosterlake.llm.words import LETTERS, Texts, mix
 
 BITS = 22
@@ -80,20 +80,14 @@ def _examples(part: pa.RecordBatch) -> list[pa.Array]:
     return [pa.array([np.append(places[a:b], np.int32(1 << BITS)).tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())]
 
 
-def _trained(epochs: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        examples, model = [], Ftrl()
-        for batch in batches:
-            for places, label in zip(batch.column("places"), batch.column("label").to_pylist(), strict=True):
-                examples.append((np.frombuffer(places.as_py(), "<i4"), label))
-        for _ in range(epochs):
-            for at, label in examples:
-                model.learn(at, label)
-        weights = model.weights(np.arange((1 << BITS) + 1))
-        used = np.flatnonzero(weights)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(weights[used])], ["place", "weight"])
-
-    return run
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    model = Ftrl()
+    for batch in batches:
+        for places, label in zip(batch.column("places"), batch.column("label").to_pylist(), strict=True):
+            model.learn(np.frombuffer(places.as_py(), "<i4"), label)
+    weights = model.weights(np.arange((1 << BITS) + 1))
+    used = np.flatnonzero(weights)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(weights[used])], ["place", "weight"])
 
 
 @dataclass(frozen=True)
@@ -119,7 +113,12 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", rows: int = ROWS, epochs: int = 6) -> Model:
     texts = training_texts(docs, labels, label, rows)
     examples = computed(texts, _examples, "places binary", carry=["turn", "label"]).select("row.*", "places")
-    found = in_turn(examples, rows).select("places", "label").mapInArrow(_trained(epochs), "place bigint, weight double").toPandas()
+    # The first ``rows`` of every task, then of all in one partition, which Spark sorts and spills: the task that learns holds the
+    # model and a batch of examples. The low 33 bits of the id number the rows of a task.
+    of_task = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    first = examples.sortWithinPartitions("turn").where(of_task < rows).repartition(1).sortWithinPartitions("turn").limit(rows)
+    again = first.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs)))).sortWithinPartitions("epoch", "turn")
+    found = again.select("places", "label").mapInArrow(_trained, "place bigint, weight double").toPandas()
     return Model(found["place"].to_numpy(), found["weight"].to_numpy())
 
 
