@@ -29,6 +29,7 @@ from rosterlake.plans.referrals import (
     unique_referrals,
 )
 from rosterlake.plans.requisitions import clean_requisitions
+from rosterlake.session import small_tasks
 from rosterlake.sinks import tables as sinks
 from rosterlake.sinks.merge import merge_table
 from rosterlake.sinks.periods import carried_on, digests, replace_periods
@@ -124,6 +125,7 @@ def run(
     offer accepts, funnel and headcount are kept by month. Digests by month of the applications in scope tell which months have
     changed since the last run: only these are cleansed and expanded, the others keep their files. The headcount's latest
     month is carried on from that month's files alone. The snapshot of the day names versions. The table ``hires_master.parquet`` has to exist.
+    While it runs, the session's tasks are small (``session.small_tasks``).
     """
     path = lambda name: f"{out}/{name}.parquet"
     master, raw = f"{out}/{MASTER}", f"{out}/snapshots/raw"
@@ -187,7 +189,7 @@ def run(
         made["applications"] = found.number
         return found
 
-    with ThreadPoolExecutor(8) as workers:
+    with small_tasks(spark), ThreadPoolExecutor(8) as workers:
         first, second, third = (workers.submit(f) for f in (requisitions, hires, applications))
         prospects = None if earlier(path("referrals")) else workers.submit(report, "prospects")
         monthly = workers.submit(months)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -12,6 +14,37 @@ from pyspark.sql import SparkSession
 #: uncompiled generated code takes twice as long as Spark's own fallback.
 HUGE_METHOD = "8000"
 
+#: What a task of a full run reads at most, from files or from a shuffle. Rows of text are ten to thirty times as large in memory as
+#: they are packed, and aggregations over text sort them: tasks of Spark's default sizes spill them.
+TASK_BYTES = "8m"
+#: No more partitions than a shuffle writes without sorting by them.
+LEAST_PARTITIONS = 200
+#: Files that a task writes side by side; only rows of further periods are sorted by period first.
+WRITERS = 64
+
+
+@contextmanager
+def small_tasks(spark: SparkSession) -> Iterator[None]:
+    """Settings under which sorts fit into the memory of a task and tables by period are written without a sort by period. What the
+    session has set itself stays; all is as before afterwards."""
+    settings = {
+        "spark.sql.files.maxPartitionBytes": TASK_BYTES,
+        "spark.sql.files.openCostInBytes": "1m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": TASK_BYTES,
+        "spark.sql.maxConcurrentOutputFileWriters": str(WRITERS),
+    }
+    if int(spark.conf.get("spark.sql.shuffle.partitions")) < LEAST_PARTITIONS:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(LEAST_PARTITIONS)
+    own = spark.conf.getAll
+    changed = [name for name in settings if name not in own]
+    for name in changed:
+        spark.conf.set(name, settings[name])
+    try:
+        yield
+    finally:
+        for name in changed:
+            spark.conf.unset(name)
+
 
 def local_session(cores: int | str = "*", *, app: str = "rosterlake", **settings: str) -> SparkSession:
     """Local session. Further settings are given with ``__`` for dots: ``spark__sql__shuffle__partitions``."""

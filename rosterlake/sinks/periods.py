@@ -61,7 +61,9 @@ def _column(period: Column | str) -> Column:
 def _write(df: DataFrame, path: str, base: Version | None, within: Sequence[str], gather: bool) -> dict[str, str]:
     """``df`` in folders by its column ``FOLDER``; period -> folder."""
     dealt = df.hint("rebalance", F.col(FOLDER)) if gather else df
-    folder = versions.write_data(dealt.sortWithinPartitions(FOLDER, *within), path, base, by=[FOLDER])
+    # Without ``within`` Spark's writer sorts by folder itself, unless it may keep a file open for each, see ``session.small_tasks``.
+    ordered = dealt.sortWithinPartitions(FOLDER, *within) if within else dealt
+    folder = versions.write_data(ordered, path, base, by=[FOLDER])
     written = [f"{folder}/{n}" for n in versions.names_in(df.sparkSession, f"{path.rstrip('/').rpartition('/')[0]}/{folder}") if "=" in n]
     return {period_of(p): p for p in written}
 

@@ -8,8 +8,10 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from rosterlake import session
 from rosterlake.operators.digests import row_digests
 from rosterlake.operators.periods import extend_latest_period, last_of_month
+from rosterlake.session import small_tasks
 from rosterlake.sinks import periods, tables as sinks, versions
 from tests.conftest import plan, values
 
@@ -164,3 +166,32 @@ def test_another_version_of_the_library_writes_all(table, path, monkeypatch):
     first = put(table(SCHEMA, (JAN, "a", "x")), path)
     monkeypatch.setattr(periods, "__version__", "of another day")
     assert put(table(SCHEMA, (JAN, "a", "x")), path).paths != first.paths
+
+
+def test_no_sort_by_period_and_small_tasks_while_a_run_writes(spark, table, path, monkeypatch):
+    written, write_data = [], versions.write_data
+
+    def noted(df, *a, **how):
+        written.append((plan(df), spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+        return write_data(df, *a, **how)
+
+    monkeypatch.setattr(versions, "write_data", noted)
+    rows = [(JAN, "b", "Oslo"), (FEB, "a", None), (JAN, "a", "Rome"), (None, "c", "Lima")]
+    own, name = spark.conf.getAll, "spark.sql.files.maxPartitionBytes"
+    with small_tasks(spark):
+        assert spark.conf.get(name) == session.TASK_BYTES
+        put(table(SCHEMA, *rows).coalesce(1), path)
+        put(table(SCHEMA, *rows, *rows).coalesce(1), path, within=["who"])
+    assert [("Sort" in how, open_files) for how, open_files in written] == [(False, str(session.WRITERS)), (True, str(session.WRITERS))]
+    assert values(sinks.read_current(spark, path)) == values(table(SCHEMA, *rows, *rows))
+    assert spark.conf.getAll == own
+    # What a session has set itself stays, and stays afterwards.
+    spark.conf.set(name, "1m")
+    try:
+        with pytest.raises(ValueError, match="broken off"), small_tasks(spark):
+            assert spark.conf.get(name) == "1m" and spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == session.TASK_BYTES
+            raise ValueError("broken off")
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.unset(name)
+    assert spark.conf.getAll == own
