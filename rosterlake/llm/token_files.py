@@ -86,11 +86,13 @@ class EliasFano:
         return ((ones - np.arange(self.count)) << self.low) + self._low(0, self.count)
 
 
-#: The split pattern of the word vocabulary, as its file states it, and the same for text of the characters that
-#: ``_ODD`` lets pass, in small letters.
+#: The split pattern of the word vocabulary, as its file states it, and the same for text of the characters
+#: ``_PLAIN``, in small letters.
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\ta-z\n\r ªµºß-öø-ÿ0-9²³¹¼½¾]+").findall
-_ODD = re.compile("[^\t\n\r -~¡-ÿ]").search
+_PIECES = re.compile(r"[a-zªµºß-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9²³¹¼½¾]|[^\ta-z\n\r ªµºß-öø-ÿ0-9²³¹¼½¾]+").findall
+#: Bytes of ISO 8859-1 that a plain text consists of, and all bytes in small letters.
+_PLAIN = bytes([9, 10, 13, *range(32, 127), *range(161, 256)])
+_SMALL = bytes(range(256)).decode("latin-1").lower().encode("latin-1")
 
 
 class Encoder:
@@ -140,17 +142,31 @@ class Encoder:
             at = [0, *(ends * size).tolist()]
             self.pieces.update((p, data[at[i] : at[i + 1]]) for i, p in enumerate(some))
 
+    def _split(self, text: str) -> list[str] | None:
+        """The pieces of a plain text in small letters; None for another."""
+        try:
+            data = text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        if data.translate(None, _PLAIN) or any(s in text for s in self.specials):
+            return None
+        return _PIECES(data.translate(_SMALL).decode("latin-1"))
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [self._whole(t) for t in texts]
-        split = [None if _ODD(t) or any(s in t for s in self.specials) else _PIECES(t.lower()) for t in texts]
-        new = set().union(*filter(None, split)) - self.pieces.keys()
+        split = [self._split(t) for t in texts]
+        # One look into the large memory per piece; only pieces that it lacks are looked up again.
+        found = [None if p is None else list(map(self.pieces.get, p)) for p in split]
+        lacking = {i: [k for k, x in enumerate(f) if x is None] for i, f in enumerate(found) if f and None in f}
+        new = {split[i][k] for i, places in lacking.items() for k in places}
         if len(self.pieces) + len(new) > self.MOST:
             self.pieces.clear()
-            new = set().union(*filter(None, split))
         self._learn(list(new))
-        get = self.pieces.__getitem__
-        return [self._whole(t) if p is None else b"".join(map(get, p)) for t, p in zip(texts, split, strict=True)]
+        for i, places in lacking.items():
+            for k in places:
+                found[i][k] = self.pieces[split[i][k]]
+        return [self._whole(t) if f is None else b"".join(f) for t, f in zip(texts, found, strict=True)]
 
 
 def _cuts(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:

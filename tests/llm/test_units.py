@@ -150,3 +150,15 @@ def test_nothing_else_imports_this_subpackage():
 
     code = "import sys, rosterlake.__main__, harness.catalog; print(any('rosterlake.llm' in m for m in sys.modules))"
     assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.strip() == "False"
+
+
+def test_encoder_looks_up_only_what_it_lacks(monkeypatch):
+    encode = Encoder("word_bpe_49k.json")
+    texts = ["Tall trees, I'll say\t2 ÀÉ", "", "tall TREES fall", " ", "日本 tall"]
+    learnt, learn = [], encode._learn
+    monkeypatch.setattr(encode, "_learn", lambda new: (learnt.append(sorted(new)), learn(new)))
+    want = [encode._whole(t) for t in texts]
+    assert encode(texts[:2]) == want[:2] and encode(texts) == want and encode(texts) == want
+    assert learnt == [["'ll", ",", "2", "i", "say", "tall", "trees", "àé"], ["fall"], []]
+    encode.MOST = 9  # what was found before the memory is cleared still counts
+    assert encode(["tall new trees"]) == [encode._whole("tall new trees")] and learnt[-1] == ["new"] == [*encode.pieces]
