@@ -177,7 +177,10 @@ def test_no_sort_by_period_and_small_tasks_while_a_run_writes(spark, table, path
 
     monkeypatch.setattr(versions, "write_data", noted)
     rows = [(JAN, "b", "Oslo"), (FEB, "a", None), (JAN, "a", "Rome"), (None, "c", "Lima")]
-    own, name = spark.conf.getAll, "spark.sql.files.maxPartitionBytes"
+    name, advisory = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for setting in (name, advisory, "spark.sql.maxConcurrentOutputFileWriters"):  # other tests may have set them
+        spark.conf.unset(setting)
+    own = spark.conf.getAll
     with small_tasks(spark):
         assert spark.conf.get(name) == session.TASK_BYTES
         put(table(SCHEMA, *rows).coalesce(1), path)
@@ -189,7 +192,7 @@ def test_no_sort_by_period_and_small_tasks_while_a_run_writes(spark, table, path
     spark.conf.set(name, "1m")
     try:
         with pytest.raises(ValueError, match="broken off"), small_tasks(spark):
-            assert spark.conf.get(name) == "1m" and spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == session.TASK_BYTES
+            assert spark.conf.get(name) == "1m" and spark.conf.get(advisory) == session.TASK_BYTES
             raise ValueError("broken off")
         assert spark.conf.get(name) == "1m"
     finally:
