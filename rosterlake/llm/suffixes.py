@@ -4,13 +4,15 @@ A window is ``window`` consecutive bytes of a text's UTF-8. In a suffix array of
 a comparison of adjacent prefixes finds them. The array is built in blocks that Spark deals out:
 
 1. Each window has an anchor: of the hashes of ``gram`` bytes that it holds the smallest, the last such one. Equal windows have
-   equal anchors. Anchors of a single document can't repeat anything and go. The neighbouring windows with the same anchor
-   occurrence are a run, and equal runs are one string, owned by its smallest document: larger ones repeat it whole.
+   equal anchors. The neighbouring windows with the same anchor occurrence are a run, and equal runs are one string, owned by its
+   smallest document: larger ones repeat it whole. Runs are dealt and sorted by anchor, once, which shows this, and which
+   anchors only one document has or have only one string: these need no suffixes.
 2. Strings with the same anchor are dealt to the same block, so suffixes of different blocks share no window and need no order.
    Where one anchor has more strings than ``hot``, its windows are dealt one by one, by their hash.
 3. In a block the suffixes are sorted by difference cover: triples at two places of three are sorted and named, the sequence of
-   names is sorted by recursion, until names are distinct or stand for a window or more, and the remaining suffixes are merged
-   in by their first letters and the rank of the sampled suffix behind.
+   names is sorted by recursion, until names are distinct or one or two in a row stand for a window or more, and the remaining
+   suffixes are merged in by their first letters and the rank of the sampled suffix behind. Triples of few letters are names as
+   they are; places that begin no window of a string, and that no such place needs, are not sorted.
 4. Adjacent windows with an equal prefix of ``window`` bytes are one class; those of a document larger than the class's smallest
    are repeated.
 
@@ -46,6 +48,8 @@ _VALUES = mixed_range(256, 29)
 _FACTOR = 0x9E3779B97F4A7C15
 _LAST = np.uint64(0xFFFFFFFF)
 _STRETCH = 1 << 16
+#: Triples below this are not named: three of them fit into 63 bits.
+_PLAIN = 1 << 20
 
 
 # --- anchors and runs -----------------------------------------------------------------------------------
@@ -140,30 +144,78 @@ def _of_rows(docs: np.ndarray, values: np.ndarray) -> np.ndarray:
     return mix(values ^ mix(docs.astype(np.uint64)))
 
 
-def _anchors(window: int, gram: int):
+def _text_runs(window: int, gram: int):
+    """The runs of each text, equal ones once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in passes(batch):
                 runs = Runs(*text_bytes(part.column("text")), window, gram)
-                once = _once(runs.doc, runs.anchor)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(runs.doc[once])), _signed(runs.anchor[once])], ["doc_id", "anchor"])
+                once = _once(runs.doc, runs.hash ^ runs.anchor)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(pa.array(runs.doc[once])), _signed(runs.anchor[once]), _signed(runs.hash[once])],
+                    ["doc_id", "anchor", "hash"],
+                )
 
     return run
 
 
-def _shared_runs(window: int, gram: int):
-    """The runs of the anchors that a row lists."""
+#: What a row of ``_shared`` says of its ``hash``, but for the number of strings of a crowded anchor.
+_COPY, _STRING = 0, 1
+
+
+def _shared(hot: int):
+    """Of runs in the order of ``anchor``, ``hash`` and ``doc_id``, all of an anchor in one task: ``n`` is ``_COPY`` for a run that a
+    smaller document has, ``_STRING`` for the first of equal runs where several documents have the anchor and it has several strings,
+    and the number of strings for an anchor (as ``hash``) that has more than ``hot``. Of an anchor that goes on in the next batch its last
+    run is kept, and, as long as it has one document or one string, the strings so far."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # of the open anchor: itself, its last hash, the first documents of that and of the anchor, whether there are others, strings
+        waiting: list[tuple[pa.Array, np.ndarray]] = []
+        kind = None
         for batch in batches:
-            for part in passes(batch):
-                runs = Runs(*text_bytes(part.column("text")), window, gram)
-                asked = np.flatnonzero(np.isin(_of_rows(runs.doc, runs.anchor), _tied(part, part.column("asked"))))
-                once = asked[_once(runs.doc[asked], runs.hash[asked] ^ runs.anchor[asked])]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(runs.doc[once])), _signed(runs.anchor[once]), _signed(runs.hash[once])],
-                    ["doc_id", "anchor", "hash"],
-                )
+            if not batch.num_rows:
+                continue
+            kind = batch.schema.field("doc_id").type
+            doc, anchor, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "anchor", "hash"))
+            opens, fresh = np.ones(len(doc), bool), np.ones(len(doc), bool)
+            np.not_equal(anchor[1:], anchor[:-1], out=opens[1:])
+            np.logical_or(opens[1:], own[1:] != own[:-1], out=fresh[1:])
+            if last and last[0] == anchor[0]:
+                opens[0], fresh[0] = False, last[1] != own[0]
+            of = np.cumsum(opens)  # 0: the anchor that was open
+            n, at = int(of[-1]) + 1, np.arange(1, len(doc) + 1)
+            before = lambda value: np.concatenate([np.array([doc[0] if last is None else value], doc.dtype), doc])
+            first = before(last and last[2])[np.maximum.accumulate(np.where(fresh, at, 0))]
+            of_anchor = before(last and last[3])[np.maximum.accumulate(np.where(opens, at, 0))]
+            others, strings = np.zeros(n, bool), np.bincount(of[fresh], minlength=n)
+            others[of[doc != of_anchor]] = True
+            if last:
+                others[0] |= last[4]
+                strings[0] += last[5]
+            several = others & (strings > 1)
+            copies, wanted = np.flatnonzero(doc != first), np.flatnonzero(fresh & several[of])
+            crowded = np.flatnonzero(several[:-1] & (strings[:-1] > hot))
+            names = np.concatenate([[last[0] if last else 0], anchor[opens]])[crowded]
+            docs, hashes = [batch.column("doc_id").take(pa.array(np.concatenate([copies, wanted])))], [own[copies], own[wanted]]
+            kinds = [np.full(len(copies), _COPY), np.full(len(wanted), _STRING)]
+            if several[0]:
+                docs += [d for d, _ in waiting]
+                hashes += [h for _, h in waiting]
+                kinds += [np.full(len(h), _STRING) for _, h in waiting]
+            docs.append(pa.nulls(len(crowded), kind))
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays(docs), pa.array(np.concatenate([*hashes, names])), pa.array(np.concatenate([*kinds, strings[crowded]]))], ["doc_id", "hash", "n"]
+            )
+            if n > 1 or several[0]:
+                waiting = []
+            if not several[-1]:
+                more = np.flatnonzero(fresh & (of == n - 1))
+                waiting.append((batch.column("doc_id").take(pa.array(more)), own[more]))
+            last = anchor[-1], own[-1], first[-1], of_anchor[-1], bool(others[-1]), int(strings[-1])
+        if last and last[4] and last[5] > max(hot, 1):
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.array([last[0]]), pa.array([last[5]])], ["doc_id", "hash", "n"])
 
     return run
 
@@ -201,37 +253,58 @@ def _joint(*fields: np.ndarray) -> np.ndarray:
     return key
 
 
-def suffix_order(text: np.ndarray, depth: int, covered: int = 1) -> np.ndarray:
-    """The places of ``text`` (numbers from 1) in the order of their suffixes, as far as ``depth`` bytes decide it; a number stands
-    for ``covered`` bytes."""
+def suffix_order(text: np.ndarray, depth: int, covered: int = 1, wanted: np.ndarray | None = None) -> np.ndarray:
+    """The places of ``text`` (numbers from 1), or those ``wanted``, in the order of their suffixes, as far as ``depth`` bytes decide it;
+    a number stands for ``covered`` bytes."""
     n = len(text)
     if n < 3:
-        return np.array(sorted(range(n), key=lambda i: text[i:].tolist()), np.int64)
+        return np.array(sorted((i for i in range(n) if wanted is None or wanted[i]), key=lambda i: text[i:].tolist()), np.int64)
     t = np.concatenate([text.astype(np.int64), np.zeros(3, np.int64)])
     # One place beyond the end, if it ends the sequence of the first kind, keeps that apart from the second.
     ones, twos, rest = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3), np.arange(0, n, 3)
     sampled = np.concatenate([ones, twos])
-    distinct, names = np.unique(_joint(t[sampled], t[sampled + 1], t[sampled + 2]), return_inverse=True)
-    if len(distinct) < len(sampled) and 3 * covered < depth:
-        order = suffix_order(names + 1, depth, 3 * covered)
+    asked = None
+    if wanted is not None:
+        # The merge looks at the sampled suffixes one or two places behind those wanted.
+        asked = np.concatenate([wanted, np.zeros(3, bool)])
+        asked[2:] |= asked[1:-1] | asked[:-2]
+        asked[1] |= wanted[0]
+        asked = asked[sampled]
+        ones, twos, rest = (x[wanted[np.minimum(x, n - 1)] & (x < n)] for x in (ones, twos, rest))
+    names = _joint(t[sampled], t[sampled + 1], t[sampled + 2])
+    # Triples of small numbers are names as they are.
+    distinct = False
+    if 3 * covered >= depth or int(names.max()) >= _PLAIN:
+        values, names = np.unique(names, return_inverse=True)
+        distinct = len(values) == len(sampled)
+    if not distinct and 6 * covered < depth:
+        order = suffix_order(names + 1, depth, 3 * covered, asked)
     else:
-        order = np.argsort(names, kind="stable")
+        # Two triples in a row reach as far as ``depth``; one that ends the text is like no other.
+        key = names if distinct or 3 * covered >= depth else _joint(names, np.append(names[1:] + 1, 0))
+        order = np.argsort(key) if asked is None else np.flatnonzero(asked)[np.argsort(key[asked])]
     rank = np.zeros(n + 3, np.int64)
-    rank[sampled[order]] = np.arange(1, len(sampled) + 1)
+    rank[sampled[order]] = np.arange(1, len(order) + 1)
+    sampled = sampled[order]
+    sampled = sampled[sampled < n] if wanted is None else sampled[wanted[np.minimum(sampled, n - 1)] & (sampled < n)]
+    if wanted is None:
+        ones = ones[ones < n]
     # The others go by their first number and the sampled suffix behind it.
-    keys = _joint(t[np.concatenate([rest, ones])], rank[np.concatenate([rest, ones]) + 1])
+    both = np.concatenate([rest, ones])
+    keys = _joint(t[both], rank[both + 1])
     mine, of_ones = keys[: len(rest)], np.sort(keys[len(rest) :])
-    by_key = np.argsort(mine, kind="stable")
+    by_key = np.argsort(mine)
     both = np.concatenate([rest, twos])
     keys = _joint(t[both], t[both + 1], rank[both + 2])
-    before = np.searchsorted(of_ones, mine[by_key]) + np.searchsorted(np.sort(keys[len(rest) :]), keys[: len(rest)][by_key])
+    mine, of_rest = mine[by_key], keys[: len(rest)][by_key]
+    before = np.searchsorted(of_ones, mine) + np.searchsorted(np.sort(keys[len(rest) :]), of_rest)
     place = np.arange(len(rest)) + np.maximum.accumulate(before)
     merged = np.empty(len(sampled) + len(rest), np.int64)
     free_places = np.ones(len(merged), bool)
     free_places[place] = False
     merged[place] = rest[by_key]
-    merged[free_places] = sampled[order]
-    return merged[merged < n]
+    merged[free_places] = sampled
+    return merged
 
 
 def _alike(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
@@ -253,10 +326,11 @@ def _repeated(window: int):
         sizes = np.array([len(s) for s in strings], np.int64)
         ends = np.cumsum(sizes)
         data = np.frombuffer(b"".join(strings) + bytes(window), np.uint8)
-        order = suffix_order(data.astype(np.int64) + 1, window)
+        letters = np.cumsum(np.bincount(data, minlength=256) > 0)[data]
         string = np.repeat(np.arange(len(strings)), sizes)
-        order = order[order < len(string)]
-        order = order[order + window <= ends[string[order]]]
+        whole = np.zeros(len(data), bool)
+        whole[: len(string)] = np.arange(len(string)) + window <= ends[string]
+        order = suffix_order(letters, window, wanted=whole)
         same = _alike(data, order[:-1], order[1:], window)
         begins = np.flatnonzero(np.concatenate([[True], ~same]))
         owner = np.unique(np.array(table.column("doc_id").to_pylist()), return_inverse=True)[1]
@@ -291,19 +365,20 @@ def _single_windows(window: int):
     return run
 
 
-def repeated_windows(strings: DataFrame, per_anchor: DataFrame, window: int, block: int = BLOCK, hot: int = HOT) -> DataFrame:
-    """Of ``strings`` (``doc_id``, ``anchor``, ``hash``, ``bytes``), with ``per_anchor`` ``n`` of them, which windows are repeated: ``mask``."""
+def repeated_windows(strings: DataFrame, n_strings: int, hot: DataFrame, window: int, block: int = BLOCK) -> DataFrame:
+    """Of ``strings`` (``doc_id``, ``anchor``, ``hash``, ``bytes``), ``n_strings`` of them, which windows are repeated: ``mask``. The anchors
+    ``hot`` have ``n`` strings each."""
     kind = strings.schema["doc_id"].dataType.simpleString()
-    sizes = per_anchor.agg(F.sum("n").alias("all"), F.coalesce(F.sum(F.when(F.col("n") > hot, F.col("n"))), F.lit(0)).alias("hot")).first()
-    n_blocks = (sizes["all"] or 0) // block + 1
+    in_hot = hot.agg(F.sum("n")).first()[0]
+    n_blocks = n_strings // block + 1
     dealt = F.pmod(F.xxhash64("anchor"), F.lit(n_blocks))
     whole = strings.select("anchor", "doc_id", "hash", "bytes", F.lit(0).alias("skip"))
-    if sizes["hot"]:
-        crowded = per_anchor.where(F.col("n") > hot).select("anchor")  # at most one in ``hot`` of the strings
+    if in_hot:
+        crowded = hot.select("anchor")  # far fewer than strings
         single = whole.join(crowded, "anchor", "left_semi").select("doc_id", "hash", "bytes")
         single = single.mapInArrow(_single_windows(window), f"doc_id {kind}, hash bigint, bytes binary, skip int")
         # A string has some dozens of windows.
-        by_window = F.pmod(F.xxhash64("bytes"), F.lit(sizes["hot"] * 32 // block + 1)) + n_blocks
+        by_window = F.pmod(F.xxhash64("bytes"), F.lit(in_hot * 32 // block + 1)) + n_blocks
         whole = whole.join(crowded, "anchor", "left_anti").select("doc_id", "hash", "bytes", "skip", dealt.alias("block"))
         whole = whole.union(single.select("*", by_window.alias("block")))
     else:
@@ -366,22 +441,17 @@ def without_repeats(
         raise ValueError("a window has 1 to 61 bytes more than a gram")
     texts = docs.select("doc_id", "text").where("doc_id is not null")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    anchors = texts.mapInArrow(_anchors(window, gram), f"doc_id {kind}, anchor bigint")
-    shared = swept(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "shared-anchors")
-    listed = anchors.join(shared, "anchor", "left_semi").groupBy(F.col("doc_id").alias("of_doc")).agg(F.collect_list("anchor").alias("asked"))
-    asked = swept(listed, "asked-anchors")
-    with_anchors = texts.join(asked, F.col("doc_id") == F.col("of_doc")).select("doc_id", "text", "asked")
-    runs = swept(with_anchors.mapInArrow(_shared_runs(window, gram), f"doc_id {kind}, anchor bigint, hash bigint"), "runs")
-    firsts = swept(runs.groupBy("anchor", "hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")), "first-runs")
-    per_anchor = swept(firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "anchors-of-several")
-    several = firsts.join(per_anchor.select("anchor"), "anchor", "left_semi")
-    wanted = several.groupBy(F.col("first").alias("of_doc")).agg(F.collect_list("hash").alias("asked"))
+    runs = texts.mapInArrow(_text_runs(window, gram), f"doc_id {kind}, anchor bigint, hash bigint")
+    by_anchor = runs.repartition("anchor").sortWithinPartitions("anchor", "hash", "doc_id")
+    shared = swept(by_anchor.mapInArrow(_shared(hot), f"doc_id {kind}, hash bigint, n bigint"), "shared-runs")
+    firsts = shared.where(F.col("n") == _STRING)
+    wanted = firsts.groupBy(F.col("doc_id").alias("of_doc")).agg(F.collect_list("hash").alias("asked"))
     with_runs = texts.join(swept(wanted, "asked-runs"), F.col("doc_id") == F.col("of_doc")).select("doc_id", "text", "asked")
     strings = swept(with_runs.mapInArrow(_strings(window, gram), f"doc_id {kind}, anchor bigint, hash bigint, bytes binary"), "strings")
-    masks = swept(repeated_windows(strings, per_anchor, window, block, hot), "repeated-windows")
+    crowded = shared.where(F.col("n") > _STRING).select(F.col("hash").alias("anchor"), "n")
+    masks = swept(repeated_windows(strings, firsts.count(), crowded, window, block), "repeated-windows")
     # Documents beyond a run's first repeat all of it.
-    copied = firsts.where("first < last").select("anchor", "hash", "first")
-    whole = runs.join(copied, ["anchor", "hash"]).where("doc_id > first").select("doc_id", "hash", F.lit(-1).cast("long").alias("mask"))
+    whole = shared.where(F.col("n") == _COPY).select("doc_id", "hash", F.lit(-1).cast("long").alias("mask"))
     by_doc = whole.union(masks).groupBy(F.col("doc_id").alias("of_doc")).agg(F.collect_list(F.struct("hash", "mask")).alias("repeats"))
     by_doc = swept(by_doc, "repeats")
     name = free(docs, "repeated")

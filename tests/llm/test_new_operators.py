@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +78,58 @@ def test_suffix_order_of_large_numbers():
     assert suffixes.suffix_order(text, 10**9).tolist() == sorted(range(500), key=lambda i: text[i:].tolist())
 
 
+def test_suffix_order_of_some_places():
+    rng = random.Random(6)
+    for _ in range(800):
+        n, letters = rng.randrange(1, 70), rng.choice([1, 2, 3, 26, 500])
+        text = np.array([rng.randrange(letters) + 1 for _ in range(n)])
+        wanted = np.array([rng.random() < 0.3 for _ in range(n)])
+        places = np.flatnonzero(wanted).tolist()
+        assert suffixes.suffix_order(text, 10**9, wanted=wanted).tolist() == sorted(places, key=lambda i: text[i:].tolist())
+        depth = rng.randrange(1, 60)
+        order = suffixes.suffix_order(text, depth, wanted=wanted).tolist()
+        starts = [text[i : i + depth].tolist() for i in order]
+        assert sorted(order) == places and starts == sorted(starts)
+
+
+@pytest.mark.parametrize("ids", ["int", "str"])
+def test_shared_runs_in_any_batches(ids):
+    """Anchors go on over batches of any size; which runs are copies, and which strings of crowded anchors, does not depend on that."""
+    rng = random.Random(7)
+    for _ in range(300):
+        name = (lambda i: i) if ids == "int" else "d{}".format
+        rows = sorted((rng.randrange(4), rng.randrange(rng.choice([1, 2, 5])), name(rng.randrange(5))) for _ in range(rng.randrange(25)))
+        hot, expected = rng.randrange(4), []
+        for anchor in {a for a, _, _ in rows}:
+            firsts = {}
+            for a, h, d in rows:
+                if a == anchor and firsts.setdefault(h, d) != d:
+                    expected.append((d, h, 0))
+            if len(firsts) > 1 and len({d for a, _, d in rows if a == anchor}) > 1:
+                expected += [(d, h, 1) for h, d in firsts.items()] + [(None, anchor, len(firsts))] * (len(firsts) > hot)
+        batches, at = [], 0
+        while at < len(rows):
+            size = rng.randrange(4)
+            cut = rows[at : at + size]
+            batches.append(pa.RecordBatch.from_pylist([dict(doc_id=d, anchor=a, hash=h) for a, h, d in cut], pa.schema([("doc_id", pa.int64() if ids == "int" else pa.string()), ("anchor", pa.int64()), ("hash", pa.int64())])))
+            at += size
+        got = [tuple(r.values()) for b in suffixes._shared(hot)(iter(batches)) for r in b.to_pylist()]
+        assert ordered(got) == ordered(expected)
+
+
+def test_texts_are_hashed_three_times(spark, odd, monkeypatch):
+    """For runs, for the strings of several to an anchor and at the end: each time costs as much as the rest of a task."""
+    plans, swept = [], suffixes.swept
+
+    def watched(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return swept(df, label)
+
+    monkeypatch.setattr(suffixes, "swept", watched)
+    plans.append(suffixes.without_repeats(odd)._jdf.queryExecution().optimizedPlan().toString())
+    assert sum(p.count("MapInArrow") for p in plans if "text" in p) <= 4  # one of them reads the runs of the first
+
+
 def _rows(spark, texts):
     rows = [dict(doc_id=i, text=t) for i, t in texts]
     return rows, spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id bigint, text string").repartition(3)
